@@ -42,4 +42,4 @@ def query(name: str, sql: str | None = None):
 
 
 # importing the definition modules fills the registry
-from tierwise.plans import queries_core  # noqa: E402,F401
+from tierwise.plans import queries_core, queries_extra  # noqa: E402,F401

@@ -12,7 +12,7 @@ rules and the "today" of the data.  Loaders:
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -34,6 +34,8 @@ class Tables:
     as_of: dt.date | None = None
     # raw row counts of the sources the view layer reads, for volume checks
     source_counts: dict[str, DataFrame] = field(default_factory=dict)
+    # dimensions with at most this many rows are broadcast; < 0 never
+    broadcast_max_rows: int = BROADCAST_MAX_ROWS
     _bounded: dict[str, bool] = field(default_factory=dict, repr=False)
 
     @property
@@ -41,22 +43,29 @@ class Tables:
         return self.customers.sparkSession
 
     def with_customers(self, customers: DataFrame) -> "Tables":
-        return Tables(customers, self.products, self.transactions, self.rules, self.as_of, self.source_counts, {})
+        bounded = {k: v for k, v in self._bounded.items() if not k.startswith("customers")}
+        return replace(self, customers=customers, _bounded=bounded)
 
     def with_rules(self, rules: TierRules) -> "Tables":
-        return Tables(self.customers, self.products, self.transactions, rules, self.as_of, self.source_counts, dict(self._bounded))
+        return replace(self, rules=rules, _bounded=dict(self._bounded))
 
-    def is_bounded(self, name: str, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-        """True when table ``name`` provably has at most ``max_rows`` rows.
+    def without_broadcast(self) -> "Tables":
+        return replace(self, broadcast_max_rows=-1, _bounded={})
 
-        The proof is a ``limit(max_rows + 1).count()`` job: it stops reading
-        once the bound is exceeded, and the answer is kept for this bundle.
+    def is_bounded(self, name: str) -> bool:
+        """True when table ``name`` provably has at most
+        ``broadcast_max_rows`` rows.
+
+        The proof is a ``limit(n + 1).count()`` job: it stops reading once
+        the bound is exceeded, and the answer is kept for this bundle.
         """
-        key = f"{name}:{max_rows}"
-        if key not in self._bounded:
+        n = self.broadcast_max_rows
+        if n < 0:
+            return False
+        if name not in self._bounded:
             df = getattr(self, name)
-            self._bounded[key] = df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
-        return self._bounded[key]
+            self._bounded[name] = df.select(F.lit(1)).limit(n + 1).count() <= n
+        return self._bounded[name]
 
     def products_for_join(self, *cols: str) -> DataFrame:
         """Projected products, hinted as broadcast only behind the row bound."""
