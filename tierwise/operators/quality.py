@@ -137,7 +137,7 @@ def tier_band_check(t: Tables) -> DataFrame:
         if high is not None:
             checks.append((f"{tier} max spend < {high}", tier, "max", high))
     rules = t.spark.createDataFrame(checks, "check_item string, tier string, kind string, bound decimal(38,2)")
-    ranges = spending_ranges(t).select("segment", "min_spend", "max_spend")
+    ranges = spending_ranges(t, ordered=False).select("segment", "min_spend", "max_spend")
     j = rules.join(ranges, rules["tier"] == ranges["segment"], "left")
     actual = F.when(F.col("kind") == "min", F.col("min_spend")).otherwise(F.col("max_spend"))
     ok = F.when(F.col("kind") == "min", actual >= F.col("bound")).otherwise(actual < F.col("bound"))

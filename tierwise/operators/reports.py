@@ -38,10 +38,11 @@ def tier_stats(t: Tables) -> DataFrame:
     )
 
 
-def spending_ranges(t: Tables) -> DataFrame:
-    """segment, customer_count (rows), min_spend, max_spend, avg_spend."""
+def spending_ranges(t: Tables, ordered: bool = True) -> DataFrame:
+    """segment, customer_count (rows), min_spend, max_spend, avg_spend.
+    ``ordered=False`` skips the presentation sort (for internal use)."""
     s = F.col("total_spend")
-    return (
+    out = (
         _customers_with_spend(t)
         .groupBy("segment")
         .agg(
@@ -50,8 +51,8 @@ def spending_ranges(t: Tables) -> DataFrame:
             money(F.max(s)).alias("max_spend"),
             avg_half_up(s).alias("avg_spend"),
         )
-        .orderBy(t.rules.rank_of(F.col("segment")), F.col("segment"))
     )
+    return out.orderBy(t.rules.rank_of(F.col("segment")), F.col("segment")) if ordered else out
 
 
 def segment_counts(customers: DataFrame) -> DataFrame:
