@@ -44,7 +44,7 @@ def describe_tables(spark: SparkSession, db: str) -> DataFrame:
     (catalog metadata: one row per column)."""
     rows = []
     for t in spark.catalog.listTables(db):
-        for c in spark.catalog.listColumns(t.name, db):
+        for c in spark.catalog.listColumns(f"`{db}`.`{t.name}`"):
             rows.append((t.name, c.name, c.dataType))
     return spark.createDataFrame(rows, "table_name string, column_name string, data_type string")
 
