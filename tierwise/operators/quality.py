@@ -70,21 +70,13 @@ def volume_check(t: Tables, expected: dict[str, int] | None = None) -> DataFrame
 # -- V2 tier assignment --------------------------------------------------------
 
 
-def _spend_left(t: Tables) -> DataFrame:
-    """customer_id, total_spend over transactions LEFT JOIN products: a
-    transaction without product adds NULL (ignored by SUM)."""
-    products = t.products_for_join("product_id", "unit_price")
-    lines = t.transactions.select("customer_id", "product_id", "quantity").join(products, "product_id", "left")
-    return lines.groupBy("customer_id").agg(F.sum(F.col("unit_price") * F.col("quantity")).alias("total_spend"))
-
-
 def _customers_left_spend(t: Tables, keys: tuple[str, ...]) -> DataFrame:
     """customers LEFT JOIN transactions LEFT JOIN products GROUP BY ``keys``,
     computed aggregate-first: the per-customer spend is joined to the
     customer rows, so a duplicated customer row counts its spend per copy."""
     return (
         t.customers.select(*keys)
-        .join(_spend_left(t), "customer_id", "left")
+        .join(spend_by_customer(t), "customer_id", "left")
         .groupBy(*keys)
         .agg(F.sum("total_spend").alias("total_spend"))
     )

@@ -37,8 +37,12 @@ def priced_lines(t: Tables, keep: tuple[str, ...] = ()) -> DataFrame:
 
 def spend_by_customer(t: Tables) -> DataFrame:
     """customer_id, total_spend over transactions joined to products only
-    (the reports' ``spend`` subquery: no customers join)."""
-    return priced_lines(t).groupBy("customer_id").agg(F.sum("amount").alias("total_spend"))
+    (the reports' ``spend`` subquery: no customers join).  A customer whose
+    transactions all miss their product is absent, which a LEFT JOIN from
+    customers turns into the same NULL as SUM over NULL amounts."""
+    return t.shared(
+        "spend", lambda: priced_lines(t).groupBy("customer_id").agg(F.sum("amount").alias("total_spend"))
+    )
 
 
 def customer_spend(t: Tables) -> DataFrame:
@@ -60,11 +64,14 @@ def customer_spend(t: Tables) -> DataFrame:
 def spend_and_count_by_customer(t: Tables) -> DataFrame:
     """customer_id, total_spend, txn_count (COUNT(DISTINCT txn_id)) over the
     transactions that join a product."""
-    lines = priced_lines(t, keep=("txn_id",))
-    return lines.groupBy("customer_id").agg(
-        F.sum("amount").alias("total_spend"),
-        F.count_distinct("txn_id").alias("txn_count"),
-    )
+    def build():
+        lines = priced_lines(t, keep=("txn_id",))
+        return lines.groupBy("customer_id").agg(
+            F.sum("amount").alias("total_spend"),
+            F.count_distinct("txn_id").alias("txn_count"),
+        )
+
+    return t.shared("spend_and_count", build)
 
 
 def customer_totals(t: Tables, customers: DataFrame | None = None) -> DataFrame:

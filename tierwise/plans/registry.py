@@ -21,11 +21,12 @@ _TABLES: dict[tuple[int, str], Tables] = {}
 
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """One bundle per (session, folder): the lazy plans and the proven
-    dimension bounds are shared by all queries over the same data."""
-    key = (id(spark), sf_dir)
+    """One bundle per (application, folder): the lazy plans, the proven
+    dimension bounds and the persisted per-customer aggregates are shared
+    by all queries over the same data."""
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _TABLES:
-        _TABLES[key] = from_tpch(spark, sf_dir)
+        _TABLES[key] = from_tpch(spark, sf_dir, reuse=True)
     return _TABLES[key]
 
 

@@ -14,6 +14,9 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field, replace
 
+from collections.abc import Callable
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -36,21 +39,43 @@ class Tables:
     source_counts: dict[str, DataFrame] = field(default_factory=dict)
     # dimensions with at most this many rows are broadcast; < 0 never
     broadcast_max_rows: int = BROADCAST_MAX_ROWS
+    # persist per-customer aggregates that many reports reuse
+    reuse: bool = False
     _bounded: dict[str, bool] = field(default_factory=dict, repr=False)
+    _memo: dict[str, DataFrame] = field(default_factory=dict, repr=False)
 
     @property
     def spark(self) -> SparkSession:
         return self.customers.sparkSession
 
     def with_customers(self, customers: DataFrame) -> "Tables":
+        # the shared aggregates are per customer id over the fact table and
+        # do not depend on the customers table
         bounded = {k: v for k, v in self._bounded.items() if not k.startswith("customers")}
-        return replace(self, customers=customers, _bounded=bounded)
+        return replace(self, customers=customers, _bounded=bounded, _memo=self._memo)
 
     def with_rules(self, rules: TierRules) -> "Tables":
-        return replace(self, rules=rules, _bounded=dict(self._bounded))
+        return replace(self, rules=rules, _bounded=dict(self._bounded), _memo=self._memo)
 
     def without_broadcast(self) -> "Tables":
-        return replace(self, broadcast_max_rows=-1, _bounded={})
+        return replace(self, broadcast_max_rows=-1, _bounded={}, _memo={})
+
+    def shared(self, key: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """``build()``, persisted once per bundle when ``reuse`` is on.
+
+        Used for the per-customer aggregates (one row per customer) that
+        most reports start from; MEMORY_AND_DISK, so lost blocks are
+        recomputed from lineage."""
+        if not self.reuse:
+            return build()
+        if key not in self._memo:
+            self._memo[key] = build().persist(StorageLevel.MEMORY_AND_DISK)
+        return self._memo[key]
+
+    def release(self) -> None:
+        for df in self._memo.values():
+            df.unpersist()
+        self._memo.clear()
 
     def is_bounded(self, name: str) -> bool:
         """True when table ``name`` provably has at most
@@ -162,6 +187,7 @@ def from_tpch(
     rules: TierRules = DRIVER_RULES,
     as_of: dt.date = TPCH_AS_OF,
     window_days: int = TPCH_WINDOW_DAYS,
+    reuse: bool = False,
 ) -> Tables:
     counts = {
         "customers": spark.read.parquet(f"{sf_dir}/customer.parquet").agg(F.count(F.lit(1)).alias("n")),
@@ -178,6 +204,7 @@ def from_tpch(
         rules=rules,
         as_of=as_of,
         source_counts=counts,
+        reuse=reuse,
     )
 
 
