@@ -48,3 +48,25 @@ def test_global_row_number(spark):
     m = got.merge(pdf, on="txn_id", suffixes=("", "_exp"))
     assert (m["row_num"] == m["row_num_exp"]).all()
     assert sorted(got["row_num"]) == list(range(1, 3001))
+
+
+def test_positional_txn_numbering_equals_window(spark):
+    from tierwise.sources.model import tpch_transactions
+
+    d = "/root/testdata/sf0.001"
+    a = tpch_transactions(spark, d, numbering="window")
+    b = tpch_transactions(spark, d, numbering="positional")
+    ka = sorted(tuple(r) for r in a.collect())
+    kb = sorted(tuple(r) for r in b.collect())
+    assert ka == kb and len(ka) == 854
+
+
+def test_row_number_within_hot_group(spark):
+    from tierwise.operators.ordered import row_number_within
+
+    tx, _ = _tx(spark)
+    got = row_number_within(tx, ["customer_id"], ["txn_date", "txn_id"], "rn").toPandas()
+    pdf = tx.toPandas().sort_values(["customer_id", "txn_date", "txn_id"])
+    pdf["rn"] = pdf.groupby("customer_id").cumcount() + 1
+    m = got.merge(pdf[["txn_id", "rn"]], on="txn_id", suffixes=("", "_exp"))
+    assert len(m) == 3000 and (m["rn"] == m["rn_exp"]).all()

@@ -17,6 +17,8 @@ every later use (counts, joins) reads the same layout and an executor loss
 cannot reshuffle it.  On top of positions:
 
 * ``global_row_number``  - 1..n over the total order (surrogate keys)
+* ``row_number_within``  - ROW_NUMBER() per group: position minus the
+                           group's first position
 * ``lag_within``         - previous row of the same group: equi-join on
                            ``position - 1``; unique keys, no skew
 * ``rank_within``        - RANK(): position of the first tied row minus the
@@ -67,6 +69,19 @@ def global_row_number(df: DataFrame, order: Sequence[Column | str], name: str =
     return with_position(df, order).withColumn(name, F.col(POS) + 1).drop(POS)
 
 
+def row_number_within(
+    df: DataFrame, group: Sequence[str], order: Sequence[Column | str], name: str = "row_num"
+) -> DataFrame:
+    """ROW_NUMBER() OVER (PARTITION BY group ORDER BY order) as ``name``;
+    ``group + order`` must be a total order.  Position minus the group's
+    first position: one partial aggregate and one join, no group window."""
+    pos = with_position(df, [*group, *order])
+    g_first = pos.groupBy(*group).agg(F.min(POS).alias("_g0"))
+    return _join_null_safe(pos, g_first, list(group)).select(
+        *[F.col(f"l.{c}") for c in df.columns], (F.col(POS) - F.col("_g0") + 1).alias(name)
+    )
+
+
 def lag_within(
     df: DataFrame, group: Sequence[str], order: Sequence[Column | str], value: str, name: str
 ) -> DataFrame:

@@ -160,18 +160,39 @@ def _window_orders(spark: SparkSession, sf_dir: str, as_of: dt.date, window_days
 
 
 def tpch_transactions(
-    spark: SparkSession, sf_dir: str, as_of: dt.date = TPCH_AS_OF, window_days: int = TPCH_WINDOW_DAYS
+    spark: SparkSession,
+    sf_dir: str,
+    as_of: dt.date = TPCH_AS_OF,
+    window_days: int = TPCH_WINDOW_DAYS,
+    numbering: str = "window",
 ) -> DataFrame:
+    """Transactions in the window.  ``(l_orderkey, l_linenumber)`` repeats,
+    so the lines of an order are numbered by all their columns:
+
+    * ``"window"``     - ROW_NUMBER over the order key.  The group is one
+                         order (a handful of lines), and Catalyst prunes the
+                         window from every plan that does not read txn_id.
+    * ``"positional"`` - the same numbers from global positions
+                         (``operators.ordered``), for sources where a single
+                         order key may hold a large share of the rows; runs a
+                         checkpointed sort when the bundle is built.
+    """
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", *TXN_ORDER_COLUMNS)
     o = _window_orders(spark, sf_dir, as_of, window_days)
     joined = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
-    # (l_orderkey, l_linenumber) repeats; number the lines of an order by
-    # all their columns.  Catalyst prunes this window from every plan that
-    # does not read txn_id.
-    w = Window.partitionBy("l_orderkey").orderBy(*[F.col(c).asc_nulls_first() for c in TXN_ORDER_COLUMNS])
+    order_cols = [F.col(c).asc_nulls_first() for c in TXN_ORDER_COLUMNS]
+    if numbering == "positional":
+        from tierwise.operators.ordered import row_number_within
+
+        joined = row_number_within(joined, ["l_orderkey"], order_cols, "_line_no")
+        line_no = F.col("_line_no")
+    elif numbering == "window":
+        line_no = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*order_cols))
+    else:
+        raise ValueError(f"numbering must be 'window' or 'positional', got {numbering!r}")
     return conform(
         joined.select(
-            (F.col("l_orderkey") * F.lit(1000) + F.row_number().over(w)).alias("txn_id"),
+            (F.col("l_orderkey") * F.lit(1000) + line_no).alias("txn_id"),
             F.col("o_custkey").alias("customer_id"),
             F.col("l_partkey").alias("product_id"),
             F.col("l_quantity").cast("int").alias("quantity"),
