@@ -227,3 +227,20 @@ def customer_spend_eager(t):
     from tierwise.operators.spend import customer_spend
 
     return customer_spend(t.without_broadcast()).select("customer_id", money("total_spend").alias("total_spend"))
+
+
+# -- table metadata (checked by row count only) --------------------------------------
+
+
+@query("table_detail")
+def table_detail_q(t):
+    """table_name, num_rows, num_files, size_bytes of the source tables the
+    star is read from (DESCRIBE DETAIL re-aimed at plain parquet)."""
+    from tierwise.sources.catalog import table_detail
+
+    spark = t.spark
+    out = None
+    for name, path in t.source_paths.items():
+        d = table_detail(spark.read.parquet(path), name)
+        out = d if out is None else out.unionByName(d)
+    return out

@@ -37,6 +37,7 @@ class Tables:
     as_of: dt.date | None = None
     # raw row counts of the sources the view layer reads, for volume checks
     source_counts: dict[str, DataFrame] = field(default_factory=dict)
+    source_paths: dict[str, str] = field(default_factory=dict)
     # dimensions with at most this many rows are broadcast; < 0 never
     broadcast_max_rows: int = BROADCAST_MAX_ROWS
     # persist per-customer aggregates that many reports reuse
@@ -225,6 +226,7 @@ def from_tpch(
         rules=rules,
         as_of=as_of,
         source_counts=counts,
+        source_paths={n: f"{sf_dir}/{n}.parquet" for n in ("customer", "part", "orders", "lineitem")},
         reuse=reuse,
     )
 
