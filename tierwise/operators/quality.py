@@ -27,16 +27,32 @@ def _status(ok: Column) -> Column:
 # -- V1 volumes ---------------------------------------------------------------
 
 
+def fact_key_counts(t: Tables) -> DataFrame:
+    """customer_id, product_id, n, gid - fact rows per customer_id
+    (gid 1) and per product_id (gid 2), both from one scan of the fact
+    (GROUPING SETS; the partial aggregate collapses the expanded rows before
+    the exchange).  Dimension-sized; shared by the volume and orphan checks."""
+
+    def build():
+        return (
+            t.transactions.select("customer_id", "product_id")
+            .groupingSets([["customer_id"], ["product_id"]], "customer_id", "product_id")
+            .agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("gid"))
+        )
+
+    return t.shared("fact_keys", build)
+
+
 def scan_counts(t: Tables) -> DataFrame:
     """table_name, row_count for the three tables."""
-    parts = [
+    facts = fact_key_counts(t).where(F.col("gid") == 1).agg(
+        F.lit("sales_transactions").alias("table_name"), F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("row_count")
+    )
+    dims = [
         df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
-        for name, df in (("customers", t.customers), ("products", t.products), ("sales_transactions", t.transactions))
+        for name, df in (("customers", t.customers), ("products", t.products))
     ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return dims[0].unionByName(dims[1]).unionByName(facts)
 
 
 def _expected_counts(t: Tables, expected: dict[str, int] | None) -> DataFrame:
@@ -176,10 +192,12 @@ def null_profile(t: Tables) -> DataFrame:
 # -- V5 referential integrity --------------------------------------------------------
 
 
-def orphan_count(facts: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+def orphan_count(facts: DataFrame, dim: DataFrame, key: str, per_key: DataFrame | None = None) -> DataFrame:
     """orphaned_count: fact rows whose ``key`` has no dimension row (NULL
-    keys included).  Facts are counted per key before the anti join."""
-    per_key = facts.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    keys included).  Facts are counted per key before the anti join
+    (``per_key``: precomputed ``key, n``)."""
+    if per_key is None:
+        per_key = facts.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     return (
         per_key.join(dim.select(key).where(F.col(key).isNotNull()), key, "left_anti")
         .agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("orphaned_count"))
@@ -187,11 +205,13 @@ def orphan_count(facts: DataFrame, dim: DataFrame, key: str) -> DataFrame:
 
 
 def orphan_customers(t: Tables) -> DataFrame:
-    return orphan_count(t.transactions, t.customers, "customer_id")
+    keys = fact_key_counts(t).where(F.col("gid") == 1).select("customer_id", "n")
+    return orphan_count(t.transactions, t.customers, "customer_id", keys)
 
 
 def orphan_products(t: Tables) -> DataFrame:
-    return orphan_count(t.transactions, t.products, "product_id")
+    keys = fact_key_counts(t).where(F.col("gid") == 2).select("product_id", "n")
+    return orphan_count(t.transactions, t.products, "product_id", keys)
 
 
 # -- V6 duplicates, V7 rule violations, V12 conservation ----------------------------
