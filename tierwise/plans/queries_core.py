@@ -330,9 +330,9 @@ def null_checks(t):
 
 @query("null_profile", with_views(
     """SELECT 'customers' AS table_name,
-       SUM(CASE WHEN customer_id IS NULL THEN 1 ELSE 0 END) AS null_customer_ids,
-       SUM(CASE WHEN cust_name IS NULL THEN 1 ELSE 0 END) AS null_names,
-       SUM(CASE WHEN segment IS NULL THEN 1 ELSE 0 END) AS null_segments
+       CAST(SUM(CASE WHEN customer_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_customer_ids,
+       CAST(SUM(CASE WHEN cust_name IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_names,
+       CAST(SUM(CASE WHEN segment IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_segments
 FROM customers"""))
 def null_profile(t):
     return Q.null_profile(t)
