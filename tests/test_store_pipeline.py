@@ -36,3 +36,23 @@ def test_pipeline_end_to_end(spark, scratch):
     # second run changes nothing
     updated, _, _ = process_tiers_job(store)
     assert updated == 0
+
+
+def test_partitioned_fact_and_clustered_customers(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from tierwise.operators.generate import generate
+    from tierwise.plans.pipeline import load_star, tables_from_store
+
+    g = generate(spark, GenSpec(customers=80, products=10, transactions=2000, seed=5))
+    store = StarStore(spark, f"{scratch}/star")
+    load_star(store, g, partition_fact=True)
+    raw = store["sales_transactions"].read()
+    assert {"txn_year", "txn_month"} <= set(raw.columns)
+    t = tables_from_store(store)
+    assert t.transactions.columns == ["txn_id", "customer_id", "product_id", "quantity", "txn_date"]
+    a = sorted(tuple(r) for r in t.transactions.collect())
+    b = sorted(tuple(r) for r in g["sales_transactions"].collect())
+    assert a == b
+    p = raw.where(F.col("txn_year") == 2023)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(txn_year" in p

@@ -18,8 +18,9 @@ from tierwise.operators import quality as Q
 from tierwise.operators.generate import GenSpec, generate
 from tierwise.operators.tiers import apply_tier_changes, tier_changes, tier_counts
 from tierwise.rules import DEFAULT_RULES, TierRules
+from tierwise.schemas import CUSTOMERS, PRODUCTS, SALES_TRANSACTIONS, conform
 from tierwise.sources.model import Tables
-from tierwise.sources.store import StarStore
+from tierwise.sources.store import StarStore, with_month_partitions
 
 
 @dataclass
@@ -32,20 +33,29 @@ class RunResult:
     report: list[tuple]
 
 
-def load_star(store: StarStore, frames: dict[str, DataFrame]) -> None:
+def load_star(store: StarStore, frames: dict[str, DataFrame], partition_fact: bool = False) -> None:
+    """Write the three tables as new versions.  ``partition_fact`` lays the
+    fact out by transaction year and month; customers are range-clustered
+    by id so key lookups and merges skip row groups."""
     for name in StarStore.NAMES:
-        store[name].write(frames[name])
+        df = frames[name]
+        if name == "sales_transactions" and partition_fact:
+            store[name].write(with_month_partitions(df), partition_by=["txn_year", "txn_month"])
+        elif name == "customers":
+            store[name].write(df, cluster_by=["customer_id"])
+        else:
+            store[name].write(df)
 
 
 def generate_star(spark: SparkSession, store: StarStore, spec: GenSpec = GenSpec()) -> None:
     load_star(store, generate(spark, spec))
 
 
-def tables_from_store(store: StarStore, rules: TierRules = DEFAULT_RULES, expected: dict | None = None) -> Tables:
+def tables_from_store(store: StarStore, rules: TierRules = DEFAULT_RULES) -> Tables:
     return Tables(
-        customers=store["customers"].read(),
-        products=store["products"].read(),
-        transactions=store["sales_transactions"].read(),
+        customers=conform(store["customers"].read(), CUSTOMERS),
+        products=conform(store["products"].read(), PRODUCTS),
+        transactions=conform(store["sales_transactions"].read(), SALES_TRANSACTIONS),
         rules=rules,
     )
 
@@ -63,7 +73,7 @@ def process_tiers_job(store: StarStore, rules: TierRules = DEFAULT_RULES) -> tup
     updated = changes.count()
     if updated == 0:
         return 0, store["customers"].current_version(), changes_v
-    customers_v = store["customers"].write(apply_tier_changes(t, changes))
+    customers_v = store["customers"].write(apply_tier_changes(t, changes), cluster_by=["customer_id"])
     return updated, customers_v, changes_v
 
 
