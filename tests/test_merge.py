@@ -29,3 +29,13 @@ def test_compare(spark):
     b = spark.createDataFrame([(1, "a"), (2, "B"), (3, None), (4, "d")], "k int, v string")
     got = {r.status: r.row_count for r in compare_tables(a, b, "k").collect()}
     assert got == {"same": 2, "changed": 1, "only_right": 1}
+
+
+def test_duplicate_insert_key_fails(spark):
+    import pytest
+
+    tgt = spark.createDataFrame([(1, "a")], "k bigint, v string")
+    src = spark.createDataFrame([(2, "x"), (2, "y")], "k bigint, v string")
+    tagged = merge(tgt, src, "k", not_matched=WhenNotMatched(values={"k": F.col("s.k"), "v": F.col("s.v")}))
+    with pytest.raises(Exception, match="more than one source row"):
+        tagged.collect()

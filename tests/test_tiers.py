@@ -76,7 +76,7 @@ def test_orphans_and_nulls(spark):
 def test_duplicate_merge_source_fails(spark):
     t = basic(spark)
     dup = spark.createDataFrame([(2, "SILVER"), (2, "BRONZE")], "customer_id bigint, new_tier string")
-    with pytest.raises(Exception, match="more than one source row"):
+    with pytest.raises(Exception, match="more than one source row for one key"):
         T.apply_tier_changes(t, dup).collect()
 
 

@@ -9,8 +9,7 @@
     keep    - target row left as it was
 
 Semantics follow the usual MERGE: clauses for matched rows are tried in
-order, first match wins; a target row matching more than one source row is
-an error.  The source is grouped by key once (one shuffle of the source);
+order, first match wins; a source key present more than once is an error.  The source is grouped by key once (one shuffle of the source);
 that grouping both detects duplicates lazily - the job fails with
 ``raise_error`` - and leaves the source hash-partitioned by key, so the
 join with the target reuses it.
@@ -83,7 +82,9 @@ def merge(
         nonlocal action
         action = F.when(c, F.lit(v)) if action is None else action.when(c, F.lit(v))
 
-    add(both & (F.col(f"s.{_N}") > 1), "_dup")
+    # a duplicated source key is an error whether it matches (ambiguous
+    # update) or not (ambiguous insert)
+    add(s_here & (F.col(f"s.{_N}") > 1), "_dup")
     for i, clause in enumerate(matched):
         c = both if clause.condition is None else both & F.coalesce(clause.condition, F.lit(False))
         add(c, "delete" if clause.delete else f"update{i}")
@@ -95,7 +96,7 @@ def merge(
         add(c, "insert")
     add(t_here, "keep")
     act = action.otherwise(F.lit(None).cast("string"))
-    act = F.when(act == "_dup", F.raise_error(F.lit("MERGE: a target row matched more than one source row"))).otherwise(act)
+    act = F.when(act == "_dup", F.raise_error(F.lit("MERGE: more than one source row for one key"))).otherwise(act)
 
     j = j.select("*", act.alias("_act0")).where(F.col("_act0").isNotNull())
 
