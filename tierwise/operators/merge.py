@@ -9,7 +9,9 @@
     keep    - target row left as it was
 
 Semantics follow the usual MERGE: clauses for matched rows are tried in
-order, first match wins; a source key present more than once is an error.  The source is grouped by key once (one shuffle of the source);
+order, first match wins; a source key present more than once is an error.
+The source is grouped by key once (one shuffle of the source, with a
+map-side partial aggregate, so a hot key costs one row per partition);
 that grouping both detects duplicates lazily - the job fails with
 ``raise_error`` - and leaves the source hash-partitioned by key, so the
 join with the target reuses it.
