@@ -116,3 +116,29 @@ def test_tier_stats_half_up(spark):
     st = rows(R.tier_stats(t), "segment")["GOLD"]
     assert st["customer_count"] == 3 and st["avg_spend"] == Decimal("1.01")
     assert st["total_revenue"] == Decimal("2.01")
+
+
+def test_duplicate_product_rows_match_row_join_sql(spark):
+    """Price sums per product give the row join's sums and distinct counts."""
+    from dataclasses import replace
+
+    customers = [(1, "a", "GOLD", D), (2, "b", "SILVER", D)]
+    products = [(1, "p", "Home", price(10)), (1, "p", "Home", price(12)),
+                (1, "p", "Toys", price(5)), (2, "q", "Home", price(7))]
+    txns = [(1, 1, 1, 2, D), (2, 1, 2, 1, D), (3, 2, 1, 3, D), (4, 2, 9, 1, D)]
+    for unique in (False, True):
+        t = replace(star(spark, customers, products, txns), unique_txn_id=unique)
+        t.customers.createOrReplaceTempView("c")
+        t.products.createOrReplaceTempView("p")
+        t.transactions.createOrReplaceTempView("t")
+        exp_top = {r[0]: (r[1], r[2]) for r in spark.sql(
+            "SELECT c.customer_id, CAST(SUM(p.unit_price * t.quantity) AS DECIMAL(38,2)), COUNT(DISTINCT t.txn_id) "
+            "FROM c JOIN t ON c.customer_id = t.customer_id JOIN p ON t.product_id = p.product_id "
+            "GROUP BY c.customer_id").collect()}
+        got_top = {r.customer_id: (r.total_spend, r.transaction_count) for r in R.top_customers(t).collect()}
+        assert got_top == exp_top
+        exp_cat = {r[0]: (r[1], r[2]) for r in spark.sql(
+            "SELECT p.category, COUNT(DISTINCT t.txn_id), CAST(SUM(p.unit_price * t.quantity) AS DECIMAL(38,2)) "
+            "FROM t JOIN p ON t.product_id = p.product_id GROUP BY p.category").collect()}
+        got_cat = {r.category: (r.transaction_count, r.total_revenue) for r in R.revenue_by_category(t).collect()}
+        assert got_cat == exp_cat

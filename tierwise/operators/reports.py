@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierwise.functions.money import avg_half_up, money
-from tierwise.operators.spend import customer_totals, priced_lines, spend_by_customer
+from tierwise.operators.spend import customer_totals, priced_lines, spend_by_customer, txn_count
 from tierwise.sources.model import Tables
 
 
@@ -142,13 +142,13 @@ def category_price_stats(products: DataFrame) -> DataFrame:
 
 def revenue_by_category(t: Tables) -> DataFrame:
     """category, transaction_count, total_revenue, avg_transaction_value."""
-    products = t.products_for_join("product_id", "category", "unit_price")
+    products = t.product_prices("category")
     lines = t.transactions.select("txn_id", "product_id", "quantity").join(products, "product_id", "inner")
     amount = F.col("unit_price") * F.col("quantity")
     return (
         lines.groupBy("category")
         .agg(
-            F.count_distinct("txn_id").alias("transaction_count"),
+            txn_count(t).alias("transaction_count"),
             money(F.sum(amount)).alias("total_revenue"),
             avg_half_up(amount).alias("avg_transaction_value"),
         )

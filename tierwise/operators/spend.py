@@ -17,14 +17,15 @@ from tierwise.sources.model import Tables
 
 
 def priced_lines(t: Tables, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Transactions inner-joined to products with ``amount = unit_price * quantity``.
+    """Transactions inner-joined to products with ``amount = unit_price * quantity``
+    (per-product price sums, see ``Tables.product_prices``).
 
     Without a provable size bound on products the fact is first reduced to
     one row per (customer, product) - exact, because price is constant per
     product - so the shuffle join moves pairs, not transactions.  ``keep``
     asks for extra transaction columns and disables that reduction.
     """
-    products = t.products_for_join("product_id", "unit_price")
+    products = t.product_prices()
     facts = t.transactions
     if keep or t.is_bounded("products"):
         lines = facts.select("customer_id", "product_id", "quantity", *keep)
@@ -35,6 +36,12 @@ def priced_lines(t: Tables, keep: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
+def txn_count(t: Tables):
+    """COUNT(DISTINCT txn_id), or COUNT(txn_id) where txn_id is a declared
+    key (same value, no per-transaction exchange)."""
+    return F.count("txn_id") if t.unique_txn_id else F.count_distinct("txn_id")
+
+
 def spend_by_customer(t: Tables) -> DataFrame:
     """customer_id, total_spend over transactions joined to products only
     (the reports' ``spend`` subquery: no customers join).  A customer whose
@@ -68,7 +75,7 @@ def spend_and_count_by_customer(t: Tables) -> DataFrame:
         lines = priced_lines(t, keep=("txn_id",))
         return lines.groupBy("customer_id").agg(
             F.sum("amount").alias("total_spend"),
-            F.count_distinct("txn_id").alias("txn_count"),
+            txn_count(t).alias("txn_count"),
         )
 
     return t.shared("spend_and_count", build)

@@ -42,6 +42,9 @@ class Tables:
     broadcast_max_rows: int = BROADCAST_MAX_ROWS
     # persist per-customer aggregates that many reports reuse
     reuse: bool = False
+    # txn_id is a key of the fact: COUNT(txn_id) = COUNT(DISTINCT txn_id),
+    # which saves the per-transaction exchange of a distinct aggregation
+    unique_txn_id: bool = False
     _bounded: dict[str, bool] = field(default_factory=dict, repr=False)
     _memo: dict[str, DataFrame] = field(default_factory=dict, repr=False)
 
@@ -98,6 +101,18 @@ class Tables:
         p = self.products.select(*cols) if cols else self.products
         return F.broadcast(p) if self.is_bounded("products") else p
 
+    def product_prices(self, *by: str) -> DataFrame:
+        """product_id, *by, unit_price = SUM(unit_price) over the product
+        rows sharing (product_id, *by).
+
+        Joining this instead of products gives every sum of
+        ``unit_price * quantity`` the row join gives (one term per product
+        row), but never multiplies fact rows, so per-transaction counts stay
+        counts.  Without the broadcast bound, the aggregate's exchange by
+        product_id is the one the following shuffle join needs."""
+        p = self.products.groupBy("product_id", *by).agg(F.sum("unit_price").alias("unit_price"))
+        return F.broadcast(p) if self.is_bounded("products") else p
+
 
 # ---------------------------------------------------------------------------
 # Driver tables -> star (FIXTURES.md section B)
@@ -210,7 +225,11 @@ def from_tpch(
     as_of: dt.date = TPCH_AS_OF,
     window_days: int = TPCH_WINDOW_DAYS,
     reuse: bool = False,
+    unique_txn_id: bool = True,
 ) -> Tables:
+    """The star over the driver's tables.  ``txn_id`` is built as
+    ``l_orderkey * 1000 + line number``, unique while an order has fewer
+    than 1000 lines (FIXTURES.md: at most 16), hence ``unique_txn_id``."""
     counts = {
         "customers": spark.read.parquet(f"{sf_dir}/customer.parquet").agg(F.count(F.lit(1)).alias("n")),
         "products": spark.read.parquet(f"{sf_dir}/part.parquet").agg(F.count(F.lit(1)).alias("n")),
@@ -228,6 +247,7 @@ def from_tpch(
         source_counts=counts,
         source_paths={n: f"{sf_dir}/{n}.parquet" for n in ("customer", "part", "orders", "lineitem")},
         reuse=reuse,
+        unique_txn_id=unique_txn_id,
     )
 
 
