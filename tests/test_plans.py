@@ -16,13 +16,22 @@ def plan(df) -> str:
 
 
 def test_spend_prunes_numbering_and_pushes_date(spark):
-    p = plan(E.queries()["customer_spend"](spark, SF))
+    from tierwise.operators.spend import customer_spend
+    from tierwise.sources.model import from_tpch
+
+    p = plan(customer_spend(from_tpch(spark, SF)))
     assert "Window" not in p  # txn_id numbering pruned
     assert "GreaterThanOrEqual(o_orderdate" in p  # date window reaches the scan
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double>" in p
     assert "NestedLoop" not in p and "Cartesian" not in p
 
 
+def test_registry_reads_the_written_view_with_pruning(spark):
+    p = plan(E.queries()["customer_spend"](spark, SF))
+    assert "tierwise-derived-" in p and "lineitem" not in p
+    assert "ReadSchema: struct<customer_id:bigint,product_id:bigint,quantity:int>" in p
+
+
 def test_top_n_per_tier_limits_before_exchange(spark):
     p = plan(E.queries()["top_n_per_tier"](spark, SF))
     assert p.count("WindowGroupLimit") >= 2  # partial (before exchange) and final

@@ -226,10 +226,17 @@ def from_tpch(
     window_days: int = TPCH_WINDOW_DAYS,
     reuse: bool = False,
     unique_txn_id: bool = True,
+    materialize: bool = False,
 ) -> Tables:
     """The star over the driver's tables.  ``txn_id`` is built as
     ``l_orderkey * 1000 + line number``, unique while an order has fewer
-    than 1000 lines (FIXTURES.md: at most 16), hence ``unique_txn_id``."""
+    than 1000 lines (FIXTURES.md: at most 16), hence ``unique_txn_id``.
+
+    ``materialize`` writes the transactions view (the lineitem-orders join,
+    the date window and the line numbering) once as a parquet table under
+    the session's checkpoint folder; every later query reads that table,
+    with column pruning and filter pushdown, instead of redoing the join.
+    """
     counts = {
         "customers": spark.read.parquet(f"{sf_dir}/customer.parquet").agg(F.count(F.lit(1)).alias("n")),
         "products": spark.read.parquet(f"{sf_dir}/part.parquet").agg(F.count(F.lit(1)).alias("n")),
@@ -238,10 +245,13 @@ def from_tpch(
         .join(_window_orders(spark, sf_dir, as_of, window_days), F.col("l_orderkey") == F.col("o_orderkey"))
         .agg(F.count(F.lit(1)).alias("n")),
     }
+    transactions = tpch_transactions(spark, sf_dir, as_of, window_days)
+    if materialize:
+        transactions = write_derived(transactions, "sales_transactions")
     return Tables(
         customers=tpch_customers(spark, sf_dir, as_of),
         products=tpch_products(spark, sf_dir),
-        transactions=tpch_transactions(spark, sf_dir, as_of, window_days),
+        transactions=transactions,
         rules=rules,
         as_of=as_of,
         source_counts=counts,
@@ -251,6 +261,21 @@ def from_tpch(
     )
 
 
+def write_derived(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as parquet to a fresh folder under the checkpoint
+    folder the cluster names (``spark.checkpoint.dir``) and return the
+    DataFrame reading it back: a written table that cuts the lineage."""
+    import uuid
+
+    from tierwise.session import ensure_checkpoint_dir
+
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/tierwise-derived-{uuid.uuid4().hex}/{name}"
+    df.write.mode("errorifexists").parquet(path)
+    return conform(spark.read.parquet(path), SALES_TRANSACTIONS if name == "sales_transactions" else df.schema)
+
+
 def from_parquet(
     spark: SparkSession, root: str, rules: TierRules = DEFAULT_RULES, as_of: dt.date | None = None
 ) -> Tables:
