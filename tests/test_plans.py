@@ -58,3 +58,15 @@ def test_no_cross_joins_anywhere(spark):
             continue  # eager checkpoint jobs; covered in test_ordered
         p = plan(fn(spark, SF))
         assert "NestedLoop" not in p and "Cartesian" not in p, name
+
+
+def test_window_boundary_independent_of_session_zone(spark):
+    from tierwise.sources.model import tpch_transactions
+
+    base = tpch_transactions(spark, "/root/testdata/sf0.001").count()
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        shifted = tpch_transactions(spark, "/root/testdata/sf0.001").count()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert base == shifted == 854

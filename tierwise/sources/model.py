@@ -171,7 +171,8 @@ def _window_orders(spark: SparkSession, sf_dir: str, as_of: dt.date, window_days
     first_day = as_of - dt.timedelta(days=window_days - 1)
     # ``cast(o_orderdate as date) > as_of - window`` written on the raw column
     # so that the predicate reaches the parquet scan
-    lower = F.lit(dt.datetime.combine(first_day, dt.time())).cast(date_type)
+    # from a string: no dependence on the Python process's time zone
+    lower = F.lit(f"{first_day.isoformat()} 00:00:00").cast(date_type)
     return o.select("o_orderkey", "o_custkey", "o_orderdate").where(F.col("o_orderdate") >= lower)
 
 
