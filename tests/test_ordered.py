@@ -2,11 +2,23 @@
 generated data where one customer holds 40% of all transactions."""
 
 import pandas as pd
+import pytest
 
 from tierwise.operators.generate import GenSpec, gen_products, gen_transactions
 from tierwise.operators.ordered import global_row_number, lag_within, rank_within
 
 
+@pytest.fixture(autouse=True)
+def many_partitions(spark):
+    """Keep the sort's range partitions apart (AQE would coalesce these few
+    rows into one) so that hot groups span several partitions."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 def _tx(spark):
     spec = GenSpec(products=30, customers=50, transactions=3000, hot_share=0.4, partitions=6)
     return gen_transactions(spark, spec), gen_products(spark, spec)
@@ -70,3 +82,31 @@ def test_row_number_within_hot_group(spark):
     pdf["rn"] = pdf.groupby("customer_id").cumcount() + 1
     m = got.merge(pdf[["txn_id", "rn"]], on="txn_id", suffixes=("", "_exp"))
     assert len(m) == 3000 and (m["rn"] == m["rn_exp"]).all()
+
+
+def test_carry_across_batches_and_many_partitions(spark):
+    """Small Arrow batches and more partitions: a hot group spans several
+    partitions and batches; NULL keys form their own group."""
+    from pyspark.sql import functions as F
+
+    from tierwise.operators.ordered import lag_within, row_number_within
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        tx, _ = _tx(spark)
+        tx = tx.withColumn("customer_id", F.when(F.col("txn_id") % 97 == 0, None).otherwise(F.col("customer_id")))
+        rn = row_number_within(tx, ["customer_id"], ["txn_date", "txn_id"], "rn").toPandas()
+        lg = lag_within(tx.select("customer_id", "txn_id", "txn_date"), ["customer_id"], ["txn_date", "txn_id"],
+                        "txn_date", "prev").toPandas()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    pdf = tx.toPandas()
+    pdf["ck"] = pdf["customer_id"].fillna(-1)
+    pdf = pdf.sort_values(["ck", "txn_date", "txn_id"])
+    pdf["rn_exp"] = pdf.groupby("ck").cumcount() + 1
+    pdf["prev_exp"] = pdf.groupby("ck")["txn_date"].shift(1)
+    m = rn.merge(pdf[["txn_id", "rn_exp"]], on="txn_id")
+    assert len(m) == 3000 and (m["rn"] == m["rn_exp"]).all()
+    m = lg.merge(pdf[["txn_id", "prev_exp"]], on="txn_id")
+    assert ((m["prev"] == m["prev_exp"]) | (m["prev"].isna() & m["prev_exp"].isna())).all()

@@ -12,15 +12,21 @@ total order:
 3. Row counts per partition (one row per partition, a proven bound) turn
    that into a global position.
 
-The positioned rows are checkpointed to the cluster's checkpoint folder, so
-every later use (counts, joins) reads the same layout and an executor loss
-cannot reshuffle it.  On top of positions:
-
-* ``global_row_number``  - 1..n over the total order (surrogate keys)
-* ``row_number_within``  - ROW_NUMBER() per group: position minus the
-                           group's first position
-* ``lag_within``         - previous row of the same group: equi-join on
-                           ``position - 1``; unique keys, no skew
+The sorted rows are checkpointed to the cluster's checkpoint folder, so
+every later use reads the same layout and an executor loss cannot
+reshuffle it.  On top of that:
+
+* ``global_row_number``  - 1..n over the total order (surrogate keys):
+                           per-partition offsets, broadcast join
+* ``lag_within``         - previous row of the same group, and
+* ``row_number_within``  - ROW_NUMBER() per group: two scans of the sorted
+                           partitions and no further shuffle.  Scan one
+                           summarises each partition (its last group key,
+                           value and run length: one row per partition);
+                           the driver chains those few rows into a carry
+                           per partition; scan two (vectorised pandas per
+                           Arrow batch) continues each group across the
+                           partition boundary from the carry.
 * ``rank_within``        - RANK(): position of the first tied row minus the
                            first position of the group, both from
                            aggregates (partial, skew-safe)
@@ -30,8 +36,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from tierwise.session import ensure_checkpoint_dir
 
@@ -69,37 +78,170 @@ def global_row_number(df: DataFrame, order: Sequence[Column | str], name: str =
     return with_position(df, order).withColumn(name, F.col(POS) + 1).drop(POS)
 
 
-def row_number_within(
-    df: DataFrame, group: Sequence[str], order: Sequence[Column | str], name: str = "row_num"
-) -> DataFrame:
-    """ROW_NUMBER() OVER (PARTITION BY group ORDER BY order) as ``name``;
-    ``group + order`` must be a total order.  Position minus the group's
-    first position: one partial aggregate and one join, no group window."""
-    pos = with_position(df, [*group, *order])
-    g_first = pos.groupBy(*group).agg(F.min(POS).alias("_g0"))
-    return _join_null_safe(pos, g_first, list(group)).select(
-        *[F.col(f"l.{c}") for c in df.columns], (F.col(POS) - F.col("_g0") + 1).alias(name)
+def _sorted_partitions(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+    """``df`` range-sorted by ``order`` plus ``_part`` (its partition),
+    checkpointed: partitions and row order are fixed from here on."""
+    ensure_checkpoint_dir(df.sparkSession)
+    s = df.orderBy(*_order_cols(order)).select("*", F.spark_partition_id().alias("_part"))
+    return s.checkpoint(eager=True)
+
+
+def _key_changes(keys: pd.DataFrame) -> np.ndarray:
+    """True where a row's key differs (NULL-safely) from the row before;
+    row 0 is True."""
+    prev = keys.shift(1)
+    diff = np.zeros(len(keys), dtype=bool)
+    for c in keys.columns:
+        a, b = keys[c], prev[c]
+        diff |= (a.ne(b) & ~(a.isna() & b.isna())).to_numpy()
+    if len(diff):
+        diff[0] = True
+    return diff
+
+
+def _na(v) -> bool:
+    try:
+        return bool(pd.isna(v))
+    except (TypeError, ValueError):
+        return False
+
+
+def _same_key(a: tuple | None, b: tuple | None) -> bool:
+    if a is None or b is None:
+        return False
+    return all((_na(x) and _na(y)) or (not _na(x) and not _na(y) and x == y) for x, y in zip(a, b))
+
+
+def _py(v):
+    return None if _na(v) else (v.item() if hasattr(v, "item") else v)
+
+
+def _summaries(ck: DataFrame, group: Sequence[str], value: str | None) -> list:
+    """Scan one: per non-empty partition, its first and last key, the last
+    row's value and the length of its trailing run of the last key."""
+    group = list(group)
+    fields = [ck.schema[g] for g in group]
+    out = StructType(
+        [StructField("_part", IntegerType())]
+        + [StructField(f"_first_{i}", f.dataType) for i, f in enumerate(fields)]
+        + [StructField(f"_last_{i}", f.dataType) for i, f in enumerate(fields)]
+        + ([StructField("_last_val", ck.schema[value].dataType)] if value else [])
+        + [StructField("_run", LongType()), StructField("_n", LongType())]
     )
 
+    def summarise(batches):
+        part = first = last = last_val = None
+        run = n = 0
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            part = int(pdf["_part"].iloc[0])
+            keys = pdf[group]
+            if first is None:
+                first = tuple(_py(v) for v in keys.iloc[0])
+            changes = _key_changes(keys)
+            tail = len(pdf) - int(np.flatnonzero(changes)[-1])
+            row0 = tuple(_py(v) for v in keys.iloc[0])
+            whole = tail == len(pdf)
+            run = run + tail if whole and _same_key(row0, last) else tail
+            last = tuple(_py(v) for v in keys.iloc[-1])
+            if value:
+                last_val = _py(pdf[value].iloc[-1])
+            n += len(pdf)
+        if part is not None:
+            yield pd.DataFrame([[part, *first, *last, *([last_val] if value else []), run, n]],
+                               columns=out.fieldNames())
+
+    rows = ck.mapInPandas(summarise, out).collect()  # one row per partition
+    return sorted(rows, key=lambda r: r["_part"])
+
 
 def lag_within(
     df: DataFrame, group: Sequence[str], order: Sequence[Column | str], value: str, name: str
 ) -> DataFrame:
     """LAG(value) OVER (PARTITION BY group ORDER BY order) as ``name``.
-    ``group + order`` must be a total order."""
-    pos = with_position(df, [*group, *order])
-    prev = pos.select(
-        (F.col(POS) + 1).alias("_next"), *[F.col(g).alias(f"_p_{g}") for g in group], F.col(value).alias("_p_val")
-    )
-    same = None
-    for g in group:
-        c = F.col(g).eqNullSafe(F.col(f"_p_{g}"))
-        same = c if same is None else same & c
-    joined = pos.join(prev, F.col(POS) == F.col("_next"), "left")
-    return joined.select(
-        *[F.col(c) for c in df.columns],
-        F.when(same, F.col("_p_val")).alias(name),
-    )
+    ``group + order`` must be a total order.  One range shuffle; the rest
+    are scans of the sorted partitions."""
+    group = list(group)
+    ck = _sorted_partitions(df, [*group, *order])
+    k = len(group)
+    carry: dict[int, tuple] = {}
+    prev = None
+    for r in _summaries(ck, group, value):
+        carry[r["_part"]] = prev  # (last key, last value) of the previous non-empty partition
+        prev = (tuple(r[f"_last_{i}"] for i in range(k)), r["_last_val"])
+
+    cols = list(df.columns)
+    out = StructType([ck.schema[c] for c in cols] + [StructField(name, ck.schema[value].dataType)])
+
+    def apply(batches):
+        state = None
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            if state is None:
+                state = carry.get(int(pdf["_part"].iloc[0]))
+            keys = pdf[group]
+            changes = _key_changes(keys)
+            prev_vals = pdf[value].astype(object).shift(1)
+            row0 = tuple(_py(v) for v in keys.iloc[0])
+            if state is not None and _same_key(row0, state[0]):
+                changes[0] = False
+                prev_vals.iloc[0] = state[1]
+            res = pdf[cols].copy()
+            res[name] = prev_vals.where(~changes, None)
+            state = (tuple(_py(v) for v in keys.iloc[-1]), _py(pdf[value].iloc[-1]))
+            yield res
+
+    return ck.mapInPandas(apply, out)
+
+
+def row_number_within(
+    df: DataFrame, group: Sequence[str], order: Sequence[Column | str], name: str = "row_num"
+) -> DataFrame:
+    """ROW_NUMBER() OVER (PARTITION BY group ORDER BY order) as ``name``;
+    ``group + order`` must be a total order.  One range shuffle; a group
+    spanning partitions continues its count from the carry."""
+    group = list(group)
+    ck = _sorted_partitions(df, [*group, *order])
+    k = len(group)
+    carry: dict[int, tuple] = {}
+    prev = None  # (last key, rows of that key up to and including the partition)
+    for r in _summaries(ck, group, None):
+        first = tuple(r[f"_first_{i}"] for i in range(k))
+        last = tuple(r[f"_last_{i}"] for i in range(k))
+        before = prev[1] if prev is not None and _same_key(prev[0], first) else 0
+        carry[r["_part"]] = (first, before)
+        whole = r["_run"] == r["_n"]
+        prev = (last, (before + r["_n"]) if whole and before else r["_run"])
+
+    cols = list(df.columns)
+    out = StructType([ck.schema[c] for c in cols] + [StructField(name, LongType())])
+
+    def apply(batches):
+        state = None  # (key, rows of the key so far)
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            if state is None:
+                state = carry.get(int(pdf["_part"].iloc[0]))
+            keys = pdf[group]
+            changes = _key_changes(keys)
+            row0 = tuple(_py(v) for v in keys.iloc[0])
+            offset = state[1] if state is not None and _same_key(row0, state[0]) else 0
+            if offset:
+                changes[0] = False
+            gid = np.cumsum(changes)
+            rn = pd.Series(np.ones(len(pdf), dtype=np.int64)).groupby(gid).cumsum().to_numpy()
+            if offset:
+                rn[gid == gid[0]] += offset
+            res = pdf[cols].copy()
+            res[name] = rn
+            last = tuple(_py(v) for v in keys.iloc[-1])
+            state = (last, int(rn[-1]))
+            yield res
+
+    return ck.mapInPandas(apply, out)
 
 
 def rank_within(
