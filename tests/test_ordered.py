@@ -89,7 +89,7 @@ def test_carry_across_batches_and_many_partitions(spark):
     partitions and batches; NULL keys form their own group."""
     from pyspark.sql import functions as F
 
-    from tierwise.operators.ordered import lag_within, row_number_within
+    from tierwise.operators.ordered import lag_within, rank_within, row_number_within
 
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
     spark.conf.set("spark.sql.shuffle.partitions", "13")
@@ -99,6 +99,8 @@ def test_carry_across_batches_and_many_partitions(spark):
         rn = row_number_within(tx, ["customer_id"], ["txn_date", "txn_id"], "rn").toPandas()
         lg = lag_within(tx.select("customer_id", "txn_id", "txn_date"), ["customer_id"], ["txn_date", "txn_id"],
                         "txn_date", "prev").toPandas()
+        rk = rank_within(tx, ["customer_id"], [tx["quantity"].desc()], tie=["quantity"], extra=["txn_id"],
+                         name="rk").toPandas()
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
     pdf = tx.toPandas()
@@ -110,3 +112,6 @@ def test_carry_across_batches_and_many_partitions(spark):
     assert len(m) == 3000 and (m["rn"] == m["rn_exp"]).all()
     m = lg.merge(pdf[["txn_id", "prev_exp"]], on="txn_id")
     assert ((m["prev"] == m["prev_exp"]) | (m["prev"].isna() & m["prev_exp"].isna())).all()
+    pdf["rk_exp"] = pdf.groupby("ck")["quantity"].rank(method="min", ascending=False).astype(int)
+    m = rk.merge(pdf[["txn_id", "rk_exp"]], on="txn_id")
+    assert len(m) == 3000 and (m["rk"] == m["rk_exp"]).all()

@@ -18,7 +18,7 @@ reshuffle it.  On top of that:
 
 * ``global_row_number``  - 1..n over the total order (surrogate keys):
                            per-partition offsets, broadcast join
-* ``lag_within``         - previous row of the same group, and
+* ``lag_within``         - previous row of the same group,
 * ``row_number_within``  - ROW_NUMBER() per group: two scans of the sorted
                            partitions and no further shuffle.  Scan one
                            summarises each partition (its last group key,
@@ -27,9 +27,8 @@ reshuffle it.  On top of that:
                            per partition; scan two (vectorised pandas per
                            Arrow batch) continues each group across the
                            partition boundary from the carry.
-* ``rank_within``        - RANK(): position of the first tied row minus the
-                           first position of the group, both from
-                           aggregates (partial, skew-safe)
+* ``rank_within``        - RANK() per group: the same two scans, carrying
+                           the row count and the start of the tie run
 """
 
 from __future__ import annotations
@@ -250,24 +249,70 @@ def rank_within(
     """RANK() OVER (PARTITION BY group ORDER BY order) as ``name``.
 
     ``tie`` are the columns whose equality makes a tie (the ORDER BY
-    columns); ``extra`` completes ``order`` to a total order."""
-    pos = with_position(df, [*group, *order, *extra])
-    gkey = list(group)
-    tkey = [*group, *tie]
-    g_first = pos.groupBy(*gkey).agg(F.min(POS).alias("_g0"))
-    t_first = pos.groupBy(*tkey).agg(F.min(POS).alias("_t0"))
-    return (
-        _join_null_safe(_join_null_safe(pos, t_first, tkey), g_first, gkey)
-        .select(*[F.col(f"l.{c}") for c in df.columns], (F.col("_t0") - F.col("_g0") + 1).alias(name))
-    )
+    columns); ``extra`` completes ``order`` to a total order.  The rank of a
+    row is the group row number of the first row of its tie run; both the
+    row count and the start of the current tie run carry across partition
+    and batch boundaries.  One range shuffle."""
+    group, tie = list(group), list(tie)
+    ck = _sorted_partitions(df, [*group, *order, *extra])
+    k, m = len(group), len(tie)
+    both = [*group, *tie]
+    summaries = _summaries(ck, both, None)  # keyed by (group, tie): trailing tie run
+    group_sums = {r["_part"]: r for r in _summaries(ck, group, None)}
+    carry: dict[int, tuple] = {}
+    prev = None  # (last group key, its rows so far, last tie, rank of the last tie run)
+    for r in summaries:
+        g = group_sums[r["_part"]]
+        first_g = tuple(g[f"_first_{i}"] for i in range(k))
+        first_t = tuple(r[f"_first_{i}"] for i in range(k, k + m))
+        last_g = tuple(g[f"_last_{i}"] for i in range(k))
+        last_t = tuple(r[f"_last_{i}"] for i in range(k, k + m))
+        same_group = prev is not None and _same_key(prev[0], first_g)
+        before = prev[1] if same_group else 0
+        tie_start = prev[3] if same_group and _same_key(prev[2], first_t) else None
+        carry[r["_part"]] = (first_g, before, first_t, tie_start)
+        rows_last = (before + g["_n"]) if g["_run"] == g["_n"] else g["_run"]
+        if r["_run"] == r["_n"] and tie_start is not None:
+            last_start = tie_start  # one tie run over the whole partition, begun earlier
+        else:
+            last_start = rows_last - r["_run"] + 1
+        prev = (last_g, rows_last, last_t, last_start)
 
+    cols = list(df.columns)
+    out = StructType([ck.schema[c] for c in cols] + [StructField(name, LongType())])
+
+    def apply(batches):
+        state = None  # (group key, rows so far, tie, rank of the current tie run)
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            if state is None:
+                state = carry.get(int(pdf["_part"].iloc[0]))
+            g_changes = _key_changes(pdf[group])
+            t_changes = _key_changes(pdf[both])
+            g0 = tuple(_py(v) for v in pdf[group].iloc[0])
+            t0 = tuple(_py(v) for v in pdf[tie].iloc[0])
+            offset, start0 = 0, None
+            if state is not None and _same_key(g0, state[0]):
+                offset = state[1]
+                g_changes[0] = False
+                if _same_key(t0, state[2]) and state[3] is not None:
+                    start0 = state[3]
+                    t_changes[0] = False
+            gid = np.cumsum(g_changes)
+            rn = pd.Series(np.ones(len(pdf), dtype=np.int64)).groupby(gid).cumsum().to_numpy()
+            if offset:
+                rn[gid == gid[0]] += offset
+            tid = np.cumsum(t_changes)
+            rank = pd.Series(rn).groupby(tid).transform("first").to_numpy()
+            if start0 is not None:
+                rank[tid == tid[0]] = start0
+            res = pdf[cols].copy()
+            res[name] = rank
+            state = (
+                tuple(_py(v) for v in pdf[group].iloc[-1]), int(rn[-1]),
+                tuple(_py(v) for v in pdf[tie].iloc[-1]), int(rank[-1]),
+            )
+            yield res
 
-def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner equi-join where NULL keys match each other (group keys)."""
-    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
-    cond = None
-    for k in keys:
-        c = F.col(f"l.{k}").eqNullSafe(F.col(f"r._r_{k}"))
-        cond = c if cond is None else cond & c
-    out = left.alias("l").join(r.alias("r"), cond, "inner")
-    return out.select("l.*", *[F.col(f"r.{c}") for c in right.columns if c not in keys]).alias("l")
+    return ck.mapInPandas(apply, out)
