@@ -56,6 +56,17 @@ def main():
     out["validation_report"] = round(time.perf_counter() - t0, 2)
     out["report_status"] = sorted({r["Status"] for r in rep})
     out["hot_customer_txns"] = t.transactions.where(F.col("customer_id") == 1).count()
+    from tierwise.operators import windows as W
+
+    t0 = time.perf_counter()
+    gaps = W.days_between_txns(t)
+    gaps.write.format("noop").mode("overwrite").save()
+    out["days_between_txns"] = round(time.perf_counter() - t0, 2)
+    hot_gaps = gaps.where((F.col("customer_id") == 1) & F.col("prev_txn_date").isNull()).count()
+    out["hot_customer_first_rows"] = hot_gaps  # exactly 1 when the hot group is continued across partitions
+    t0 = time.perf_counter()
+    W.product_rank(t).write.format("noop").mode("overwrite").save()
+    out["product_rank"] = round(time.perf_counter() - t0, 2)
     out["top1"] = (top[0]["customer_id"], str(top[0]["total_spend"]), top[0]["transaction_count"])
     out["tiers"] = {r["segment"]: r["customer_count"] for r in stats}
     print(json.dumps(out))
