@@ -25,7 +25,11 @@ def tables(spark: SparkSession, sf_dir: str) -> Tables:
     same data: the transactions view written once as a parquet table in the
     checkpoint folder, the proven dimension bounds, and the persisted
     per-customer aggregates."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # a remote (Connect) session has no SparkContext
+        app = id(spark)
+    key = (app, sf_dir)
     if key not in _TABLES:
         _TABLES[key] = from_tpch(spark, sf_dir, reuse=True, materialize=True)
     return _TABLES[key]

@@ -34,7 +34,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster
     (``spark.checkpoint.dir``).  Only when the session names none (local
     tests) is a fresh scratch folder set."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote (Connect) session: the server owns the setting
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
