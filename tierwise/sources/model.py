@@ -228,6 +228,7 @@ def from_tpch(
     reuse: bool = False,
     unique_txn_id: bool = True,
     materialize: bool = False,
+    numbering: str = "window",
 ) -> Tables:
     """The star over the driver's tables.  ``txn_id`` is built as
     ``l_orderkey * 1000 + line number``, unique while an order has fewer
@@ -246,7 +247,7 @@ def from_tpch(
         .join(_window_orders(spark, sf_dir, as_of, window_days), F.col("l_orderkey") == F.col("o_orderkey"))
         .agg(F.count(F.lit(1)).alias("n")),
     }
-    transactions = tpch_transactions(spark, sf_dir, as_of, window_days)
+    transactions = tpch_transactions(spark, sf_dir, as_of, window_days, numbering)
     if materialize:
         transactions = write_derived(transactions, "sales_transactions")
     return Tables(
