@@ -142,3 +142,16 @@ def test_duplicate_product_rows_match_row_join_sql(spark):
             "FROM t JOIN p ON t.product_id = p.product_id GROUP BY p.category").collect()}
         got_cat = {r.category: (r.transaction_count, r.total_revenue) for r in R.revenue_by_category(t).collect()}
         assert got_cat == exp_cat
+
+
+def test_top_n_per_tier_beyond_group_limit_threshold(spark):
+    from tierwise.sources.model import from_tpch
+
+    t = from_tpch(spark, "/root/testdata/sf0.001")
+    a = sorted(tuple(r) for r in R.top_n_per_tier(t, 5).collect())
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "3")
+    try:
+        b = sorted(tuple(r) for r in R.top_n_per_tier(t, 5).collect())
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+    assert a == b and len(a) == 15

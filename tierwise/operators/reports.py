@@ -106,13 +106,21 @@ def top_in_tier(t: Tables, tier: str, k: int = 10) -> DataFrame:
 def top_n_per_tier(t: Tables, k: int = 10) -> DataFrame:
     """Top ``k`` per segment in one pass: ROW_NUMBER over segment.  Spark
     plans a per-partition group limit before the exchange, so at most ``k``
-    rows per segment and input partition are shuffled."""
-    w = Window.partitionBy("segment").orderBy(F.col("total_spend").desc(), F.col("customer_id").asc())
+    rows per segment and input partition are shuffled.  Spark adds that
+    limit only up to ``spark.sql.optimizer.windowGroupLimitThreshold``;
+    beyond it the row numbers come from ``ordered.row_number_within``
+    (one range sort, no window over the segment)."""
+    order = [F.col("total_spend").desc(), F.col("customer_id").asc(), F.col("cust_name").asc()]
+    totals = customer_totals(t).where(F.col("segment").isNotNull())
+    limit = int(t.spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if k <= limit:
+        ranked = totals.withColumn("rn", F.row_number().over(Window.partitionBy("segment").orderBy(*order)))
+    else:
+        from tierwise.operators.ordered import row_number_within
+
+        ranked = row_number_within(totals, ["segment"], order, "rn")
     return (
-        customer_totals(t)
-        .where(F.col("segment").isNotNull())
-        .withColumn("rn", F.row_number().over(w))
-        .where(F.col("rn") <= k)
+        ranked.where(F.col("rn") <= k)
         .select(
             "customer_id", "cust_name", "segment", money("total_spend").alias("total_spend"),
             F.col("txn_count").alias("num_transactions"),
