@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierwise.functions.money import avg_half_up, money
-from tierwise.operators.spend import customer_totals, priced_lines, spend_by_customer, txn_count
+from tierwise.operators.spend import customer_spend, customer_totals, spend_by_customer, txn_count
 from tierwise.sources.model import Tables
 
 
@@ -166,13 +166,11 @@ def revenue_by_category(t: Tables) -> DataFrame:
 
 def customer_spend_report(t: Tables) -> DataFrame:
     """customer_id, total_spend rounded to money (the spend cursor)."""
-    from tierwise.operators.spend import customer_spend
-
     return customer_spend(t).select("customer_id", money("total_spend").alias("total_spend"))
 
 
 __all__ = [
-    "category_counts", "category_price_stats", "customer_spend_report", "priced_lines",
+    "category_counts", "category_price_stats", "customer_spend_report",
     "revenue_by_category", "segment_counts", "segment_totals", "spending_ranges", "tier_stats",
     "top_customers", "top_in_tier", "top_n_per_tier",
 ]

@@ -3,7 +3,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from tierwise.functions.money import money
 from tierwise.operators import quality as Q
