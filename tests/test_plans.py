@@ -70,3 +70,20 @@ def test_window_boundary_independent_of_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert base == shifted == 854
+
+
+def test_tier_update_broadcasts_a_bounded_change_set(spark):
+    """The keyed update reads the customers once without shuffling them when
+    the change set is proven small; without the bound it is a shuffle join."""
+    from tierwise.operators.tiers import apply_tier_changes
+    from tierwise.sources.model import from_tpch
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        t = from_tpch(spark, SF)
+        small = plan(apply_tier_changes(t))
+        big = plan(apply_tier_changes(t.without_broadcast()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin LeftOuter" in small
+    assert "BroadcastHashJoin LeftOuter" not in big and "SortMergeJoin LeftOuter" in big

@@ -57,7 +57,13 @@ def merge(
     on: str | Sequence[str],
     matched: Sequence[WhenMatched] = (),
     not_matched: WhenNotMatched | None = None,
+    broadcast_source_rows: int | None = None,
 ) -> DataFrame:
+    """``broadcast_source_rows``: for a merge without inserts (a left join),
+    broadcast the grouped source when ``source.limit(n + 1).count()`` proves
+    it has at most ``n`` rows - the target is then read once and never
+    shuffled, the usual case of a small change set against a large table.
+    Above the bound (and for upserts) the join stays a shuffle join."""
     keys = _keys(on)
     tcols = target.columns
     scols = [c for c in source.columns if c not in keys]
@@ -65,6 +71,13 @@ def merge(
     src = source.groupBy(*keys).agg(
         F.count(F.lit(1)).alias(_N), *[F.first(c).alias(c) for c in scols]
     ).withColumn(_S, F.lit(True))
+    if (
+        not_matched is None
+        and broadcast_source_rows is not None
+        and broadcast_source_rows >= 0
+        and source.select(F.lit(1)).limit(broadcast_source_rows + 1).count() <= broadcast_source_rows
+    ):
+        src = F.broadcast(src)
     tgt = target.withColumn(_T, F.lit(True))
 
     how = "full_outer" if not_matched is not None else "left"

@@ -56,6 +56,7 @@ def tagged_tier_update(t: Tables, changes: DataFrame | None = None) -> DataFrame
         changes.select("customer_id", "new_tier"),
         "customer_id",
         matched=[WhenMatched(update={"segment": F.col("s.new_tier")})],
+        broadcast_source_rows=t.broadcast_max_rows,
     )
 
 

@@ -95,7 +95,9 @@ def merge_delete(t):
     )
     cutoff = F.lit(AS_OF - dt.timedelta(days=INACTIVE_DAYS))
     return merged_rows(
-        merge(t.customers, inactive, "customer_id", matched=[WhenMatched(delete=True, condition=F.col("t.signup_date") < cutoff)])
+        merge(t.customers, inactive, "customer_id",
+              matched=[WhenMatched(delete=True, condition=F.col("t.signup_date") < cutoff)],
+              broadcast_source_rows=t.broadcast_max_rows)
     )
 
 
