@@ -20,9 +20,11 @@ from pyspark.sql import functions as F
 
 from tierwise.schemas import CUSTOMERS, PRODUCTS, SALES_TRANSACTIONS, conform
 
-# The category of product i by i mod 3, and the reference
-# volumes.
+# The category of product i by i mod 3, the name prefixes,
+# and the reference volumes.
 CATEGORY_BY_MOD3 = {0: "Electronics", 1: "Home", 2: "Clothing"}
+PRODUCT_NAME_PREFIX = "Product_"
+CUSTOMER_NAME_PREFIX = "Customer_"
 REFERENCE_SIZES = {"products": 50, "customers": 500, "sales_transactions": 10000}
 
 
@@ -55,7 +57,7 @@ def gen_products(spark: SparkSession, spec: GenSpec = GenSpec()) -> DataFrame:
     return conform(
         _range(spark, spec.products, spec.partitions).select(
             i.alias("product_id"),
-            F.concat(F.lit("Product_"), i.cast("string")).alias("product_name"),
+            F.concat(F.lit(PRODUCT_NAME_PREFIX), i.cast("string")).alias("product_name"),
             category.alias("category"),
             (cents.cast("decimal(18,0)") * F.lit(0.01).cast("decimal(3,2)")).alias("unit_price"),
         ),
@@ -69,7 +71,7 @@ def gen_customers(spark: SparkSession, spec: GenSpec = GenSpec()) -> DataFrame:
     return conform(
         _range(spark, spec.customers, spec.partitions).select(
             i.alias("customer_id"),
-            F.concat(F.lit("Customer_"), i.cast("string")).alias("cust_name"),
+            F.concat(F.lit(CUSTOMER_NAME_PREFIX), i.cast("string")).alias("cust_name"),
             F.lit(spec.default_tier).alias("segment"),
             F.date_sub(F.lit(spec.as_of), days_ago).alias("signup_date"),
         ),

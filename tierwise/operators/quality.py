@@ -250,13 +250,23 @@ def tier_total_check(t: Tables) -> DataFrame:
 
 # -- V9 report ----------------------------------------------------------------------------
 
+# The report's category and item labels.
+REPORT_VOLUME = "Data Volume Check"
+REPORT_TIERS = "Tier Assignment"
+REPORT_REFERENCES = "Referential Integrity"
+REPORT_TABLE_ITEMS = {"products": "Products", "customers": "Customers", "sales_transactions": "Transactions"}
+REPORT_ALL_TIERS = "All Tiers"
+REPORT_CUSTOMER_FK = "Customer FK"
+REPORT_PRODUCT_FK = "Product FK"
+
 
 def validation_report(t: Tables, expected: dict[str, int] | None = None) -> DataFrame:
     """Check_Category, Check_Item, Actual, Expected, Status (all strings)."""
-    label = {"customers": "Customers", "products": "Products", "sales_transactions": "Transactions"}
-    label_col = F.coalesce(*[F.when(F.col("table_name") == k, F.lit(v)) for k, v in label.items()], F.col("table_name"))
+    label_col = F.coalesce(
+        *[F.when(F.col("table_name") == k, F.lit(v)) for k, v in REPORT_TABLE_ITEMS.items()], F.col("table_name")
+    )
     vol = volume_check(t, expected).select(
-        F.lit("Data Volume Check").alias("Check_Category"),
+        F.lit(REPORT_VOLUME).alias("Check_Category"),
         label_col.alias("Check_Item"),
         F.col("actual").cast("string").alias("Actual"),
         F.col("expected").cast("string").alias("Expected"),
@@ -266,8 +276,8 @@ def validation_report(t: Tables, expected: dict[str, int] | None = None) -> Data
         F.count_if(F.col("validation_result") == "PASS").alias("passed"), F.count(F.lit(1)).alias("total")
     )
     tier = v.select(
-        F.lit("Tier Assignment").alias("Check_Category"),
-        F.lit("All Tiers").alias("Check_Item"),
+        F.lit(REPORT_TIERS).alias("Check_Category"),
+        F.lit(REPORT_ALL_TIERS).alias("Check_Item"),
         F.col("passed").cast("string").alias("Actual"),
         F.col("total").cast("string").alias("Expected"),
         _status(F.col("passed") == F.col("total")).alias("Status"),
@@ -275,7 +285,7 @@ def validation_report(t: Tables, expected: dict[str, int] | None = None) -> Data
 
     def ri(df: DataFrame, item: str) -> DataFrame:
         return df.select(
-            F.lit("Referential Integrity").alias("Check_Category"),
+            F.lit(REPORT_REFERENCES).alias("Check_Category"),
             F.lit(item).alias("Check_Item"),
             F.col("orphaned_count").cast("string").alias("Actual"),
             F.lit("0").alias("Expected"),
@@ -284,8 +294,8 @@ def validation_report(t: Tables, expected: dict[str, int] | None = None) -> Data
 
     return (
         vol.unionByName(tier)
-        .unionByName(ri(orphan_customers(t), "Customer FK"))
-        .unionByName(ri(orphan_products(t), "Product FK"))
+        .unionByName(ri(orphan_customers(t), REPORT_CUSTOMER_FK))
+        .unionByName(ri(orphan_products(t), REPORT_PRODUCT_FK))
     )
 
 
