@@ -155,3 +155,14 @@ def test_top_n_per_tier_beyond_group_limit_threshold(spark):
     finally:
         spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
     assert a == b and len(a) == 15
+
+
+def test_verified_txn_key(spark):
+    from tierwise.operators.quality import with_verified_txn_key
+
+    t = basic(spark)
+    assert with_verified_txn_key(t).unique_txn_id is True
+    dup = star(spark, [(1, "a", "GOLD", D)], [(1, "p", "Home", price(10))], [(7, 1, 1, 1, D), (7, 1, 1, 2, D)])
+    v = with_verified_txn_key(dup)
+    assert v.unique_txn_id is False
+    assert R.top_customers(v).first()["transaction_count"] == 1  # exact distinct kept

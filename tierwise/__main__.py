@@ -60,7 +60,7 @@ def cmd_process(spark, a):
 
 
 def cmd_report(spark, a):
-    t = tables_from_store(StarStore(spark, a.root), _rules(a))
+    t = tables_from_store(StarStore(spark, a.root), _rules(a), verify_keys=True)
     R.tier_stats(t).show(truncate=False)
     R.top_customers(t, a.top).show(a.top, truncate=False)
     R.category_price_stats(t.products).show(truncate=False)

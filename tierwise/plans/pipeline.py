@@ -51,13 +51,16 @@ def generate_star(spark: SparkSession, store: StarStore, spec: GenSpec = GenSpec
     load_star(store, generate(spark, spec))
 
 
-def tables_from_store(store: StarStore, rules: TierRules = DEFAULT_RULES) -> Tables:
-    return Tables(
+def tables_from_store(store: StarStore, rules: TierRules = DEFAULT_RULES, verify_keys: bool = False) -> Tables:
+    """The current versions as a bundle.  ``verify_keys`` runs the primary
+    key check on txn_id once and, when it holds, declares the key."""
+    t = Tables(
         customers=conform(store["customers"].read(), CUSTOMERS),
         products=conform(store["products"].read(), PRODUCTS),
         transactions=conform(store["sales_transactions"].read(), SALES_TRANSACTIONS),
         rules=rules,
     )
+    return Q.with_verified_txn_key(t) if verify_keys else t
 
 
 def _counts(df: DataFrame) -> dict[str, int]:

@@ -43,7 +43,10 @@ def main():
     updated, _, _ = process_tiers_job(store, rules)
     out["process_tiers"] = round(time.perf_counter() - t0, 2)
     out["updated"] = updated
-    t = tables_from_store(store, rules)
+    t0 = time.perf_counter()
+    t = tables_from_store(store, rules, verify_keys=True)
+    out["verify_txn_key"] = round(time.perf_counter() - t0, 2)
+    out["txn_key_unique"] = t.unique_txn_id
     t0 = time.perf_counter()
     stats = R.tier_stats(t).collect()
     out["tier_stats"] = round(time.perf_counter() - t0, 2)
