@@ -123,7 +123,7 @@ def test_duplicate_product_rows_match_row_join_sql(spark):
     from dataclasses import replace
 
     customers = [(1, "a", "GOLD", D), (2, "b", "SILVER", D)]
-    products = [(1, "p", "Home", price(10)), (1, "p", "Home", price(12)),
+    products = [(1, "p", "Home", price(10)), (1, "p", "Home", price(12)), (1, "p", "Home", None),
                 (1, "p", "Toys", price(5)), (2, "q", "Home", price(7))]
     txns = [(1, 1, 1, 2, D), (2, 1, 2, 1, D), (3, 2, 1, 3, D), (4, 2, 9, 1, D)]
     for unique in (False, True):
@@ -137,10 +137,12 @@ def test_duplicate_product_rows_match_row_join_sql(spark):
             "GROUP BY c.customer_id").collect()}
         got_top = {r.customer_id: (r.total_spend, r.transaction_count) for r in R.top_customers(t).collect()}
         assert got_top == exp_top
-        exp_cat = {r[0]: (r[1], r[2]) for r in spark.sql(
-            "SELECT p.category, COUNT(DISTINCT t.txn_id), CAST(SUM(p.unit_price * t.quantity) AS DECIMAL(38,2)) "
+        exp_cat = {r[0]: (r[1], r[2], r[3]) for r in spark.sql(
+            "SELECT p.category, COUNT(DISTINCT t.txn_id), CAST(SUM(p.unit_price * t.quantity) AS DECIMAL(38,2)), "
+            "CAST(ROUND(SUM(p.unit_price * t.quantity) / COUNT(p.unit_price * t.quantity), 2) AS DECIMAL(38,2)) "
             "FROM t JOIN p ON t.product_id = p.product_id GROUP BY p.category").collect()}
-        got_cat = {r.category: (r.transaction_count, r.total_revenue) for r in R.revenue_by_category(t).collect()}
+        got_cat = {r.category: (r.transaction_count, r.total_revenue, r.avg_transaction_value)
+                   for r in R.revenue_by_category(t).collect()}
         assert got_cat == exp_cat
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierwise.functions.money import avg_half_up, money
+from tierwise.functions.money import avg_half_up, cents_div_half_up, money
 from tierwise.operators.spend import customer_spend, customer_totals, spend_by_customer, txn_count
 from tierwise.sources.model import Tables
 
@@ -153,12 +153,14 @@ def revenue_by_category(t: Tables) -> DataFrame:
     products = t.product_prices("category")
     lines = t.transactions.select("txn_id", "product_id", "quantity").join(products, "product_id", "inner")
     amount = F.col("unit_price") * F.col("quantity")
+    # AVG over the row join: one term per (transaction, priced product row)
+    terms = F.when(F.col("quantity").isNotNull(), F.col("_priced_rows")).otherwise(F.lit(0))
     return (
         lines.groupBy("category")
         .agg(
             txn_count(t).alias("transaction_count"),
             money(F.sum(amount)).alias("total_revenue"),
-            avg_half_up(amount).alias("avg_transaction_value"),
+            cents_div_half_up(F.sum(amount), F.sum(terms)).alias("avg_transaction_value"),
         )
         .orderBy(F.col("total_revenue").desc(), F.col("category"))
     )

@@ -110,7 +110,11 @@ class Tables:
         row), but never multiplies fact rows, so per-transaction counts stay
         counts.  Without the broadcast bound, the aggregate's exchange by
         product_id is the one the following shuffle join needs."""
-        p = self.products.groupBy("product_id", *by).agg(F.sum("unit_price").alias("unit_price"))
+        p = self.products.groupBy("product_id", *by).agg(
+            F.sum("unit_price").alias("unit_price"),
+            # priced product rows behind each sum: the row join's row count
+            F.count("unit_price").alias("_priced_rows"),
+        )
         return F.broadcast(p) if self.is_bounded("products") else p
 
 
