@@ -168,3 +168,17 @@ def test_verified_txn_key(spark):
     v = with_verified_txn_key(dup)
     assert v.unique_txn_id is False
     assert R.top_customers(v).first()["transaction_count"] == 1  # exact distinct kept
+
+
+def test_date_spine_same_with_and_without_broadcast(spark):
+    from tierwise.operators import windows as W
+
+    customers = [(1, "a", "GOLD", D)]
+    products = [(1, "p", "Home", price(10)), (1, "p", "Home", price(12)), (2, "q", "Home", price(7))]
+    d2 = D.replace(day=3)
+    txns = [(1, 1, 1, 2, D), (2, 1, 2, 1, D), (3, 1, 1, 3, d2), (4, 1, 9, 1, d2)]
+    t = star(spark, customers, products, txns)
+    a = sorted(tuple(r) for r in W.date_spine_revenue(t).collect())
+    b = sorted(tuple(r) for r in W.date_spine_revenue(t.without_broadcast()).collect())
+    assert a == b and len(a) == 3
+    assert a[0][1:] == (price(51), 3) and a[1][1:] == (price(0), 0) and a[2][1:] == (price(66), 2)

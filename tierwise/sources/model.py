@@ -112,8 +112,9 @@ class Tables:
         product_id is the one the following shuffle join needs."""
         p = self.products.groupBy("product_id", *by).agg(
             F.sum("unit_price").alias("unit_price"),
-            # priced product rows behind each sum: the row join's row count
+            # product rows behind each sum: the row join's row counts
             F.count("unit_price").alias("_priced_rows"),
+            F.count(F.lit(1)).alias("_rows"),
         )
         return F.broadcast(p) if self.is_bounded("products") else p
 
