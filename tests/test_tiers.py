@@ -182,3 +182,16 @@ def test_date_spine_same_with_and_without_broadcast(spark):
     b = sorted(tuple(r) for r in W.date_spine_revenue(t.without_broadcast()).collect())
     assert a == b and len(a) == 3
     assert a[0][1:] == (price(51), 3) and a[1][1:] == (price(0), 0) and a[2][1:] == (price(66), 2)
+
+
+def test_transaction_details_skips_orphans_exactly(spark):
+    from tierwise.operators.spend import transaction_details
+
+    customers = [(1, "a", "GOLD", D), (2, "b", "GOLD", D)]
+    products = [(1, "p", "Home", price(10))]
+    # the first ten transactions are orphans; the answer lies beyond them
+    txns = [(i, 99, 1, 1, D) for i in range(1, 11)] + [(i, 1 + i % 2, 1, i % 5 + 1, D) for i in range(11, 40)]
+    t = star(spark, customers, products, txns)
+    got = [r.txn_id for r in transaction_details(t, 5).collect()]
+    assert got == [11, 12, 13, 14, 15]
+    assert [r.txn_id for r in transaction_details(t, 100).collect()] == list(range(11, 40))

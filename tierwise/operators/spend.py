@@ -98,17 +98,41 @@ def customer_totals(t: Tables, customers: DataFrame | None = None) -> DataFrame:
 
 def transaction_details(t: Tables, limit: int | None = 20) -> DataFrame:
     """txn_id, cust_name, product_name, category, quantity, unit_price,
-    line_total, txn_date - the first ``limit`` transactions by txn_id."""
+    line_total, txn_date - the first ``limit`` transactions by txn_id.
+
+    Only the head of the fact is joined: the ``k``-th smallest txn_id
+    (a per-partition top-k, no shuffle) becomes a filter that reaches the
+    scan, and the joins run on those rows alone.  Inner joins may drop rows
+    (orphans), so when fewer than ``limit`` rows survive, ``k`` grows and the
+    step repeats; once the cut-off covers every transaction the answer is
+    the full join's.  The result is exact either way."""
     products = t.products_for_join("product_id", "product_name", "category", "unit_price")
-    rows = (
-        t.transactions.join(t.customers.select("customer_id", "cust_name"), "customer_id", "inner")
-        .join(products, "product_id", "inner")
-        .select(
-            "txn_id", "cust_name", "product_name", "category", "quantity", "unit_price",
-            F.round(F.col("unit_price") * F.col("quantity"), 2).cast("decimal(38,2)").alias("line_total"),
-            "txn_date",
+    order = ["txn_id", "cust_name", "product_name", "quantity", "unit_price", "txn_date"]
+
+    def joined(facts: DataFrame) -> DataFrame:
+        return (
+            facts.join(t.customers.select("customer_id", "cust_name"), "customer_id", "inner")
+            .join(products, "product_id", "inner")
+            .select(
+                "txn_id", "cust_name", "product_name", "category", "quantity", "unit_price",
+                F.round(F.col("unit_price") * F.col("quantity"), 2).cast("decimal(38,2)").alias("line_total"),
+                "txn_date",
+            )
         )
-    )
-    # total order: txn_id may repeat when the source key is not unique
-    ordered = rows.orderBy("txn_id", "cust_name", "product_name", "quantity", "unit_price", "txn_date")
-    return ordered.limit(limit) if limit else ordered
+
+    if not limit:
+        return joined(t.transactions).orderBy(*order)
+    ids = t.transactions.select("txn_id").where(F.col("txn_id").isNotNull())
+    k = limit
+    while True:
+        head = ids.orderBy("txn_id").limit(k).agg(F.max("txn_id").alias("cut"), F.count(F.lit(1)).alias("n")).first()
+        everything = head["n"] < k
+        # NULL txn_ids sort first, so they always belong to the head
+        facts = t.transactions if everything else t.transactions.where(
+            F.col("txn_id").isNull() | (F.col("txn_id") <= F.lit(head["cut"]))
+        )
+        rows = joined(facts)
+        if everything or rows.limit(limit).count() >= limit:
+            # total order: txn_id may repeat when the source key is not unique
+            return rows.orderBy(*order).limit(limit)
+        k *= 8
