@@ -247,10 +247,12 @@ def from_tpch(
     counts = {
         "customers": spark.read.parquet(f"{sf_dir}/customer.parquet").agg(F.count(F.lit(1)).alias("n")),
         "products": spark.read.parquet(f"{sf_dir}/part.parquet").agg(F.count(F.lit(1)).alias("n")),
+        # lines counted per order first: one row per order crosses the shuffle
         "sales_transactions": spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-        .select("l_orderkey")
+        .groupBy("l_orderkey")
+        .agg(F.count(F.lit(1)).alias("lines"))
         .join(_window_orders(spark, sf_dir, as_of, window_days), F.col("l_orderkey") == F.col("o_orderkey"))
-        .agg(F.count(F.lit(1)).alias("n")),
+        .agg(F.coalesce(F.sum("lines"), F.lit(0)).cast("bigint").alias("n")),
     }
     transactions = tpch_transactions(spark, sf_dir, as_of, window_days, numbering)
     if materialize:
