@@ -25,3 +25,19 @@ def test_oracle_agreement_sf0001():
     )
     summary = [l for l in out.stdout.splitlines() if l.startswith("SUMMARY")]
     assert summary and summary[0].endswith("problems: []"), out.stdout[-3000:] + out.stderr[-2000:]
+
+
+def test_runs_from_another_directory(tmp_path):
+    """Python workers need no installed copy of the package: the driver's
+    code for the pandas scans travels with the tasks."""
+    script = tmp_path / "run.py"
+    script.write_text(
+        "import sys\n"
+        f"sys.path.insert(0, {ROOT!r})\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "import __spark_entry__ as E\n"
+        "print('ROWS', E.queries()['days_between_txns'](spark, '/root/testdata/sf0.001').count())\n"
+    )
+    out = subprocess.run([sys.executable, str(script)], capture_output=True, text=True, timeout=600, cwd=str(tmp_path))
+    assert "ROWS 854" in out.stdout, out.stderr[-3000:]

@@ -33,16 +33,22 @@ reshuffle it.  On top of that:
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from tierwise.session import ensure_checkpoint_dir
 
+# The pandas scans below run in Python workers.  Ship this module's code with
+# the tasks (by value) so workers need no installed copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 POS = "_pos"
 
 
