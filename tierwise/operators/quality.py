@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tierwise.functions.money import money
 from tierwise.operators.reports import spending_ranges
 from tierwise.operators.spend import spend_by_customer
+from tierwise.schemas import REPORT, conform
 from tierwise.sources.model import Tables
 
 
@@ -303,10 +304,11 @@ def validation_report(t: Tables, expected: dict[str, int] | None = None) -> Data
             _status(F.col("orphaned_count") == 0).alias("Status"),
         )
 
-    return (
+    return conform(
         vol.unionByName(tier)
         .unionByName(ri(orphan_customers(t), REPORT_CUSTOMER_FK))
-        .unionByName(ri(orphan_products(t), REPORT_PRODUCT_FK))
+        .unionByName(ri(orphan_products(t), REPORT_PRODUCT_FK)),
+        REPORT,
     )
 
 
