@@ -115,3 +115,19 @@ def test_carry_across_batches_and_many_partitions(spark):
     pdf["rk_exp"] = pdf.groupby("ck")["quantity"].rank(method="min", ascending=False).astype(int)
     m = rk.merge(pdf[["txn_id", "rk_exp"]], on="txn_id")
     assert len(m) == 3000 and (m["rk"] == m["rk_exp"]).all()
+
+
+def test_hot_group_is_spread_over_balanced_partitions(spark):
+    """40% of the rows on one customer, 9 sort partitions: no partition
+    holds more than about twice its share, and the hot customer spans
+    several partitions."""
+    from tierwise.operators.ordered import _sorted_partitions, _summaries
+
+    tx, _ = _tx(spark)
+    ck = _sorted_partitions(tx, ["customer_id", "txn_date", "txn_id"])
+    parts = _summaries(ck, ["customer_id"], None)
+    sizes = [r["_n"] for r in parts]
+    assert sum(sizes) == 3000 and len(sizes) >= 6
+    assert max(sizes) <= 2 * 3000 / len(sizes)
+    hot = [r for r in parts if r["_first_0"] == 1 or r["_last_0"] == 1]
+    assert len(hot) >= 3
