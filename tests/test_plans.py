@@ -24,6 +24,8 @@ def test_spend_prunes_numbering_and_pushes_date(spark):
     assert "GreaterThanOrEqual(o_orderdate" in p  # date window reaches the scan
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double>" in p
     assert "NestedLoop" not in p and "Cartesian" not in p
+    # map-side partial aggregation: a hot customer is one row per partition
+    assert "partial_sum" in p
 
 
 def test_registry_reads_the_written_view_with_pruning(spark):
