@@ -56,3 +56,16 @@ def test_partitioned_fact_and_clustered_customers(spark, scratch):
     assert a == b
     p = raw.where(F.col("txn_year") == 2023)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(txn_year" in p
+
+
+def test_errors_propagate(spark, scratch):
+    """A missing table or a bad schema raises; nothing turns an error into 0."""
+    from pyspark.errors import AnalysisException
+
+    from tierwise.operators.tiers import tier_count
+    from tierwise.plans.pipeline import tables_from_store
+
+    with pytest.raises(FileNotFoundError):
+        tables_from_store(StarStore(spark, f"{scratch}/empty"))
+    with pytest.raises(AnalysisException):
+        tier_count(spark.range(3), "GOLD").collect()
