@@ -35,6 +35,18 @@ def append(spark: SparkSession, db: str, name: str, df: DataFrame) -> None:
     conform(df, TABLE_SCHEMAS[name]).write.mode("append").insertInto(f"`{db}`.`{name}`")
 
 
+def save_bucketed(df: DataFrame, db: str, name: str, key: str, buckets: int | None = None) -> None:
+    """Save ``df`` as a catalog table bucketed and sorted by ``key``.
+
+    With ``buckets`` equal to ``spark.sql.shuffle.partitions`` (the
+    default), Spark reads the table as already hash-partitioned by ``key``:
+    a join with an aggregate grouped by ``key`` - every per-customer spend -
+    then moves only the aggregate side, never the table."""
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.mode("overwrite").bucketBy(n, key).sortBy(key).saveAsTable(f"`{db}`.`{name}`")
+
+
 def truncate(spark: SparkSession, db: str, name: str) -> None:
     spark.sql(f"TRUNCATE TABLE `{db}`.`{name}`")
 
