@@ -32,8 +32,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster
-    (``spark.checkpoint.dir``).  Only when the session names none (local
-    tests) is a fresh scratch folder set."""
+    (``spark.checkpoint.dir``).  Only when the session names none and runs
+    in local mode (tests) is a fresh scratch folder set; a cluster session
+    without the setting is an error."""
     try:
         sc = spark.sparkContext
     except Exception:  # remote (Connect) session: the server owns the setting
@@ -44,6 +45,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-    else:
+    elif sc.master.startswith("local"):
+        # a machine-local scratch folder is only right when driver and
+        # executors share the machine (tests, the local benchmark)
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tierwise-ckpt-"))
+    else:
+        raise RuntimeError(
+            "set spark.checkpoint.dir to a folder on the cluster's shared file system "
+            "(checkpoints and derived tables are written there)"
+        )
     return sc.getCheckpointDir()
