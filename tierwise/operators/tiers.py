@@ -93,12 +93,24 @@ def tier_counts(customers: DataFrame, tiers: list[str]) -> DataFrame:
 
 def tier_shift(t: Tables) -> DataFrame:
     """segment, before, after, change - tier counts before and after one
-    processing run."""
+    processing run.
+
+    ``after`` follows from the change set alone: a change moves one customer
+    from its current segment into its new tier, so each tier gains the
+    changes into it and loses the changes out of it.  No pass over the
+    updated customers table is needed (the update itself fails on duplicate
+    keys, as ``apply_tier_changes`` does)."""
     tiers = t.rules.tiers
     before = tier_counts(t.customers, tiers).withColumnRenamed("customer_count", "before")
-    after = tier_counts(apply_tier_changes(t), tiers).withColumnRenamed("customer_count", "after")
-    return before.join(after, "segment", "inner").select(
-        "segment", "before", "after", (F.col("after") - F.col("before")).alias("change")
+    current = t.customers.select("customer_id", F.col("segment").alias("old"))
+    moves = customer_tiers(t).join(current, "customer_id", "inner").where(F.col("old") != F.col("new_tier"))
+    delta = moves.agg(
+        *[(F.count_if(F.col("new_tier") == F.lit(tr)) - F.count_if(F.col("old") == F.lit(tr))).alias(tr) for tr in tiers]
+    ).select(
+        F.explode(F.array(*[F.struct(F.lit(tr).alias("segment"), F.col(f"`{tr}`").alias("change")) for tr in tiers])).alias("d")
+    ).select("d.segment", "d.change")
+    return before.join(delta, "segment", "inner").select(
+        "segment", "before", (F.col("before") + F.col("change")).alias("after"), "change"
     )
 
 
