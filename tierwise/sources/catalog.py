@@ -62,13 +62,23 @@ def describe_tables(spark: SparkSession, db: str) -> DataFrame:
 
 
 def table_detail(df: DataFrame, name: str) -> DataFrame:
-    """table_name, num_rows, num_files, size_bytes of a file-based table,
-    from the hidden ``_metadata`` column of the scan."""
-    m = df.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s"))
-    per_file = m.groupBy("f").agg(F.count(F.lit(1)).alias("n"), F.first("s").alias("s"))
-    return per_file.agg(
+    """table_name, num_rows, num_files, size_bytes of a file-based table.
+
+    Rows: a count over the scan with no columns read (parquet answers it
+    from row-group footers).  Files and bytes: the scan's file list read as
+    a ``binaryFile`` listing with only path and length selected, so file
+    contents are never read.  Both are distributed; only the file list
+    (metadata) is known to the driver."""
+    spark = df.sparkSession
+    rows = df.select(F.lit(1).alias("one")).agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("num_rows"))
+    files = df.inputFiles()
+    if files:
+        listing = spark.read.format("binaryFile").load(files).select("length")
+    else:
+        listing = spark.createDataFrame([], "length bigint")
+    sizes = listing.agg(
         F.lit(name).alias("table_name"),
-        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("num_rows"),
         F.count(F.lit(1)).alias("num_files"),
-        F.coalesce(F.sum("s"), F.lit(0)).cast("bigint").alias("size_bytes"),
+        F.coalesce(F.sum("length"), F.lit(0)).cast("bigint").alias("size_bytes"),
     )
+    return rows.join(sizes, "table_name", "inner")
