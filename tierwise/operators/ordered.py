@@ -121,41 +121,49 @@ def _py(v):
     return None if _na(v) else (v.item() if hasattr(v, "item") else v)
 
 
-def _summaries(ck: DataFrame, group: Sequence[str], value: str | None) -> list:
-    """Scan one: per non-empty partition, its first and last key, the last
-    row's value and the length of its trailing run of the last key."""
-    group = list(group)
-    fields = [ck.schema[g] for g in group]
+def _summaries(ck: DataFrame, group: Sequence[str], value: str | None, extra: Sequence[str] = ()) -> list:
+    """Scan one: per non-empty partition, its first and last key (over
+    ``group + extra``), the last row's ``value``, the length of its trailing
+    run of the last ``group`` key (``_run``) and, with ``extra``, of the last
+    full key (``_run_all``)."""
+    group, extra = list(group), list(extra)
+    keys_all = [*group, *extra]
+    fields = [ck.schema[g] for g in keys_all]
     out = StructType(
         [StructField("_part", IntegerType())]
         + [StructField(f"_first_{i}", f.dataType) for i, f in enumerate(fields)]
         + [StructField(f"_last_{i}", f.dataType) for i, f in enumerate(fields)]
         + ([StructField("_last_val", ck.schema[value].dataType)] if value else [])
-        + [StructField("_run", LongType()), StructField("_n", LongType())]
+        + [StructField("_run", LongType())]
+        + ([StructField("_run_all", LongType())] if extra else [])
+        + [StructField("_n", LongType())]
     )
 
+    def trailing(keys: pd.DataFrame, last: tuple | None, run: int) -> tuple[tuple, int]:
+        """(last key, trailing run) after this batch, continuing ``run``."""
+        changes = _key_changes(keys)
+        tail = len(keys) - int(np.flatnonzero(changes)[-1])
+        row0 = tuple(_py(v) for v in keys.iloc[0])
+        run = run + tail if tail == len(keys) and _same_key(row0, last) else tail
+        return tuple(_py(v) for v in keys.iloc[-1]), run
+
     def summarise(batches):
-        part = first = last = last_val = None
-        run = n = 0
+        part = first = last_g = last_a = last_val = None
+        run_g = run_a = n = 0
         for pdf in batches:
             if pdf.empty:
                 continue
             part = int(pdf["_part"].iloc[0])
-            keys = pdf[group]
             if first is None:
-                first = tuple(_py(v) for v in keys.iloc[0])
-            changes = _key_changes(keys)
-            tail = len(pdf) - int(np.flatnonzero(changes)[-1])
-            row0 = tuple(_py(v) for v in keys.iloc[0])
-            whole = tail == len(pdf)
-            run = run + tail if whole and _same_key(row0, last) else tail
-            last = tuple(_py(v) for v in keys.iloc[-1])
+                first = tuple(_py(v) for v in pdf[keys_all].iloc[0])
+            last_g, run_g = trailing(pdf[group], last_g, run_g)
+            last_a, run_a = trailing(pdf[keys_all], last_a, run_a) if extra else (last_g, run_g)
             if value:
                 last_val = _py(pdf[value].iloc[-1])
             n += len(pdf)
         if part is not None:
-            yield pd.DataFrame([[part, *first, *last, *([last_val] if value else []), run, n]],
-                               columns=out.fieldNames())
+            row = [part, *first, *last_a, *([last_val] if value else []), run_g, *([run_a] if extra else []), n]
+            yield pd.DataFrame([row], columns=out.fieldNames())
 
     rows = ck.mapInPandas(summarise, out).collect()  # one row per partition
     return sorted(rows, key=lambda r: r["_part"])
@@ -263,25 +271,22 @@ def rank_within(
     ck = _sorted_partitions(df, [*group, *order, *extra])
     k, m = len(group), len(tie)
     both = [*group, *tie]
-    summaries = _summaries(ck, both, None)  # keyed by (group, tie): trailing tie run
-    group_sums = {r["_part"]: r for r in _summaries(ck, group, None)}
     carry: dict[int, tuple] = {}
     prev = None  # (last group key, its rows so far, last tie, rank of the last tie run)
-    for r in summaries:
-        g = group_sums[r["_part"]]
-        first_g = tuple(g[f"_first_{i}"] for i in range(k))
+    for r in _summaries(ck, group, None, extra=tie):  # one scan: group and tie runs
+        first_g = tuple(r[f"_first_{i}"] for i in range(k))
         first_t = tuple(r[f"_first_{i}"] for i in range(k, k + m))
-        last_g = tuple(g[f"_last_{i}"] for i in range(k))
+        last_g = tuple(r[f"_last_{i}"] for i in range(k))
         last_t = tuple(r[f"_last_{i}"] for i in range(k, k + m))
         same_group = prev is not None and _same_key(prev[0], first_g)
         before = prev[1] if same_group else 0
         tie_start = prev[3] if same_group and _same_key(prev[2], first_t) else None
         carry[r["_part"]] = (first_g, before, first_t, tie_start)
-        rows_last = (before + g["_n"]) if g["_run"] == g["_n"] else g["_run"]
-        if r["_run"] == r["_n"] and tie_start is not None:
+        rows_last = (before + r["_n"]) if r["_run"] == r["_n"] else r["_run"]
+        if r["_run_all"] == r["_n"] and tie_start is not None:
             last_start = tie_start  # one tie run over the whole partition, begun earlier
         else:
-            last_start = rows_last - r["_run"] + 1
+            last_start = rows_last - r["_run_all"] + 1
         prev = (last_g, rows_last, last_t, last_start)
 
     cols = list(df.columns)
