@@ -195,3 +195,18 @@ def test_transaction_details_skips_orphans_exactly(spark):
     got = [r.txn_id for r in transaction_details(t, 5).collect()]
     assert got == [11, 12, 13, 14, 15]
     assert [r.txn_id for r in transaction_details(t, 100).collect()] == list(range(11, 40))
+
+
+def test_spend_and_count_same_with_and_without_broadcast(spark):
+    from dataclasses import replace
+
+    from tierwise.operators.spend import spend_and_count_by_customer
+
+    customers = [(1, "a", "GOLD", D), (2, "b", "SILVER", D)]
+    products = [(1, "p", "Home", price(10)), (1, "p", "Home", price(12)), (2, "q", "Home", price(7))]
+    txns = [(1, 1, 1, 2, D), (2, 1, 1, 1, D), (3, 2, 1, 3, D), (4, 2, 9, 1, D), (5, 1, 2, None, D)]
+    t = replace(star(spark, customers, products, txns), unique_txn_id=True)
+    a = sorted(tuple(r) for r in spend_and_count_by_customer(t).collect())
+    b = sorted(tuple(r) for r in spend_and_count_by_customer(t.without_broadcast()).collect())
+    assert a == b
+    assert a == [(1, price(66), 3), (2, price(66), 1)]

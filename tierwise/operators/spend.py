@@ -72,6 +72,21 @@ def spend_and_count_by_customer(t: Tables) -> DataFrame:
     """customer_id, total_spend, txn_count (COUNT(DISTINCT txn_id)) over the
     transactions that join a product."""
     def build():
+        if t.unique_txn_id and not t.is_bounded("products"):
+            # a key counts like any row: reduce the fact to (customer,
+            # product) pairs with their transaction counts before the shuffle
+            # join, as ``priced_lines`` does for the spend alone
+            pairs = t.transactions.groupBy("customer_id", "product_id").agg(
+                F.sum("quantity").alias("quantity"), F.count("txn_id").alias("n")
+            )
+            return (
+                pairs.join(t.product_prices(), "product_id", "inner")
+                .groupBy("customer_id")
+                .agg(
+                    F.sum(F.col("unit_price") * F.col("quantity")).alias("total_spend"),
+                    F.sum("n").alias("txn_count"),
+                )
+            )
         lines = priced_lines(t, keep=("txn_id",))
         return lines.groupBy("customer_id").agg(
             F.sum("amount").alias("total_spend"),
