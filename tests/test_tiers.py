@@ -210,3 +210,16 @@ def test_spend_and_count_same_with_and_without_broadcast(spark):
     b = sorted(tuple(r) for r in spend_and_count_by_customer(t.without_broadcast()).collect())
     assert a == b
     assert a == [(1, price(66), 3), (2, price(66), 1)]
+
+
+def test_revenue_by_category_same_with_and_without_broadcast(spark):
+    from dataclasses import replace
+
+    customers = [(1, "a", "GOLD", D)]
+    products = [(1, "p", "Home", price(10)), (1, "p", "Home", price(12)), (1, "p", "Home", None),
+                (1, "p", "Toys", price(5)), (2, "q", "Home", price(7))]
+    txns = [(1, 1, 1, 2, D), (2, 1, 2, 1, D), (3, 1, 1, 3, D), (4, 1, 9, 1, D), (5, 1, 2, None, D)]
+    t = replace(star(spark, customers, products, txns), unique_txn_id=True)
+    a = sorted(tuple(r) for r in R.revenue_by_category(t).collect())
+    b = sorted(tuple(r) for r in R.revenue_by_category(t.without_broadcast()).collect())
+    assert a == b

@@ -151,14 +151,27 @@ def category_price_stats(products: DataFrame) -> DataFrame:
 def revenue_by_category(t: Tables) -> DataFrame:
     """category, transaction_count, total_revenue, avg_transaction_value."""
     products = t.product_prices("category")
-    lines = t.transactions.select("txn_id", "product_id", "quantity").join(products, "product_id", "inner")
+    if t.unique_txn_id and not t.is_bounded("products"):
+        # one row per product before the shuffle join: quantity sum,
+        # transactions, and transactions with a quantity (AVG's terms)
+        per_product = t.transactions.groupBy("product_id").agg(
+            F.sum("quantity").alias("quantity"),
+            F.count("txn_id").alias("n"),
+            F.count("quantity").alias("n_qty"),
+        )
+        lines = per_product.join(products, "product_id", "inner")
+        count = F.sum("n")
+        terms = F.col("n_qty") * F.col("_priced_rows")
+    else:
+        lines = t.transactions.select("txn_id", "product_id", "quantity").join(products, "product_id", "inner")
+        count = txn_count(t)
+        # AVG over the row join: one term per (transaction, priced product row)
+        terms = F.when(F.col("quantity").isNotNull(), F.col("_priced_rows")).otherwise(F.lit(0))
     amount = F.col("unit_price") * F.col("quantity")
-    # AVG over the row join: one term per (transaction, priced product row)
-    terms = F.when(F.col("quantity").isNotNull(), F.col("_priced_rows")).otherwise(F.lit(0))
     return (
         lines.groupBy("category")
         .agg(
-            txn_count(t).alias("transaction_count"),
+            count.alias("transaction_count"),
             money(F.sum(amount)).alias("total_revenue"),
             cents_div_half_up(F.sum(amount), F.sum(terms)).alias("avg_transaction_value"),
         )
