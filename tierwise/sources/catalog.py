@@ -81,4 +81,9 @@ def table_detail(df: DataFrame, name: str) -> DataFrame:
         F.count(F.lit(1)).alias("num_files"),
         F.coalesce(F.sum("length"), F.lit(0)).cast("bigint").alias("size_bytes"),
     )
-    return rows.join(sizes, "table_name", "inner")
+    # two one-row frames side by side: a union and one aggregate (a join on
+    # the constant name would plan as a cross join)
+    both = rows.unionByName(sizes, allowMissingColumns=True)
+    return both.groupBy("table_name").agg(
+        F.max("num_rows").alias("num_rows"), F.max("num_files").alias("num_files"), F.max("size_bytes").alias("size_bytes")
+    )
