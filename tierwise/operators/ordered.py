@@ -121,6 +121,22 @@ def _py(v):
     return None if _na(v) else (v.item() if hasattr(v, "item") else v)
 
 
+class _Carries:
+    """The per-partition carries, one entry per partition.  Shipped as a
+    broadcast variable: each executor fetches them once instead of every
+    task carrying the whole table in its closure."""
+
+    def __init__(self, spark, carry: dict):
+        try:
+            self._bc = spark.sparkContext.broadcast(carry)
+            self._local = None
+        except Exception:  # remote session: no broadcast variables
+            self._bc, self._local = None, carry
+
+    def get(self, part: int):
+        return (self._bc.value if self._bc is not None else self._local).get(part)
+
+
 def _summaries(ck: DataFrame, group: Sequence[str], value: str | None, extra: Sequence[str] = ()) -> list:
     """Scan one: per non-empty partition, its first and last key (over
     ``group + extra``), the last row's ``value``, the length of its trailing
@@ -184,6 +200,7 @@ def lag_within(
         carry[r["_part"]] = prev  # (last key, last value) of the previous non-empty partition
         prev = (tuple(r[f"_last_{i}"] for i in range(k)), r["_last_val"])
 
+    carries = _Carries(ck.sparkSession, carry)
     cols = list(df.columns)
     out = StructType([ck.schema[c] for c in cols] + [StructField(name, ck.schema[value].dataType)])
 
@@ -193,7 +210,7 @@ def lag_within(
             if pdf.empty:
                 continue
             if state is None:
-                state = carry.get(int(pdf["_part"].iloc[0]))
+                state = carries.get(int(pdf["_part"].iloc[0]))
             keys = pdf[group]
             changes = _key_changes(keys)
             prev_vals = pdf[value].astype(object).shift(1)
@@ -228,6 +245,7 @@ def row_number_within(
         whole = r["_run"] == r["_n"]
         prev = (last, (before + r["_n"]) if whole and before else r["_run"])
 
+    carries = _Carries(ck.sparkSession, carry)
     cols = list(df.columns)
     out = StructType([ck.schema[c] for c in cols] + [StructField(name, LongType())])
 
@@ -237,7 +255,7 @@ def row_number_within(
             if pdf.empty:
                 continue
             if state is None:
-                state = carry.get(int(pdf["_part"].iloc[0]))
+                state = carries.get(int(pdf["_part"].iloc[0]))
             keys = pdf[group]
             changes = _key_changes(keys)
             row0 = tuple(_py(v) for v in keys.iloc[0])
@@ -289,6 +307,7 @@ def rank_within(
             last_start = rows_last - r["_run_all"] + 1
         prev = (last_g, rows_last, last_t, last_start)
 
+    carries = _Carries(ck.sparkSession, carry)
     cols = list(df.columns)
     out = StructType([ck.schema[c] for c in cols] + [StructField(name, LongType())])
 
@@ -298,7 +317,7 @@ def rank_within(
             if pdf.empty:
                 continue
             if state is None:
-                state = carry.get(int(pdf["_part"].iloc[0]))
+                state = carries.get(int(pdf["_part"].iloc[0]))
             g_changes = _key_changes(pdf[group])
             t_changes = _key_changes(pdf[both])
             g0 = tuple(_py(v) for v in pdf[group].iloc[0])
