@@ -1,7 +1,8 @@
 """Command line: the job sequence of the tiering workflow.
 
     python -m tierwise generate --root R [--customers N --products N --transactions N --seed S]
-    python -m tierwise process  --root R [--gold 3000 --silver 1000 --assign-zero-spend]
+    python -m tierwise process  --root R [--gold 3000 --silver 1000 | --tiers P:9000,G:3000,S:1000]
+                                         [--base-tier BRONZE] [--assign-zero-spend]
     python -m tierwise report   --root R [--top 20]
     python -m tierwise validate --root R [--expect-customers N ...]
     python -m tierwise run      --root R  (generate, process, report, validate)
@@ -29,8 +30,16 @@ from tierwise.sources.store import StarStore
 
 
 def _rules(a) -> TierRules:
+    """``--tiers NAME:MIN,...`` (highest first) or ``--gold`` / ``--silver``."""
+    if a.tiers:
+        thresholds = tuple(
+            (name.strip(), Decimal(minimum)) for name, minimum in (item.split(":") for item in a.tiers.split(","))
+        )
+    else:
+        thresholds = (("GOLD", Decimal(a.gold)), ("SILVER", Decimal(a.silver)))
     return TierRules(
-        thresholds=(("GOLD", Decimal(a.gold)), ("SILVER", Decimal(a.silver))),
+        thresholds=thresholds,
+        default_tier=a.base_tier,
         zero_spend="assign" if a.assign_zero_spend else "keep",
     )
 
@@ -94,6 +103,8 @@ def main(argv=None) -> int:
     p.add_argument("--default-tier", default="BRONZE")
     p.add_argument("--gold", default="3000")
     p.add_argument("--silver", default="1000")
+    p.add_argument("--tiers", help="NAME:MIN,... from the highest tier down (overrides --gold/--silver)")
+    p.add_argument("--base-tier", default="BRONZE", help="tier below the last threshold")
     p.add_argument("--assign-zero-spend", action="store_true")
     p.add_argument("--top", type=int, default=20)
     p.add_argument("--expect-customers", type=int)
