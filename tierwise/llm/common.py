@@ -51,3 +51,10 @@ def release(*frames: DataFrame) -> None:
 def ascii_lower(c: Column) -> Column:
     """Lower-cases A-Z only; every other character stays as it is."""
     return F.translate(c, UPPER, LOWER)
+
+
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """Place of a public vocabulary file."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))

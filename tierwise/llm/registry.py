@@ -8,8 +8,19 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from tierwise.llm import ans_tokens, html_density, minhash_oph, quality_crf
-from tierwise.llm.common import table
+from tierwise.llm import (
+    ans_tokens,
+    chat_trees,
+    html_density,
+    lang_crf,
+    license_join,
+    minhash_oph,
+    mixing,
+    qgram_leaks,
+    quality_crf,
+    url_templates,
+)
+from tierwise.llm.common import table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -25,11 +36,15 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-def tokenizer_path() -> str:
-    """The vocabulary the token queries use by default."""
-    import public_tokenizers
+@query("op1_license_scan", license_join.oracle())
+def op1(spark, sf_dir):
+    return license_join.scan(table(spark, sf_dir, "documents"))
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+
+@query("op2_source_mixing", mixing.ORACLE)
+def op2(spark, sf_dir):
+    mixed = mixing.replicate(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return mixed.selectExpr("doc_id", "source", "_copies AS copies", "_copy AS copy_no", "_order AS shuffle_key").orderBy("shuffle_key", "doc_id")
 
 
 @query("op3_quality_rules")
@@ -43,11 +58,37 @@ def op4(spark, sf_dir):
     return html_density.extract(table(spark, sf_dir, "pages"))
 
 
+@query("op5_decontamination")
+def op5(spark, sf_dir):
+    return qgram_leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op6_minhash_dedup")
 def op6(spark, sf_dir):
     return minhash_oph.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op7_language_id")
+def op7(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return lang_crf.predict(docs, lang_crf.train(docs))
+
+
+@query("op8_url_filter", url_templates.oracle())
+def op8(spark, sf_dir):
+    return url_templates.judge(table(spark, sf_dir, "pages"))
+
+
+@query("op9_chat_formatting", chat_trees.ORACLE)
+def op9(spark, sf_dir):
+    return chat_trees.format_conversations(table(spark, sf_dir, "conversations"))
+
+
 @query("op10_token_ids")
 def op10(spark, sf_dir):
     return ans_tokens.tokens_of(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
