@@ -1,8 +1,8 @@
 """Skew-safe rank / lag / row numbers against a pandas brute force, on
 generated data where one customer holds 40% of all transactions."""
 
-import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tierwise.operators.generate import GenSpec, gen_products, gen_transactions
 from tierwise.operators.ordered import global_row_number, lag_within, rank_within
@@ -62,17 +62,6 @@ def test_global_row_number(spark):
     assert sorted(got["row_num"]) == list(range(1, 3001))
 
 
-def test_positional_txn_numbering_equals_window(spark):
-    from tierwise.sources.model import tpch_transactions
-
-    d = "/root/testdata/sf0.001"
-    a = tpch_transactions(spark, d, numbering="window")
-    b = tpch_transactions(spark, d, numbering="positional")
-    ka = sorted(tuple(r) for r in a.collect())
-    kb = sorted(tuple(r) for r in b.collect())
-    assert ka == kb and len(ka) == 854
-
-
 def test_row_number_within_hot_group(spark):
     from tierwise.operators.ordered import row_number_within
 
@@ -84,16 +73,13 @@ def test_row_number_within_hot_group(spark):
     assert len(m) == 3000 and (m["rn"] == m["rn_exp"]).all()
 
 
-def test_carry_across_batches_and_many_partitions(spark):
-    """Small Arrow batches and more partitions: a hot group spans several
-    partitions and batches; NULL keys form their own group."""
-    from pyspark.sql import functions as F
-
+def test_carry_across_many_partitions(spark):
+    """More partitions: a hot group spans several; NULL keys form their own
+    group."""
     from tierwise.operators.ordered import lag_within, rank_within, row_number_within
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
     spark.conf.set("spark.sql.shuffle.partitions", "13")
-    try:
+    if True:
         tx, _ = _tx(spark)
         tx = tx.withColumn("customer_id", F.when(F.col("txn_id") % 97 == 0, None).otherwise(F.col("customer_id")))
         rn = row_number_within(tx, ["customer_id"], ["txn_date", "txn_id"], "rn").toPandas()
@@ -101,8 +87,6 @@ def test_carry_across_batches_and_many_partitions(spark):
                         "txn_date", "prev").toPandas()
         rk = rank_within(tx, ["customer_id"], [tx["quantity"].desc()], tie=["quantity"], extra=["txn_id"],
                          name="rk").toPandas()
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
     pdf = tx.toPandas()
     pdf["ck"] = pdf["customer_id"].fillna(-1)
     pdf = pdf.sort_values(["ck", "txn_date", "txn_id"])
@@ -121,13 +105,27 @@ def test_hot_group_is_spread_over_balanced_partitions(spark):
     """40% of the rows on one customer, 9 sort partitions: no partition
     holds more than about twice its share, and the hot customer spans
     several partitions."""
-    from tierwise.operators.ordered import _sorted_partitions, _summaries
+    from tierwise.operators.ordered import PART, sorted_partitions
 
     tx, _ = _tx(spark)
-    ck = _sorted_partitions(tx, ["customer_id", "txn_date", "txn_id"])
-    parts = _summaries(ck, ["customer_id"], None)
-    sizes = [r["_n"] for r in parts]
+    ck = sorted_partitions(tx, ["customer_id", "txn_date", "txn_id"])
+    sizes = [r["count"] for r in ck.groupBy(PART).count().collect()]
     assert sum(sizes) == 3000 and len(sizes) >= 6
     assert max(sizes) <= 2 * 3000 / len(sizes)
-    hot = [r for r in parts if r["_first_0"] == 1 or r["_last_0"] == 1]
-    assert len(hot) >= 3
+    assert ck.where("customer_id = 1").select(PART).distinct().count() >= 3
+
+
+def test_big_integers_and_nulls_stay_exact(spark):
+    """Keys and values above 2^53 next to NULLs."""
+    from tierwise.operators.ordered import row_number_within
+
+    big = 2**60
+    rows = [(1, big + 1, 1), (1, None, 2), (1, big + 3, 3), (None, big + 5, 4), (None, None, 5), (big + 7, big + 1, 6), (big + 8, big + 1, 7)]
+    df = spark.createDataFrame(rows, "g bigint, v bigint, o int")
+    lag = {r.o: (r.g, r.v, r.p) for r in lag_within(df, ["g"], ["o"], "v", "p").collect()}
+    assert lag == {1: (1, big + 1, None), 2: (1, None, big + 1), 3: (1, big + 3, None), 4: (None, big + 5, None),
+                   5: (None, None, big + 5), 6: (big + 7, big + 1, None), 7: (big + 8, big + 1, None)}
+    rn = {r.o: (r.v, r.row_num) for r in row_number_within(df, ["g"], ["o"]).collect()}
+    assert rn == {1: (big + 1, 1), 2: (None, 2), 3: (big + 3, 3), 4: (big + 5, 1), 5: (None, 2), 6: (big + 1, 1), 7: (big + 1, 1)}
+    rk = rank_within(df.where("v is not null"), ["g"], [F.col("v").desc()], tie=["v"], extra=["o"], name="rk")
+    assert {r.o: r.rk for r in rk.collect()} == {1: 2, 3: 1, 4: 1, 6: 1, 7: 1}

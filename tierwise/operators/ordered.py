@@ -2,277 +2,119 @@
 
 A window partitioned by a key sends every row of that key to one task; if
 one customer or category holds a third of the data, so does one task.  The
-operators here never do that.  They place every row at its position in one
-total order:
-
-1. ``orderBy`` - Spark's range-partitioned sort; the range bounds are
-   sampled over the whole sort key, so a hot group is cut across many
-   partitions.
-2. ``monotonically_increasing_id`` gives (partition, index in partition).
-3. Row counts per partition (one row per partition, a proven bound) turn
-   that into a global position.
-
-The sorted rows are checkpointed to the cluster's checkpoint folder, so
-every later use reads the same layout and an executor loss cannot
-reshuffle it.  On top of that:
-
-* ``global_row_number``  - 1..n over the total order (surrogate keys):
-                           per-partition offsets, broadcast join
+operators here never do that:
+
+1. ``orderBy`` - Spark's range-partitioned sort; the range bounds are sampled
+   over the whole sort key, so a hot group is cut across many partitions.
+   The sorted rows are checkpointed with their partition and row number, so
+   an executor loss cannot reshuffle them.
+2. Windows run within (partition, group), which is at most one sorted
+   partition's rows.
+3. What crosses a partition boundary is a carry: one row per partition
+   (a bounded table) says how the partition begins and ends.  The carries are
+   chained in one small window and joined back as a broadcast.
+
+* ``global_row_number``  - 1..n over the total order (surrogate keys),
 * ``lag_within``         - previous row of the same group,
-* ``row_number_within``  - ROW_NUMBER() per group: two scans of the sorted
-                           partitions and no further shuffle.  Scan one
-                           summarises each partition (its last group key,
-                           value and run length: one row per partition);
-                           the driver chains those few rows into a carry
-                           per partition; scan two (vectorised pandas per
-                           Arrow batch) continues each group across the
-                           partition boundary from the carry.
-* ``rank_within``        - RANK() per group: the same two scans, carrying
-                           the row count and the start of the tie run
+* ``row_number_within``  - ROW_NUMBER() per group,
+* ``rank_within``        - RANK() per group.
+
+All of it is DataFrame expressions, so every type keeps its exact values.
 """
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from tierwise.session import ensure_checkpoint_dir
 
-# The pandas scans below run in Python workers.  Ship this module's code with
-# the tasks (by value) so workers need no installed copy of the package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-POS = "_pos"
+PART, ROW, CARRY = "_part", "_row", "_carry"
 
 
 def _order_cols(cols: Sequence[Column | str]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
-def with_position(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
-    """``df`` plus ``_pos`` (0-based position in ``order``, which must be a
-    total order).  Checkpointed; the result's lineage starts at the
-    checkpoint."""
-    ensure_checkpoint_dir(df.sparkSession)
-    mid = df.orderBy(*_order_cols(order)).select("*", F.monotonically_increasing_id().alias("_mid"))
-    mid = mid.checkpoint(eager=True)
-    part = F.shiftright(F.col("_mid"), 33)
-    local = F.col("_mid") - F.shiftleft(part, 33)
-    # rows per partition: one row per partition, cumulated on one task
-    counts = mid.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        "_part",
-        (F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"),
-    ).fillna(0, ["_off"])
-    return (
-        mid.join(F.broadcast(offsets), part == F.col("_part"), "inner")
-        .select("*", (F.col("_off") + local).alias(POS))
-        .drop("_mid", "_part", "_off")
-    )
-
-
-def global_row_number(df: DataFrame, order: Sequence[Column | str], name: str = "row_num") -> DataFrame:
-    """ROW_NUMBER() OVER (ORDER BY order) without a single-task window."""
-    return with_position(df, order).withColumn(name, F.col(POS) + 1).drop(POS)
+def _keys(cols: Sequence[str]) -> Column:
+    """The key columns as one value; NULLs in it compare as equal."""
+    return F.struct(*[F.col(c) for c in cols])
 
 
-def _sorted_partitions(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
-    """``df`` range-sorted by ``order`` plus ``_part`` (its partition),
-    checkpointed: partitions and row order are fixed from here on."""
+def sorted_partitions(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+    """``df`` range-sorted by ``order`` plus ``_part`` (its partition) and
+    ``_row`` (ascending in the order), checkpointed."""
     ensure_checkpoint_dir(df.sparkSession)
-    s = df.orderBy(*_order_cols(order)).select("*", F.spark_partition_id().alias("_part"))
-    return s.checkpoint(eager=True)
-
-
-def _key_changes(keys: pd.DataFrame) -> np.ndarray:
-    """True where a row's key differs (NULL-safely) from the row before;
-    row 0 is True."""
-    prev = keys.shift(1)
-    diff = np.zeros(len(keys), dtype=bool)
-    for c in keys.columns:
-        a, b = keys[c], prev[c]
-        diff |= (a.ne(b) & ~(a.isna() & b.isna())).to_numpy()
-    if len(diff):
-        diff[0] = True
-    return diff
-
-
-def _na(v) -> bool:
-    try:
-        return bool(pd.isna(v))
-    except (TypeError, ValueError):
-        return False
-
-
-def _same_key(a: tuple | None, b: tuple | None) -> bool:
-    if a is None or b is None:
-        return False
-    return all((_na(x) and _na(y)) or (not _na(x) and not _na(y) and x == y) for x, y in zip(a, b))
-
-
-def _py(v):
-    return None if _na(v) else (v.item() if hasattr(v, "item") else v)
+    numbered = df.orderBy(*_order_cols(order)).select("*", F.monotonically_increasing_id().alias(ROW))
+    return numbered.select("*", F.shiftright(ROW, 33).alias(PART)).checkpoint(eager=True)
 
 
-class _Carries:
-    """The per-partition carries, one entry per partition.  Shipped as a
-    broadcast variable: each executor fetches them once instead of every
-    task carrying the whole table in its closure."""
+def _with_carry(ck: DataFrame, carries: DataFrame) -> DataFrame:
+    """One row per partition joined to the sorted rows."""
+    return ck.join(F.broadcast(carries.select(PART, CARRY)), PART, "left")
 
-    def __init__(self, spark, carry: dict):
-        try:
-            self._bc = spark.sparkContext.broadcast(carry)
-            self._local = None
-        except Exception:  # remote session: no broadcast variables
-            self._bc, self._local = None, carry
 
-    def get(self, part: int):
-        return (self._bc.value if self._bc is not None else self._local).get(part)
+def _by_part() -> Window:
+    """Over one row per partition."""
+    return Window.orderBy(PART)
 
 
-def _summaries(ck: DataFrame, group: Sequence[str], value: str | None, extra: Sequence[str] = ()) -> list:
-    """Scan one: per non-empty partition, its first and last key (over
-    ``group + extra``), the last row's ``value``, the length of its trailing
-    run of the last ``group`` key (``_run``) and, with ``extra``, of the last
-    full key (``_run_all``)."""
-    group, extra = list(group), list(extra)
-    keys_all = [*group, *extra]
-    fields = [ck.schema[g] for g in keys_all]
-    out = StructType(
-        [StructField("_part", IntegerType())]
-        + [StructField(f"_first_{i}", f.dataType) for i, f in enumerate(fields)]
-        + [StructField(f"_last_{i}", f.dataType) for i, f in enumerate(fields)]
-        + ([StructField("_last_val", ck.schema[value].dataType)] if value else [])
-        + [StructField("_run", LongType())]
-        + ([StructField("_run_all", LongType())] if extra else [])
-        + [StructField("_n", LongType())]
-    )
-
-    def trailing(keys: pd.DataFrame, last: tuple | None, run: int) -> tuple[tuple, int]:
-        """(last key, trailing run) after this batch, continuing ``run``."""
-        changes = _key_changes(keys)
-        tail = len(keys) - int(np.flatnonzero(changes)[-1])
-        row0 = tuple(_py(v) for v in keys.iloc[0])
-        run = run + tail if tail == len(keys) and _same_key(row0, last) else tail
-        return tuple(_py(v) for v in keys.iloc[-1]), run
-
-    def summarise(batches):
-        part = first = last_g = last_a = last_val = None
-        run_g = run_a = n = 0
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            part = int(pdf["_part"].iloc[0])
-            if first is None:
-                first = tuple(_py(v) for v in pdf[keys_all].iloc[0])
-            last_g, run_g = trailing(pdf[group], last_g, run_g)
-            last_a, run_a = trailing(pdf[keys_all], last_a, run_a) if extra else (last_g, run_g)
-            if value:
-                last_val = _py(pdf[value].iloc[-1])
-            n += len(pdf)
-        if part is not None:
-            row = [part, *first, *last_a, *([last_val] if value else []), run_g, *([run_a] if extra else []), n]
-            yield pd.DataFrame([row], columns=out.fieldNames())
-
-    rows = ck.mapInPandas(summarise, out).collect()  # one row per partition
-    return sorted(rows, key=lambda r: r["_part"])
+def global_row_number(df: DataFrame, order: Sequence[Column | str], name: str = "row_num") -> DataFrame:
+    """ROW_NUMBER() OVER (ORDER BY order) without a single-task window;
+    ``order`` must be a total order (rows that tie in it are interchangeable)."""
+    ck = sorted_partitions(df, order)
+    sizes = ck.groupBy(PART).agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(_by_part().rowsBetween(Window.unboundedPreceding, -1))
+    placed = _with_carry(ck, sizes.withColumn(CARRY, F.coalesce(before, F.lit(0))))
+    local = F.col(ROW) - F.shiftleft(F.col(PART), 33)
+    return placed.select(*df.columns, (F.col(CARRY) + local + 1).alias(name))
 
 
 def lag_within(
     df: DataFrame, group: Sequence[str], order: Sequence[Column | str], value: str, name: str
 ) -> DataFrame:
     """LAG(value) OVER (PARTITION BY group ORDER BY order) as ``name``.
-    ``group + order`` must be a total order.  One range shuffle; the rest
-    are scans of the sorted partitions."""
-    group = list(group)
-    ck = _sorted_partitions(df, [*group, *order])
-    k = len(group)
-    carry: dict[int, tuple] = {}
-    prev = None
-    for r in _summaries(ck, group, value):
-        carry[r["_part"]] = prev  # (last key, last value) of the previous non-empty partition
-        prev = (tuple(r[f"_last_{i}"] for i in range(k)), r["_last_val"])
-
-    carries = _Carries(ck.sparkSession, carry)
-    cols = list(df.columns)
-    out = StructType([ck.schema[c] for c in cols] + [StructField(name, ck.schema[value].dataType)])
-
-    def apply(batches):
-        state = None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            if state is None:
-                state = carries.get(int(pdf["_part"].iloc[0]))
-            keys = pdf[group]
-            changes = _key_changes(keys)
-            prev_vals = pdf[value].astype(object).shift(1)
-            row0 = tuple(_py(v) for v in keys.iloc[0])
-            if state is not None and _same_key(row0, state[0]):
-                changes[0] = False
-                prev_vals.iloc[0] = state[1]
-            res = pdf[cols].copy()
-            res[name] = prev_vals.where(~changes, None)
-            state = (tuple(_py(v) for v in keys.iloc[-1]), _py(pdf[value].iloc[-1]))
-            yield res
-
-    return ck.mapInPandas(apply, out)
+    ``group + order`` must be a total order."""
+    ck = sorted_partitions(df, [*group, *order])
+    ends = ck.groupBy(PART).agg(F.max_by(F.struct(_keys(group).alias("keys"), F.col(value).alias("value")), ROW).alias("end"))
+    placed = _with_carry(ck, ends.withColumn(CARRY, F.lag("end").over(_by_part())))
+    w = Window.partitionBy(PART, *group).orderBy(ROW)
+    begins = F.row_number().over(w) == 1
+    carried = F.when(_keys(group) == F.col(f"{CARRY}.keys"), F.col(f"{CARRY}.value"))
+    return placed.select(*df.columns, F.when(begins, carried).otherwise(F.lag(value).over(w)).alias(name))
+
+
+def _numbered(ck: DataFrame, group: Sequence[str], name: str) -> DataFrame:
+    """Sorted rows plus their ROW_NUMBER() within the group.
+
+    A partition that begins inside a group continues from the rows of that
+    group in the partitions before it; all of them end with that group, so
+    their trailing runs add up to the carry."""
+    runs = ck.groupBy(PART, *group).agg(F.count(F.lit(1)).alias("n"), F.max(ROW).alias("at"))
+    runs = runs.select(PART, "at", "n", _keys(group).alias("keys"))
+    ends = runs.groupBy(PART).agg(
+        F.min_by("keys", "at").alias("first"), F.max_by("keys", "at").alias("last"), F.max_by("n", "at").alias("tail")
+    )
+    so_far = F.sum("tail").over(Window.partitionBy("last").orderBy(PART))
+    chained = ends.withColumn("so_far", so_far).withColumn("end", F.struct("last", "so_far"))
+    prev = F.lag("end").over(_by_part())
+    chained = chained.withColumn("prev", prev).withColumn(
+        CARRY, F.when(F.col("prev.last") == F.col("first"), F.struct(F.col("first").alias("keys"), F.col("prev.so_far").alias("rows")))
+    )
+    w = Window.partitionBy(PART, *group).orderBy(ROW)
+    offset = F.when(_keys(group) == F.col(f"{CARRY}.keys"), F.col(f"{CARRY}.rows")).otherwise(F.lit(0))
+    return _with_carry(ck, chained).select(*ck.columns, (F.row_number().over(w) + offset).alias(name))
 
 
 def row_number_within(
     df: DataFrame, group: Sequence[str], order: Sequence[Column | str], name: str = "row_num"
 ) -> DataFrame:
     """ROW_NUMBER() OVER (PARTITION BY group ORDER BY order) as ``name``;
-    ``group + order`` must be a total order.  One range shuffle; a group
-    spanning partitions continues its count from the carry."""
-    group = list(group)
-    ck = _sorted_partitions(df, [*group, *order])
-    k = len(group)
-    carry: dict[int, tuple] = {}
-    prev = None  # (last key, rows of that key up to and including the partition)
-    for r in _summaries(ck, group, None):
-        first = tuple(r[f"_first_{i}"] for i in range(k))
-        last = tuple(r[f"_last_{i}"] for i in range(k))
-        before = prev[1] if prev is not None and _same_key(prev[0], first) else 0
-        carry[r["_part"]] = (first, before)
-        whole = r["_run"] == r["_n"]
-        prev = (last, (before + r["_n"]) if whole and before else r["_run"])
-
-    carries = _Carries(ck.sparkSession, carry)
-    cols = list(df.columns)
-    out = StructType([ck.schema[c] for c in cols] + [StructField(name, LongType())])
-
-    def apply(batches):
-        state = None  # (key, rows of the key so far)
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            if state is None:
-                state = carries.get(int(pdf["_part"].iloc[0]))
-            keys = pdf[group]
-            changes = _key_changes(keys)
-            row0 = tuple(_py(v) for v in keys.iloc[0])
-            offset = state[1] if state is not None and _same_key(row0, state[0]) else 0
-            if offset:
-                changes[0] = False
-            gid = np.cumsum(changes)
-            rn = pd.Series(np.ones(len(pdf), dtype=np.int64)).groupby(gid).cumsum().to_numpy()
-            if offset:
-                rn[gid == gid[0]] += offset
-            res = pdf[cols].copy()
-            res[name] = rn
-            last = tuple(_py(v) for v in keys.iloc[-1])
-            state = (last, int(rn[-1]))
-            yield res
-
-    return ck.mapInPandas(apply, out)
+    ``group + order`` must be a total order."""
+    ck = sorted_partitions(df, [*group, *order])
+    return _numbered(ck, group, name).select(*df.columns, name)
 
 
 def rank_within(
@@ -281,68 +123,22 @@ def rank_within(
     """RANK() OVER (PARTITION BY group ORDER BY order) as ``name``.
 
     ``tie`` are the columns whose equality makes a tie (the ORDER BY
-    columns); ``extra`` completes ``order`` to a total order.  The rank of a
-    row is the group row number of the first row of its tie run; both the
-    row count and the start of the current tie run carry across partition
-    and batch boundaries.  One range shuffle."""
-    group, tie = list(group), list(tie)
-    ck = _sorted_partitions(df, [*group, *order, *extra])
-    k, m = len(group), len(tie)
-    both = [*group, *tie]
-    carry: dict[int, tuple] = {}
-    prev = None  # (last group key, its rows so far, last tie, rank of the last tie run)
-    for r in _summaries(ck, group, None, extra=tie):  # one scan: group and tie runs
-        first_g = tuple(r[f"_first_{i}"] for i in range(k))
-        first_t = tuple(r[f"_first_{i}"] for i in range(k, k + m))
-        last_g = tuple(r[f"_last_{i}"] for i in range(k))
-        last_t = tuple(r[f"_last_{i}"] for i in range(k, k + m))
-        same_group = prev is not None and _same_key(prev[0], first_g)
-        before = prev[1] if same_group else 0
-        tie_start = prev[3] if same_group and _same_key(prev[2], first_t) else None
-        carry[r["_part"]] = (first_g, before, first_t, tie_start)
-        rows_last = (before + r["_n"]) if r["_run"] == r["_n"] else r["_run"]
-        if r["_run_all"] == r["_n"] and tie_start is not None:
-            last_start = tie_start  # one tie run over the whole partition, begun earlier
-        else:
-            last_start = rows_last - r["_run_all"] + 1
-        prev = (last_g, rows_last, last_t, last_start)
-
-    carries = _Carries(ck.sparkSession, carry)
-    cols = list(df.columns)
-    out = StructType([ck.schema[c] for c in cols] + [StructField(name, LongType())])
-
-    def apply(batches):
-        state = None  # (group key, rows so far, tie, rank of the current tie run)
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            if state is None:
-                state = carries.get(int(pdf["_part"].iloc[0]))
-            g_changes = _key_changes(pdf[group])
-            t_changes = _key_changes(pdf[both])
-            g0 = tuple(_py(v) for v in pdf[group].iloc[0])
-            t0 = tuple(_py(v) for v in pdf[tie].iloc[0])
-            offset, start0 = 0, None
-            if state is not None and _same_key(g0, state[0]):
-                offset = state[1]
-                g_changes[0] = False
-                if _same_key(t0, state[2]) and state[3] is not None:
-                    start0 = state[3]
-                    t_changes[0] = False
-            gid = np.cumsum(g_changes)
-            rn = pd.Series(np.ones(len(pdf), dtype=np.int64)).groupby(gid).cumsum().to_numpy()
-            if offset:
-                rn[gid == gid[0]] += offset
-            tid = np.cumsum(t_changes)
-            rank = pd.Series(rn).groupby(tid).transform("first").to_numpy()
-            if start0 is not None:
-                rank[tid == tid[0]] = start0
-            res = pdf[cols].copy()
-            res[name] = rank
-            state = (
-                tuple(_py(v) for v in pdf[group].iloc[-1]), int(rn[-1]),
-                tuple(_py(v) for v in pdf[tie].iloc[-1]), int(rank[-1]),
-            )
-            yield res
-
-    return ck.mapInPandas(apply, out)
+    columns); ``extra`` completes ``order`` to a total order.  A row's rank is
+    the group row number of the first row of its tie run, which may lie in an
+    earlier partition."""
+    ck = sorted_partitions(df, [*group, *order, *extra])
+    run = [*group, *tie]
+    rows = _numbered(ck, group, "_rn")
+    runs = rows.groupBy(PART, *run).agg(F.min("_rn").alias("start"), F.max(ROW).alias("at"))
+    runs = runs.select(PART, "at", "start", _keys(run).alias("keys"))
+    ends = runs.groupBy(PART).agg(
+        F.min_by("keys", "at").alias("first"), F.max_by("keys", "at").alias("last"), F.max_by("start", "at").alias("start")
+    )
+    earliest = F.min("start").over(Window.partitionBy("last").orderBy(PART))
+    chained = ends.withColumn("end", F.struct(F.col("last"), earliest.alias("start")))
+    chained = chained.withColumn("prev", F.lag("end").over(_by_part())).withColumn(
+        CARRY, F.when(F.col("prev.last") == F.col("first"), F.struct(F.col("first").alias("keys"), F.col("prev.start").alias("start")))
+    )
+    here = F.min("_rn").over(Window.partitionBy(PART, *run))
+    ranked = F.when(_keys(run) == F.col(f"{CARRY}.keys"), F.col(f"{CARRY}.start")).otherwise(here)
+    return _with_carry(rows, chained).select(*df.columns, ranked.alias(name))
