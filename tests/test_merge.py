@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tierwise.operators.compare import compare_tables
@@ -31,11 +32,38 @@ def test_compare(spark):
     assert got == {"same": 2, "changed": 1, "only_right": 1}
 
 
-def test_duplicate_insert_key_fails(spark):
-    import pytest
+def _upsert(spark, target, source, condition=None):
+    tgt = spark.createDataFrame(target, "k bigint, v string")
+    src = spark.createDataFrame(source, "k bigint, v string")
+    return merge(
+        tgt, src, "k", matched=[WhenMatched(update={"v": F.col("s.v")}, condition=condition)],
+        not_matched=WhenNotMatched(values={"k": F.col("s.k"), "v": F.col("s.v")}),
+    )
+
+
+def test_unmatched_source_rows_are_all_inserted(spark):
+    tagged = _upsert(spark, [(1, "a"), (None, "n")], [(2, "x"), (2, "y"), (None, "p"), (None, "q")])
+    rows = sorted(((r.k, r.v, r._action) for r in tagged.collect()), key=str)
+    assert rows == sorted([(1, "a", "keep"), (None, "n", "keep"), (2, "x", "insert"), (2, "y", "insert"),
+                           (None, "p", "insert"), (None, "q", "insert")], key=str)
+
+
+def test_only_acting_source_rows_are_ambiguous(spark):
+    differs = F.col("s.v") != F.col("t.v")
+    target = [(1, "a"), (1, "a"), (2, "b"), (3, "c")]
+    # key 1: neither row acts; key 2: one of two acts; key 3: one row
+    tagged = _upsert(spark, target, [(1, "a"), (1, None), (2, "b"), (2, "B"), (3, "C")], differs)
+    rows = sorted((r.k, r.v, r._action) for r in tagged.collect())
+    assert rows == [(1, "a", "keep"), (1, "a", "keep"), (2, "B", "update"), (3, "C", "update")]
+
+
+def test_two_acting_source_rows_fail(spark):
+    with pytest.raises(Exception, match="more than one source row acts"):
+        _upsert(spark, [(1, "a")], [(1, "x"), (1, "y")]).collect()
+
 
+def test_keyed_source_checks_its_key(spark):
     tgt = spark.createDataFrame([(1, "a")], "k bigint, v string")
-    src = spark.createDataFrame([(2, "x"), (2, "y")], "k bigint, v string")
-    tagged = merge(tgt, src, "k", not_matched=WhenNotMatched(values={"k": F.col("s.k"), "v": F.col("s.v")}))
-    with pytest.raises(Exception, match="more than one source row"):
-        tagged.collect()
+    src = spark.createDataFrame([(1, "x"), (1, "x")], "k bigint, v string")
+    with pytest.raises(Exception, match="more than one source row acts"):
+        merge(tgt, src, "k", matched=[WhenMatched(update={"v": F.col("s.v")})], keyed_source=True).collect()

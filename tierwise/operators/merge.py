@@ -9,26 +9,30 @@
     keep    - target row left as it was
 
 Semantics follow the usual MERGE: clauses for matched rows are tried in
-order, first match wins; a source key present more than once is an error.
-The source is grouped by key once (one shuffle of the source, with a
-map-side partial aggregate, so a hot key costs one row per partition);
-that grouping both detects duplicates lazily - the job fails with
-``raise_error`` - and leaves the source hash-partitioned by key, so the
-join with the target reuses it.
+order, first match wins; it is an error if clauses fire for two source rows
+on the same target row.  Source rows whose clauses don't fire never matter,
+and every source row without a target row - repeated keys and NULL keys
+included - is inserted.
+
+The source is grouped by key once (one shuffle, with a map-side partial
+aggregate, so a hot key costs one row per partition).  Target rows whose key
+has one source row, the usual case, are decided by that one join; only those
+whose key has several are joined to the source rows themselves.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ACTION = "_action"
-_T = "_t_present"
-_S = "_s_present"
 _N = "_s_rows"
+_COPIES = "_t_copies"
+_AMBIGUOUS = "MERGE: more than one source row acts on one target row"
 
 
 @dataclass(frozen=True)
@@ -51,86 +55,89 @@ def _keys(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
+def _same(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, (F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys))
+
+
+def _fired(matched: Sequence[WhenMatched], here: Column) -> Column:
+    """Number of the first clause that fires for a joined row, else NULL."""
+    number = F.lit(None).cast("int")
+    for i, clause in reversed(list(enumerate(matched))):
+        holds = here if clause.condition is None else here & F.coalesce(clause.condition, F.lit(False))
+        number = F.when(holds, F.lit(i)).otherwise(number)
+    return number
+
+
+def _decided(joined: DataFrame, target: DataFrame, matched: Sequence[WhenMatched], fired: str) -> list[Column]:
+    """Target columns after the clause ``fired``, and the action."""
+    cols = []
+    for c in target.columns:
+        value = F.col(f"t.{c}")
+        for i, clause in enumerate(matched):
+            if clause.update and c in clause.update:
+                value = F.when(F.col(fired) == i, clause.update[c]).otherwise(value)
+        cols.append(value.cast(target.schema[c].dataType).alias(c))
+    action = F.lit("keep")
+    for i, clause in enumerate(matched):
+        action = F.when(F.col(fired) == i, F.lit("delete" if clause.delete else "update")).otherwise(action)
+    return [*cols, action.alias(ACTION)]
+
+
 def merge(
     target: DataFrame,
     source: DataFrame,
     on: str | Sequence[str],
     matched: Sequence[WhenMatched] = (),
     not_matched: WhenNotMatched | None = None,
-    broadcast_source_rows: int | None = None,
+    keyed_source: bool = False,
 ) -> DataFrame:
-    """``broadcast_source_rows``: for a merge without inserts (a left join),
-    broadcast the grouped source when ``source.limit(n + 1).count()`` proves
-    it has at most ``n`` rows - the target is then read once and never
-    shuffled, the usual case of a small change set against a large table.
-    Above the bound (and for upserts) the join stays a shuffle join."""
+    """``keyed_source``: the source has one row per key by construction, so
+    a key with several is an error and the source is read once."""
     keys = _keys(on)
-    tcols = target.columns
-    scols = [c for c in source.columns if c not in keys]
-
-    src = source.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias(_N), *[F.first(c).alias(c) for c in scols]
-    ).withColumn(_S, F.lit(True))
-    if (
-        not_matched is None
-        and broadcast_source_rows is not None
-        and broadcast_source_rows >= 0
-        and source.select(F.lit(1)).limit(broadcast_source_rows + 1).count() <= broadcast_source_rows
-    ):
-        src = F.broadcast(src)
-    tgt = target.withColumn(_T, F.lit(True))
-
-    how = "full_outer" if not_matched is not None else "left"
-    cond = None
-    for k in keys:
-        c = F.col(f"t.{k}") == F.col(f"s.{k}")
-        cond = c if cond is None else cond & c
-    j = tgt.alias("t").join(src.alias("s"), cond, how)
-
-    t_here = F.col(f"t.{_T}").isNotNull()
-    s_here = F.col(f"s.{_S}").isNotNull()
-    both = t_here & s_here
-
-    action = None
-
-    def add(c, v):
-        nonlocal action
-        action = F.when(c, F.lit(v)) if action is None else action.when(c, F.lit(v))
-
-    # a duplicated source key is an error whether it matches (ambiguous
-    # update) or not (ambiguous insert)
-    add(s_here & (F.col(f"s.{_N}") > 1), "_dup")
-    for i, clause in enumerate(matched):
-        c = both if clause.condition is None else both & F.coalesce(clause.condition, F.lit(False))
-        add(c, "delete" if clause.delete else f"update{i}")
-    add(both, "keep")
+    values = [c for c in source.columns if c not in keys]
+    per_key = source.groupBy(*keys).agg(F.count(F.lit(1)).alias(_N), *[F.first(c).alias(c) for c in values])
+    joined = target.alias("t").join(per_key.alias("s"), _same(keys), "left")
+    several = F.coalesce(F.col(f"s.{_N}") > 1, F.lit(False))
+    act = _fired(matched, F.col(f"s.{_N}").isNotNull())
+    if keyed_source:
+        act = F.when(several, F.raise_error(F.lit(_AMBIGUOUS)).cast("int")).otherwise(act)
+        single = joined
+    else:
+        single = joined.where(~several)
+    single = single.withColumn("_fired", act)
+    out = single.select(*_decided(single, target, matched, "_fired"))
+    if not keyed_source:
+        out = out.unionByName(_crowded(joined.where(several), target, source, keys, matched))
     if not_matched is not None:
-        c = s_here & ~t_here
-        if not_matched.condition is not None:
-            c = c & F.coalesce(not_matched.condition, F.lit(False))
-        add(c, "insert")
-    add(t_here, "keep")
-    act = action.otherwise(F.lit(None).cast("string"))
-    act = F.when(act == "_dup", F.raise_error(F.lit("MERGE: more than one source row for one key"))).otherwise(act)
-
-    j = j.select("*", act.alias("_act0")).where(F.col("_act0").isNotNull())
-
-    out = []
-    for c in tcols:
-        expr = None
-        for i, clause in enumerate(matched):
-            if clause.update and c in clause.update:
-                w = F.col("_act0") == f"update{i}"
-                expr = F.when(w, clause.update[c]) if expr is None else expr.when(w, clause.update[c])
-        if not_matched is not None:
-            ins = not_matched.values.get(c, F.lit(None))
-            w = F.col("_act0") == "insert"
-            expr = F.when(w, ins) if expr is None else expr.when(w, ins)
-        base = F.col(f"t.{c}")
-        col = base if expr is None else expr.otherwise(base)
-        out.append(col.cast(target.schema[c].dataType).alias(c))
-    tag = F.when(F.col("_act0").startswith("update"), F.lit("update")).otherwise(F.col("_act0"))
-    return j.select(*out, tag.alias(ACTION))
+        out = out.unionByName(_inserted(target, source, keys, not_matched))
+    return out
+
+
+def _crowded(rows: DataFrame, target: DataFrame, source: DataFrame, keys: Sequence[str], matched: Sequence[WhenMatched]) -> DataFrame:
+    """Target rows whose key has several source rows: equal target rows are
+    one row with a number of copies, each is tried against every source row
+    of its key, and at most one may act."""
+    own = rows.select(*[F.col(f"t.{c}").alias(c) for c in target.columns]).groupBy(*target.columns).agg(F.count(F.lit(1)).alias(_COPIES))
+    pairs = own.alias("t").join(source.alias("s"), _same(keys), "inner")
+    pairs = pairs.withColumn("_fired", _fired(matched, F.lit(True)))
+    *after, action = _decided(pairs, target, matched, "_fired")
+    before = [F.col(f"t.{c}").alias(f"_b{i}") for i, c in enumerate(target.columns)]
+    pairs = pairs.select(*before, F.col(f"t.{_COPIES}").alias(_COPIES), F.when(F.col("_fired").isNotNull(), F.struct(*after, action)).alias("_done"))
+    names = [f"_b{i}" for i in range(len(target.columns))]
+    tried = pairs.groupBy(*names, _COPIES).agg(F.count("_done").alias("_acting"), F.first("_done", ignorenulls=True).alias("_done"))
+    kept = F.struct(*[F.col(b).alias(c) for b, c in zip(names, target.columns)], F.lit("keep").alias(ACTION))
+    done = F.when(F.col("_acting") > 1, F.raise_error(F.lit(_AMBIGUOUS)).cast(tried.schema["_done"].dataType)).otherwise(F.coalesce("_done", kept))
+    copies = F.sequence(F.lit(1).cast("bigint"), F.col(_COPIES))
+    return tried.select(done.alias("_done"), F.explode(copies).alias("_copy")).select("_done.*")
+
+
+def _inserted(target: DataFrame, source: DataFrame, keys: Sequence[str], clause: WhenNotMatched) -> DataFrame:
+    """Source rows without a target row (a NULL key has none)."""
+    new = source.alias("s").join(target.select(*keys).alias("t"), _same(keys), "left_anti")
+    if clause.condition is not None:
+        new = new.where(F.coalesce(clause.condition, F.lit(False)))
+    cols = [clause.values.get(c, F.lit(None)).cast(target.schema[c].dataType).alias(c) for c in target.columns]
+    return new.select(*cols, F.lit("insert").alias(ACTION))
 
 
 def merged_rows(tagged: DataFrame) -> DataFrame:
@@ -143,18 +150,6 @@ def merge_metrics(tagged: DataFrame) -> DataFrame:
     return tagged.groupBy(F.col(ACTION).alias("action")).agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def update_by_key(target: DataFrame, changes: DataFrame, on: str, set_: Mapping[str, str]) -> DataFrame:
-    """MERGE ... WHEN MATCHED THEN UPDATE SET target.col = source.col."""
-    return merged_rows(
-        merge(target, changes, on, matched=[WhenMatched(update={k: F.col(f"s.{v}") for k, v in set_.items()})])
-    )
-
-
 def delete_where(df: DataFrame, condition: Column) -> DataFrame:
     """DELETE FROM df WHERE condition: rows where it is NULL stay."""
     return df.where(~F.coalesce(condition, F.lit(False)))
-
-
-def delete_matched(target: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    """Remove target rows whose key appears in ``keys`` (left anti join)."""
-    return target.join(keys.select(*_keys(on)), _keys(on), "left_anti")
