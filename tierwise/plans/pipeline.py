@@ -9,6 +9,7 @@ version afterwards.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,7 @@ from tierwise.operators.tiers import apply_tier_changes, tier_changes, tier_coun
 from tierwise.rules import DEFAULT_RULES, TierRules
 from tierwise.schemas import CUSTOMERS, PRODUCTS, SALES_TRANSACTIONS, conform
 from tierwise.sources.model import Tables
-from tierwise.sources.store import StarStore, with_month_partitions
+from tierwise.sources.store import StarStore, since, with_month_partitions
 
 
 @dataclass
@@ -40,7 +41,7 @@ def load_star(store: StarStore, frames: dict[str, DataFrame], partition_fact: bo
     for name in StarStore.NAMES:
         df = frames[name]
         if name == "sales_transactions" and partition_fact:
-            store[name].write(with_month_partitions(df), partition_by=["txn_year", "txn_month"])
+            store[name].write(with_month_partitions(df), partition_by=["txn_year", "txn_month"], cluster_by=["txn_date", "txn_id"])
         elif name == "customers":
             store[name].write(df, cluster_by=["customer_id"])
         else:
@@ -51,13 +52,20 @@ def generate_star(spark: SparkSession, store: StarStore, spec: GenSpec = GenSpec
     load_star(store, generate(spark, spec))
 
 
-def tables_from_store(store: StarStore, rules: TierRules = DEFAULT_RULES, verify_keys: bool = False) -> Tables:
+def tables_from_store(
+    store: StarStore, rules: TierRules = DEFAULT_RULES, verify_keys: bool = False, first_day: dt.date | None = None
+) -> Tables:
     """The current versions as a bundle.  ``verify_keys`` runs the primary
-    key check on txn_id once and, when it holds, declares the key."""
+    key check on txn_id once and, when it holds, declares the key.
+    ``first_day`` restricts the facts to that day and later ones, pruning
+    month folders where the fact has them."""
+    facts = store["sales_transactions"].read()
+    if first_day is not None:
+        facts = since(facts, first_day)
     t = Tables(
         customers=conform(store["customers"].read(), CUSTOMERS),
         products=conform(store["products"].read(), PRODUCTS),
-        transactions=conform(store["sales_transactions"].read(), SALES_TRANSACTIONS),
+        transactions=conform(facts, SALES_TRANSACTIONS),
         rules=rules,
     )
     return Q.with_verified_txn_key(t) if verify_keys else t

@@ -1,69 +1,47 @@
-"""Versioned parquet tables on any Hadoop-compatible file system.
+"""Stored tables: write to a new path, then read it.
 
-A table is a folder of versions ``v=000001``, ``v=000002``, ... plus a
-``_CURRENT`` pointer.  A write goes to a new version folder; Spark's commit
-protocol leaves ``_SUCCESS`` only when the whole job committed; then the
-pointer is replaced.  A failed write therefore leaves the previous version
-current (commit / rollback), readers never see a half-written table, and
-a table is never overwritten while it is being read.
+A table is a folder of versions ``v=000001``, ``v=000002``, ...  A write goes
+to a new version folder; Spark's commit protocol leaves ``_SUCCESS`` only
+when the whole job committed, and readers take the newest version that has
+it.  So a table is never overwritten while it is being read, and a failed
+write leaves the previous version in place.  One writer at a time.
 
-File-system calls use the session's Hadoop ``FileSystem``, so the same
-code works on a local folder, HDFS or an object store.
+File-system calls use the session's Hadoop ``FileSystem``, so the same code
+works on a local folder, HDFS or an object store.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-POINTER = "_CURRENT"
-
 
 class VersionedTable:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        jvm = spark.sparkContext._jvm
-        self._Path = jvm.org.apache.hadoop.fs.Path
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        self._fs = self._Path(self.root).getFileSystem(conf)
-
-    # -- paths -------------------------------------------------------------
+        self._path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
     def path(self, version: int) -> str:
         return f"{self.root}/v={version:06d}"
 
-    def _exists(self, p: str) -> bool:
-        return self._fs.exists(self._Path(p))
+    def _started(self) -> list[int]:
+        """Versions whose write began."""
+        if not self._fs.exists(self._path(self.root)):
+            return []
+        names = [st.getPath().getName() for st in self._fs.listStatus(self._path(self.root)) if st.isDirectory()]
+        return sorted(int(n[2:]) for n in names if n.startswith("v="))
 
     def versions(self) -> list[int]:
         """Committed versions, oldest first."""
-        if not self._exists(self.root):
-            return []
-        out = []
-        for st in self._fs.listStatus(self._Path(self.root)):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith("v="):
-                v = int(name[2:])
-                if self._exists(f"{self.path(v)}/_SUCCESS"):
-                    out.append(v)
-        return sorted(out)
+        return [v for v in self._started() if self._fs.exists(self._path(f"{self.path(v)}/_SUCCESS"))]
 
     def current_version(self) -> int | None:
-        p = f"{self.root}/{POINTER}"
-        if self._exists(p):
-            stream = self._fs.open(self._Path(p))
-            try:
-                reader = self.spark.sparkContext._jvm.java.io.BufferedReader(
-                    self.spark.sparkContext._jvm.java.io.InputStreamReader(stream)
-                )
-                return int(reader.readLine().strip())
-            finally:
-                stream.close()
-        vs = self.versions()
-        return vs[-1] if vs else None
-
-    # -- read / write ------------------------------------------------------
+        committed = self.versions()
+        return committed[-1] if committed else None
 
     def read(self, version: int | None = None) -> DataFrame:
         v = self.current_version() if version is None else version
@@ -74,57 +52,24 @@ class VersionedTable:
     def write(
         self, df: DataFrame, partition_by: list[str] | None = None, cluster_by: list[str] | None = None
     ) -> int:
-        """Write ``df`` as the next version and make it current.
+        """Write ``df`` as the next version.
 
         ``partition_by`` lays out folders per value (partition pruning);
         ``cluster_by`` range-partitions and sorts the rows by those columns
         first, so parquet row-group min/max statistics skip data on filters
-        over them (what Z-ordering gives a table format)."""
-        existing = [int(st.getPath().getName()[2:]) for st in self._list_versions_any()]
-        v = (max(existing) if existing else 0) + 1
+        over them.  With both, the range partitions are cut along the folder
+        columns, so a folder gets few files and a large one several tasks."""
+        started = self._started()
+        v = (started[-1] if started else 0) + 1
+        lead = [*(partition_by or []), *(cluster_by or [])]
         if cluster_by:
-            df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+            df = df.repartitionByRange(*lead).sortWithinPartitions(*lead)
         w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(self.path(v))
-        self._set_pointer(v)
         return v
 
-    def rollback(self, version: int) -> None:
-        if version not in self.versions():
-            raise ValueError(f"version {version} is not committed")
-        self._set_pointer(version)
-
-    def history(self) -> DataFrame:
-        """version, is_current (driver metadata only: one row per version)."""
-        cur = self.current_version()
-        rows = [(v, v == cur) for v in self.versions()]
-        return self.spark.createDataFrame(rows, "version int, is_current boolean")
-
-    # -- internals -----------------------------------------------------------
-
-    def _list_versions_any(self):
-        if not self._exists(self.root):
-            return []
-        return [
-            st for st in self._fs.listStatus(self._Path(self.root))
-            if st.isDirectory() and st.getPath().getName().startswith("v=")
-        ]
-
-    def _set_pointer(self, version: int) -> None:
-        tmp = self._Path(f"{self.root}/.{POINTER}.{version}.tmp")
-        out = self._fs.create(tmp, True)
-        try:
-            out.write(bytearray(f"{version}\n".encode()))
-        finally:
-            out.close()
-        dst = self._Path(f"{self.root}/{POINTER}")
-        if self._fs.exists(dst):
-            self._fs.delete(dst, False)
-        if not self._fs.rename(tmp, dst):
-            raise OSError(f"could not switch {self.root} to version {version}")
-
 
 def with_month_partitions(df: DataFrame, date_col: str = "txn_date") -> DataFrame:
     """Add ``txn_year`` / ``txn_month`` derived from a date column, the
@@ -132,6 +77,15 @@ def with_month_partitions(df: DataFrame, date_col: str = "txn_date") -> DataFram
     return df.withColumn("txn_year", F.year(date_col)).withColumn("txn_month", F.month(date_col))
 
 
+def since(df: DataFrame, first_day: dt.date, date_col: str = "txn_date") -> DataFrame:
+    """Rows from ``first_day`` on; where the table has month folders, the
+    earlier ones aren't read."""
+    if {"txn_year", "txn_month"} <= set(df.columns):
+        y, m = first_day.year, first_day.month
+        df = df.where((F.col("txn_year") > y) | ((F.col("txn_year") == y) & (F.col("txn_month") >= m)))
+    return df.where(F.col(date_col) >= F.lit(first_day))
+
+
 class StarStore:
     """The three tables of the star, each a ``VersionedTable`` under one
     root, plus a versioned folder for change sets."""
