@@ -1,3 +1,4 @@
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
@@ -76,7 +77,7 @@ def test_orphans_and_nulls(spark):
 def test_duplicate_merge_source_fails(spark):
     t = basic(spark)
     dup = spark.createDataFrame([(2, "SILVER"), (2, "BRONZE")], "customer_id bigint, new_tier string")
-    with pytest.raises(Exception, match="more than one source row for one key"):
+    with pytest.raises(Exception, match="more than one source row acts"):
         T.apply_tier_changes(t, dup).collect()
 
 
@@ -120,8 +121,6 @@ def test_tier_stats_half_up(spark):
 
 def test_duplicate_product_rows_match_row_join_sql(spark):
     """Price sums per product give the row join's sums and distinct counts."""
-    from dataclasses import replace
-
     customers = [(1, "a", "GOLD", D), (2, "b", "SILVER", D)]
     products = [(1, "p", "Home", price(10)), (1, "p", "Home", price(12)), (1, "p", "Home", None),
                 (1, "p", "Toys", price(5)), (2, "q", "Home", price(7))]
@@ -170,18 +169,15 @@ def test_verified_txn_key(spark):
     assert R.top_customers(v).first()["transaction_count"] == 1  # exact distinct kept
 
 
-def test_date_spine_same_with_and_without_broadcast(spark):
+def test_date_spine_fills_days_and_counts_product_rows(spark):
     from tierwise.operators import windows as W
 
     customers = [(1, "a", "GOLD", D)]
     products = [(1, "p", "Home", price(10)), (1, "p", "Home", price(12)), (2, "q", "Home", price(7))]
     d2 = D.replace(day=3)
     txns = [(1, 1, 1, 2, D), (2, 1, 2, 1, D), (3, 1, 1, 3, d2), (4, 1, 9, 1, d2)]
-    t = star(spark, customers, products, txns)
-    a = sorted(tuple(r) for r in W.date_spine_revenue(t).collect())
-    b = sorted(tuple(r) for r in W.date_spine_revenue(t.without_broadcast()).collect())
-    assert a == b and len(a) == 3
-    assert a[0][1:] == (price(51), 3) and a[1][1:] == (price(0), 0) and a[2][1:] == (price(66), 2)
+    a = sorted(tuple(r) for r in W.date_spine_revenue(star(spark, customers, products, txns)).collect())
+    assert [r[1:] for r in a] == [(price(51), 3), (price(0), 0), (price(66), 2)]
 
 
 def test_transaction_details_skips_orphans_exactly(spark):
@@ -197,29 +193,72 @@ def test_transaction_details_skips_orphans_exactly(spark):
     assert [r.txn_id for r in transaction_details(t, 100).collect()] == list(range(11, 40))
 
 
-def test_spend_and_count_same_with_and_without_broadcast(spark):
-    from dataclasses import replace
-
-    from tierwise.operators.spend import spend_and_count_by_customer
+def test_spend_same_with_and_without_pair_reduction(spark):
+    from tierwise.operators.spend import customer_spend, spend_and_count_by_customer
 
     customers = [(1, "a", "GOLD", D), (2, "b", "SILVER", D)]
     products = [(1, "p", "Home", price(10)), (1, "p", "Home", price(12)), (2, "q", "Home", price(7))]
     txns = [(1, 1, 1, 2, D), (2, 1, 1, 1, D), (3, 2, 1, 3, D), (4, 2, 9, 1, D), (5, 1, 2, None, D)]
-    t = replace(star(spark, customers, products, txns), unique_txn_id=True)
-    a = sorted(tuple(r) for r in spend_and_count_by_customer(t).collect())
-    b = sorted(tuple(r) for r in spend_and_count_by_customer(t.without_broadcast()).collect())
-    assert a == b
-    assert a == [(1, price(66), 3), (2, price(66), 1)]
+    t = star(spark, customers, products, txns)
+    a = sorted(tuple(r) for r in customer_spend(t).collect())
+    assert a == sorted(tuple(r) for r in customer_spend(t, eager=True).collect()) == [(1, price(66)), (2, price(66))]
+    for unique in (False, True):
+        rows = spend_and_count_by_customer(replace(t, unique_txn_id=unique)).collect()
+        assert sorted(tuple(r) for r in rows) == [(1, price(66), 3), (2, price(66), 1)]
 
 
-def test_revenue_by_category_same_with_and_without_broadcast(spark):
-    from dataclasses import replace
+def test_transaction_details_same_with_a_declared_key(spark):
+    from tierwise.operators.spend import transaction_details
 
-    customers = [(1, "a", "GOLD", D)]
-    products = [(1, "p", "Home", price(10)), (1, "p", "Home", price(12)), (1, "p", "Home", None),
-                (1, "p", "Toys", price(5)), (2, "q", "Home", price(7))]
-    txns = [(1, 1, 1, 2, D), (2, 1, 2, 1, D), (3, 1, 1, 3, D), (4, 1, 9, 1, D), (5, 1, 2, None, D)]
-    t = replace(star(spark, customers, products, txns), unique_txn_id=True)
-    a = sorted(tuple(r) for r in R.revenue_by_category(t).collect())
-    b = sorted(tuple(r) for r in R.revenue_by_category(t.without_broadcast()).collect())
-    assert a == b
+    customers = [(1, "a", "GOLD", D), (2, "b", "GOLD", D)]
+    products = [(1, "p", "Home", price(10)), (2, "q", "Toys", price(3))]
+    txns = [(i, 99 if i % 3 else 1, 1, 1, D) for i in range(1, 11)] + [(i, 1 + i % 2, 1 + i % 4, 2, D) for i in range(11, 40)]
+    t = star(spark, customers, products, txns)
+    plain = [tuple(r) for r in transaction_details(t, 7).collect()]
+    assert plain == [tuple(r) for r in transaction_details(replace(t, unique_txn_id=True), 7).collect()] and len(plain) == 7
+
+
+def test_process_tiers(spark):
+    t = basic(spark)
+    new, changes = T.process_tiers(t)
+    assert {(r.customer_id, r.new_tier) for r in changes.collect()} == {(2, "SILVER"), (3, "GOLD"), (6, "BRONZE")}
+    held = {r.customer_id: r.segment for r in new.collect()}
+    assert held == {1: "GOLD", 2: "SILVER", 3: "GOLD", 4: "GOLD", 5: None, 6: "BRONZE"}
+    assert T.tier_changes(t.with_customers(new)).count() == 0
+
+
+def test_an_order_of_more_than_a_thousand_lines_keeps_its_count(spark, scratch):
+    """txn_id stays unique, and counts agree with COUNT(DISTINCT)."""
+    from tierwise.sources.model import from_tpch
+
+    src = "/root/testdata/sf0.001"
+    for name in ("customer", "part"):
+        spark.read.parquet(f"{src}/{name}.parquet").write.parquet(f"{scratch}/{name}.parquet")
+    orders = spark.read.parquet(f"{src}/orders.parquet").limit(1)
+    line = spark.read.parquet(f"{src}/lineitem.parquet").limit(1)
+    two = [orders.withColumn("o_orderkey", F.lit(k).cast("long")).withColumn("o_custkey", F.lit(c).cast("long")) for k, c in ((10, 1), (11, 2))]
+    two[0].union(two[1]).write.parquet(f"{scratch}/orders.parquet")
+    ten = line.withColumn("l_orderkey", F.lit(10).cast("long")).crossJoin(spark.range(1001)).drop("id")
+    ten.union(line.withColumn("l_orderkey", F.lit(11).cast("long"))).write.parquet(f"{scratch}/lineitem.parquet")
+    t = from_tpch(spark, scratch)
+    ids = t.numbered()
+    assert ids.count() == ids.select("txn_id").distinct().count() == 1002
+    assert {r.customer_id: r.transaction_count for r in R.top_customers(t).collect()} == {1: 1001, 2: 1}
+    assert R.revenue_by_category(t).first().transaction_count == 1002
+
+
+def test_queries_see_appended_rows_and_lost_lines_fail(spark, scratch):
+    import __spark_entry__ as E
+
+    src = "/root/testdata/sf0.001"
+    for name in ("customer", "part", "orders", "lineitem"):
+        spark.read.parquet(f"{src}/{name}.parquet").write.parquet(f"{scratch}/{name}.parquet")
+    count = lambda: {r.table_name: r.row_count for r in E.queries()["scan_counts"](spark, scratch).collect()}
+    before = count()["sales_transactions"]
+    lines = spark.read.parquet(f"{src}/lineitem.parquet")
+    lines.write.mode("append").parquet(f"{scratch}/lineitem.parquet")
+    assert count()["sales_transactions"] == 2 * before
+    status = lambda: {r.table_name: r.status for r in E.queries()["volume_check"](spark, scratch).collect()}
+    assert set(status().values()) == {"PASS"}
+    lines.limit(1).withColumn("l_orderkey", F.lit(-5).cast("long")).write.mode("append").parquet(f"{scratch}/lineitem.parquet")
+    assert status()["sales_transactions"] == "FAIL"  # a line without an order

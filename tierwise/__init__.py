@@ -8,7 +8,6 @@ sources/    table bundles (generated star schema, views over TPC-H style
 operators/  spend, tiers, merge, reports, quality, windows, generator
 functions/  money arithmetic and the small scalar helpers
 plans/      the named query registry and the end-to-end pipeline
-streaming/  incremental tier processing over appended transaction files
 """
 
 from tierwise.rules import DEFAULT_RULES, DRIVER_RULES, TierRules

@@ -45,11 +45,16 @@ def avg_half_up(c: Column | str) -> Column:
     return cents_div_half_up(F.sum(c), F.count(c))
 
 
-def sql_avg_half_up(expr: str) -> str:
-    """DuckDB rendering of ``avg_half_up`` (integer arithmetic in HUGEINT)."""
-    cents = f"CAST(SUM({expr}) * 100 AS HUGEINT)"
-    n = f"CAST(COUNT({expr}) AS HUGEINT)"
+def sql_div_half_up(total: str, n: str) -> str:
+    """DuckDB rendering of ``cents_div_half_up`` (integer arithmetic in
+    HUGEINT)."""
+    cents, n = f"CAST({total} * 100 AS HUGEINT)", f"CAST({n} AS HUGEINT)"
     return (
         f"CAST(CAST(SIGN({cents}) * ((2 * ABS({cents}) + {n}) // NULLIF(2 * {n}, 0)) AS DECIMAL(38,0))"
         f" * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(38,2))"
     )
+
+
+def sql_avg_half_up(expr: str) -> str:
+    """DuckDB rendering of ``avg_half_up``."""
+    return sql_div_half_up(f"SUM({expr})", f"COUNT({expr})")

@@ -28,32 +28,11 @@ def _status(ok: Column) -> Column:
 # -- V1 volumes ---------------------------------------------------------------
 
 
-def fact_key_counts(t: Tables) -> DataFrame:
-    """customer_id, product_id, n, gid - fact rows per customer_id
-    (gid 1) and per product_id (gid 2), both from one scan of the fact
-    (GROUPING SETS; the partial aggregate collapses the expanded rows before
-    the exchange).  Dimension-sized; shared by the volume and orphan checks."""
-
-    def build():
-        return (
-            t.transactions.select("customer_id", "product_id")
-            .groupingSets([["customer_id"], ["product_id"]], "customer_id", "product_id")
-            .agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("gid"))
-        )
-
-    return t.shared("fact_keys", build)
-
-
 def scan_counts(t: Tables) -> DataFrame:
-    """table_name, row_count for the three tables."""
-    facts = fact_key_counts(t).where(F.col("gid") == 1).agg(
-        F.lit("sales_transactions").alias("table_name"), F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("row_count")
-    )
-    dims = [
-        df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
-        for name, df in (("customers", t.customers), ("products", t.products))
-    ]
-    return dims[0].unionByName(dims[1]).unionByName(facts)
+    """table_name, row_count for the three tables: plain counts, no keys."""
+    frames = {"customers": t.customers, "products": t.products, "sales_transactions": t.transactions}
+    counts = [df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count")) for name, df in frames.items()]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
 def _expected_counts(t: Tables, expected: dict[str, int] | None) -> DataFrame:
@@ -71,8 +50,8 @@ def _expected_counts(t: Tables, expected: dict[str, int] | None) -> DataFrame:
 
 def volume_check(t: Tables, expected: dict[str, int] | None = None) -> DataFrame:
     """table_name, actual, expected, status.  ``expected`` defaults to the
-    row counts of the sources the tables were derived from (no row lost or
-    duplicated by the view layer)."""
+    plain row counts of the source tables, so a row that the view layer loses
+    or repeats fails the check."""
     exp = _expected_counts(t, expected)
     return (
         scan_counts(t)
@@ -160,6 +139,7 @@ def tier_band_check(t: Tables) -> DataFrame:
 
 # -- V4 nulls ------------------------------------------------------------------------
 
+# The columns the reference checks for NULL, by table.
 NULL_CHECK_COLUMNS = {
     "customers": ("customer_id", "cust_name", "segment"),
     "products": ("product_id", "unit_price"),
@@ -168,11 +148,14 @@ NULL_CHECK_COLUMNS = {
 
 
 def null_checks(t: Tables, columns: dict[str, tuple[str, ...]] = NULL_CHECK_COLUMNS) -> DataFrame:
-    """table, column, null_count, status - one aggregate per table."""
+    """table, column, null_count, status - one aggregate per table.  A
+    ``txn_id`` that has to be built is a row number, so it has no NULL and
+    isn't built for the check."""
     frames = {"customers": t.customers, "products": t.products, "sales_transactions": t.transactions}
     out = None
     for table, cols in columns.items():
-        agg = frames[table].agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+        own = frames[table].columns
+        agg = frames[table].agg(*[F.count_if(F.col(c).isNull() if c in own else F.lit(False)).alias(c) for c in cols])
         long = agg.unpivot([], list(cols), "column", "null_count").select(
             F.lit(table).alias("table"), "column", "null_count", _status(F.col("null_count") == 0).alias("status")
         )
@@ -193,12 +176,11 @@ def null_profile(t: Tables) -> DataFrame:
 # -- V5 referential integrity --------------------------------------------------------
 
 
-def orphan_count(facts: DataFrame, dim: DataFrame, key: str, per_key: DataFrame | None = None) -> DataFrame:
+def orphan_count(facts: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """orphaned_count: fact rows whose ``key`` has no dimension row (NULL
-    keys included).  Facts are counted per key before the anti join
-    (``per_key``: precomputed ``key, n``)."""
-    if per_key is None:
-        per_key = facts.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    keys included).  Facts are counted per key before the anti join, so one
+    row per key and partition is shuffled."""
+    per_key = facts.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     return (
         per_key.join(dim.select(key).where(F.col(key).isNotNull()), key, "left_anti")
         .agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("orphaned_count"))
@@ -206,13 +188,11 @@ def orphan_count(facts: DataFrame, dim: DataFrame, key: str, per_key: DataFrame
 
 
 def orphan_customers(t: Tables) -> DataFrame:
-    keys = fact_key_counts(t).where(F.col("gid") == 1).select("customer_id", "n")
-    return orphan_count(t.transactions, t.customers, "customer_id", keys)
+    return orphan_count(t.transactions, t.customers, "customer_id")
 
 
 def orphan_products(t: Tables) -> DataFrame:
-    keys = fact_key_counts(t).where(F.col("gid") == 2).select("product_id", "n")
-    return orphan_count(t.transactions, t.products, "product_id", keys)
+    return orphan_count(t.transactions, t.products, "product_id")
 
 
 # -- V6 duplicates, V7 rule violations, V12 conservation ----------------------------
@@ -224,14 +204,14 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
 
 
 def with_verified_txn_key(t: Tables) -> Tables:
-    """The primary-key check on ``txn_id`` (no value twice, at most one
-    NULL); when it holds, the bundle declares the key so that transaction
-    counts need no distinct aggregation.  One aggregate over the fact, paid
-    once for all the reports that follow."""
+    """The primary-key check on ``txn_id`` (no value twice, no NULL); when it
+    holds, the bundle declares the key so that transaction counts need no
+    distinct aggregation.  One aggregate over the fact, paid once for all the
+    reports that follow."""
     from dataclasses import replace
 
-    clean = duplicate_keys(t.transactions, "txn_id").limit(1).count() == 0
-    return replace(t, unique_txn_id=clean)
+    ids = t.numbered().groupBy("txn_id").agg(F.count(F.lit(1)).alias("cnt"))
+    return replace(t, unique_txn_id=ids.where((F.col("cnt") > 1) | F.col("txn_id").isNull()).isEmpty())
 
 
 def duplicate_customers(t: Tables) -> DataFrame:

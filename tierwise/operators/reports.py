@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierwise.functions.money import avg_half_up, cents_div_half_up, money
-from tierwise.operators.spend import customer_spend, customer_totals, spend_by_customer, txn_count
+from tierwise.operators.spend import customer_spend, customer_totals, spend_by_customer
 from tierwise.sources.model import Tables
 
 
@@ -151,20 +151,20 @@ def category_price_stats(products: DataFrame) -> DataFrame:
 def revenue_by_category(t: Tables) -> DataFrame:
     """category, transaction_count, total_revenue, avg_transaction_value."""
     products = t.product_prices("category")
-    if t.unique_txn_id and not t.is_bounded("products"):
-        # one row per product before the shuffle join: quantity sum,
+    if t.unique_txn_id:
+        # one row per product before the join: quantity sum,
         # transactions, and transactions with a quantity (AVG's terms)
         per_product = t.transactions.groupBy("product_id").agg(
             F.sum("quantity").alias("quantity"),
-            F.count("txn_id").alias("n"),
+            F.count(F.lit(1)).alias("n"),
             F.count("quantity").alias("n_qty"),
         )
         lines = per_product.join(products, "product_id", "inner")
         count = F.sum("n")
         terms = F.col("n_qty") * F.col("_priced_rows")
     else:
-        lines = t.transactions.select("txn_id", "product_id", "quantity").join(products, "product_id", "inner")
-        count = txn_count(t)
+        lines = t.numbered().select("txn_id", "product_id", "quantity").join(products, "product_id", "inner")
+        count = F.count_distinct("txn_id")
         # AVG over the row join: one term per (transaction, priced product row)
         terms = F.when(F.col("quantity").isNotNull(), F.col("_priced_rows")).otherwise(F.lit(0))
     amount = F.col("unit_price") * F.col("quantity")

@@ -1,11 +1,12 @@
 """Spend over the star: line totals, per-customer spend, per-customer
 spend with transaction counts.
 
-Plan shape (per customer): fact scan -> join products (broadcast only when
-proven small) -> partial aggregate by customer -> one exchange by customer
--> final aggregate -> join customers on the same partitioning.  A customer
-holding a large share of the fact never reaches one task as raw rows: the
-map-side partial aggregate collapses it to one row per input partition.
+Plan shape (per customer): fact scan -> join of the product prices (broadcast
+where Spark's size threshold allows, at planning or at run time) -> partial
+aggregate by customer -> one exchange by customer -> final aggregate -> join
+customers on the same partitioning.  A customer holding a large share of the
+fact never reaches one task as raw rows: the map-side partial aggregate
+collapses it to one row per input partition.
 """
 
 from __future__ import annotations
@@ -16,53 +17,44 @@ from pyspark.sql import functions as F
 from tierwise.sources.model import Tables
 
 
-def priced_lines(t: Tables, keep: tuple[str, ...] = ()) -> DataFrame:
+def priced_lines(t: Tables, keep: tuple[str, ...] = (), eager: bool = False) -> DataFrame:
     """Transactions inner-joined to products with ``amount = unit_price * quantity``
     (per-product price sums, see ``Tables.product_prices``).
 
-    Without a provable size bound on products the fact is first reduced to
-    one row per (customer, product) - exact, because price is constant per
-    product - so the shuffle join moves pairs, not transactions.  ``keep``
-    asks for extra transaction columns and disables that reduction.
+    ``eager`` first reduces the fact to one row per (customer, product) -
+    exact, because the price is constant per product - so that a shuffle join
+    moves pairs, not transactions.  ``keep`` asks for extra transaction
+    columns.
     """
-    products = t.product_prices()
-    facts = t.transactions
-    if keep or t.is_bounded("products"):
-        lines = facts.select("customer_id", "product_id", "quantity", *keep)
+    if eager and not keep:
+        lines = t.transactions.groupBy("customer_id", "product_id").agg(F.sum("quantity").alias("quantity"))
     else:
-        lines = facts.groupBy("customer_id", "product_id").agg(F.sum("quantity").alias("quantity"))
-    return lines.join(products, "product_id", "inner").select(
+        facts = t.numbered() if "txn_id" in keep else t.transactions
+        lines = facts.select("customer_id", "product_id", "quantity", *keep)
+    return lines.join(t.product_prices(), "product_id", "inner").select(
         "customer_id", "product_id", *keep, (F.col("unit_price") * F.col("quantity")).alias("amount")
     )
 
 
-def txn_count(t: Tables):
-    """COUNT(DISTINCT txn_id), or COUNT(txn_id) where txn_id is a declared
-    key (same value, no per-transaction exchange)."""
-    return F.count("txn_id") if t.unique_txn_id else F.count_distinct("txn_id")
-
-
-def spend_by_customer(t: Tables) -> DataFrame:
+def spend_by_customer(t: Tables, eager: bool = False) -> DataFrame:
     """customer_id, total_spend over transactions joined to products only
-    (the reports' ``spend`` subquery: no customers join).  A customer whose
-    transactions all miss their product is absent, which a LEFT JOIN from
-    customers turns into the same NULL as SUM over NULL amounts."""
-    return t.shared(
-        "spend", lambda: priced_lines(t).groupBy("customer_id").agg(F.sum("amount").alias("total_spend"))
-    )
+    (no customers join).  A customer whose transactions all miss their
+    product is absent, which a LEFT JOIN from customers turns into the same
+    NULL as SUM over NULL amounts."""
+    return priced_lines(t, eager=eager).groupBy("customer_id").agg(F.sum("amount").alias("total_spend"))
 
 
-def customer_spend(t: Tables) -> DataFrame:
-    """customer_id, total_spend: SUM(unit_price * quantity) over
-    customers JOIN sales_transactions JOIN products GROUP BY customer_id.
+def customer_spend(t: Tables, eager: bool = False) -> DataFrame:
+    """customer_id, total_spend: SUM(unit_price * quantity) over the
+    transactions of known customers.
 
     Inner join semantics: orphan transactions drop out, customers without
     transactions are absent, a duplicated customer row counts its
     transactions once per copy (as the join does).
     """
-    spend = spend_by_customer(t)
     return (
-        spend.join(t.customers.select("customer_id"), "customer_id", "inner")
+        spend_by_customer(t, eager)
+        .join(t.customers.select("customer_id"), "customer_id", "inner")
         .groupBy("customer_id")
         .agg(F.sum("total_spend").alias("total_spend"))
     )
@@ -70,36 +62,19 @@ def customer_spend(t: Tables) -> DataFrame:
 
 def spend_and_count_by_customer(t: Tables) -> DataFrame:
     """customer_id, total_spend, txn_count (COUNT(DISTINCT txn_id)) over the
-    transactions that join a product."""
-    def build():
-        if t.unique_txn_id and not t.is_bounded("products"):
-            # a key counts like any row: reduce the fact to (customer,
-            # product) pairs with their transaction counts before the shuffle
-            # join, as ``priced_lines`` does for the spend alone
-            pairs = t.transactions.groupBy("customer_id", "product_id").agg(
-                F.sum("quantity").alias("quantity"), F.count("txn_id").alias("n")
-            )
-            return (
-                pairs.join(t.product_prices(), "product_id", "inner")
-                .groupBy("customer_id")
-                .agg(
-                    F.sum(F.col("unit_price") * F.col("quantity")).alias("total_spend"),
-                    F.sum("n").alias("txn_count"),
-                )
-            )
-        lines = priced_lines(t, keep=("txn_id",))
-        return lines.groupBy("customer_id").agg(
-            F.sum("amount").alias("total_spend"),
-            txn_count(t).alias("txn_count"),
-        )
-
-    return t.shared("spend_and_count", build)
+    transactions that join a product.  Where txn_id is a key, rows are
+    counted instead, which reads no id and needs no distinct aggregation."""
+    if t.unique_txn_id:
+        lines, count = priced_lines(t), F.count(F.lit(1))
+    else:
+        lines, count = priced_lines(t, keep=("txn_id",)), F.count_distinct("txn_id")
+    return lines.groupBy("customer_id").agg(F.sum("amount").alias("total_spend"), count.alias("txn_count"))
 
 
 def customer_totals(t: Tables, customers: DataFrame | None = None) -> DataFrame:
     """customer_id, cust_name, segment, total_spend, txn_count for customers
-    with at least one priced transaction, grouped as the reports group:
-    by (customer_id, cust_name, segment) over the three-way inner join."""
+    with at least one priced transaction, one row per (customer_id,
+    cust_name, segment)."""
     customers = t.customers if customers is None else customers
     per_cust = spend_and_count_by_customer(t)
     return (
@@ -115,39 +90,24 @@ def transaction_details(t: Tables, limit: int | None = 20) -> DataFrame:
     """txn_id, cust_name, product_name, category, quantity, unit_price,
     line_total, txn_date - the first ``limit`` transactions by txn_id.
 
-    Only the head of the fact is joined: the ``k``-th smallest txn_id
-    (a per-partition top-k, no shuffle) becomes a filter that reaches the
-    scan, and the joins run on those rows alone.  Inner joins may drop rows
-    (orphans), so when fewer than ``limit`` rows survive, ``k`` grows and the
-    step repeats; once the cut-off covers every transaction the answer is
-    the full join's.  The result is exact either way."""
-    products = t.products_for_join("product_id", "product_name", "category", "unit_price")
+    Where txn_id is a key, the head is taken first: the ``limit`` smallest
+    ids among the transactions with a known customer and product (semi joins
+    on narrow rows, a per-partition top-k), and only those rows are joined to
+    the wide dimensions.  Otherwise ids may tie at the cut, and the full join
+    is limited."""
     order = ["txn_id", "cust_name", "product_name", "quantity", "unit_price", "txn_date"]
-
-    def joined(facts: DataFrame) -> DataFrame:
-        return (
-            facts.join(t.customers.select("customer_id", "cust_name"), "customer_id", "inner")
-            .join(products, "product_id", "inner")
-            .select(
-                "txn_id", "cust_name", "product_name", "category", "quantity", "unit_price",
-                F.round(F.col("unit_price") * F.col("quantity"), 2).cast("decimal(38,2)").alias("line_total"),
-                "txn_date",
-            )
+    facts = t.numbered()
+    if limit and t.unique_txn_id:
+        known = facts.join(t.customers.select("customer_id"), "customer_id", "left_semi")
+        facts = known.join(t.products.select("product_id"), "product_id", "left_semi").orderBy("txn_id").limit(limit)
+    rows = (
+        facts.join(t.customers.select("customer_id", "cust_name"), "customer_id", "inner")
+        .join(t.products.select("product_id", "product_name", "category", "unit_price"), "product_id", "inner")
+        .select(
+            "txn_id", "cust_name", "product_name", "category", "quantity", "unit_price",
+            F.round(F.col("unit_price") * F.col("quantity"), 2).cast("decimal(38,2)").alias("line_total"),
+            "txn_date",
         )
-
-    if not limit:
-        return joined(t.transactions).orderBy(*order)
-    ids = t.transactions.select("txn_id").where(F.col("txn_id").isNotNull())
-    k = limit
-    while True:
-        head = ids.orderBy("txn_id").limit(k).agg(F.max("txn_id").alias("cut"), F.count(F.lit(1)).alias("n")).first()
-        everything = head["n"] < k
-        # NULL txn_ids sort first, so they always belong to the head
-        facts = t.transactions if everything else t.transactions.where(
-            F.col("txn_id").isNull() | (F.col("txn_id") <= F.lit(head["cut"]))
-        )
-        rows = joined(facts)
-        if everything or rows.limit(limit).count() >= limit:
-            # total order: txn_id may repeat when the source key is not unique
-            return rows.orderBy(*order).limit(limit)
-        k *= 8
+        .orderBy(*order)
+    )
+    return rows.limit(limit) if limit else rows

@@ -1,10 +1,10 @@
 """Tier assignment, change detection and the keyed tier update.
 
-``process_tiers`` is the set-based form of the source package's cursor
-loop: one spend aggregation, one CASE, one join to find rows whose segment
-differs, one keyed update.  Change detection uses ``!=``: a NULL segment
-compares to NULL and is therefore never updated (three-valued logic kept
-on purpose).
+``process_tiers`` is the set-based form of a row-by-row update loop: one
+spend aggregation, one CASE, one semi join to keep the tiers that differ from
+the customer's segment, one keyed update.  Change detection uses ``!=``: a
+NULL segment compares to NULL and is therefore never updated (three-valued
+logic kept on purpose).
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tierwise.operators.merge import WhenMatched, merge, merged_rows
 from tierwise.operators.spend import customer_spend
+from tierwise.session import ensure_checkpoint_dir
 from tierwise.sources.model import Tables
 
 
@@ -29,15 +30,11 @@ def customer_tiers(t: Tables) -> DataFrame:
 
 
 def tier_changes(t: Tables) -> DataFrame:
-    """customer_id, new_tier, total_spend for customers whose current
-    segment differs from the computed tier."""
-    current = t.customers.select("customer_id", F.col("segment").alias("current_segment"))
-    return (
-        customer_tiers(t)
-        .join(current, "customer_id", "inner")
-        .where(F.col("current_segment") != F.col("new_tier"))
-        .select("customer_id", "new_tier", "total_spend")
-    )
+    """customer_id, new_tier, total_spend of the computed tiers that some
+    customer row does not have yet: one row per customer_id."""
+    held = t.customers.select("customer_id", "segment").alias("c")
+    differs = (F.col("s.customer_id") == F.col("c.customer_id")) & (F.col("s.new_tier") != F.col("c.segment"))
+    return customer_tiers(t).alias("s").join(held, differs, "left_semi").select("customer_id", "new_tier", "total_spend")
 
 
 def tier_update_count(t: Tables) -> DataFrame:
@@ -56,7 +53,7 @@ def tagged_tier_update(t: Tables, changes: DataFrame | None = None) -> DataFrame
         changes.select("customer_id", "new_tier"),
         "customer_id",
         matched=[WhenMatched(update={"segment": F.col("s.new_tier")})],
-        broadcast_source_rows=t.broadcast_max_rows,
+        keyed_source=True,
     )
 
 
@@ -67,10 +64,11 @@ def apply_tier_changes(t: Tables, changes: DataFrame | None = None) -> DataFrame
 
 
 def process_tiers(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """(new customers table, change set).  Both are lazy; callers that
-    write the new table must materialise the change set first (the store
-    does), because the change set is defined over the old table."""
-    changes = tier_changes(t)
+    """(new customers table, change set).  The change set is checkpointed, so
+    it is computed once and stays what it was when the new table replaces the
+    old one."""
+    ensure_checkpoint_dir(t.spark)
+    changes = tier_changes(t).checkpoint()
     return apply_tier_changes(t, changes), changes
 
 
@@ -102,20 +100,24 @@ def tier_shift(t: Tables) -> DataFrame:
     keys, as ``apply_tier_changes`` does)."""
     tiers = t.rules.tiers
     before = tier_counts(t.customers, tiers).withColumnRenamed("customer_count", "before")
-    current = t.customers.select("customer_id", F.col("segment").alias("old"))
-    moves = customer_tiers(t).join(current, "customer_id", "inner").where(F.col("old") != F.col("new_tier"))
-    delta = moves.agg(
-        *[(F.count_if(F.col("new_tier") == F.lit(tr)) - F.count_if(F.col("old") == F.lit(tr))).alias(tr) for tr in tiers]
-    ).select(
-        F.explode(F.array(*[F.struct(F.lit(tr).alias("segment"), F.col(f"`{tr}`").alias("change")) for tr in tiers])).alias("d")
-    ).select("d.segment", "d.change")
-    return before.join(delta, "segment", "inner").select(
-        "segment", "before", (F.col("before") + F.col("change")).alias("after"), "change"
+    held = t.customers.select("customer_id", F.col("segment").alias("from_tier")).where(F.col("from_tier").isNotNull())
+    moves = customer_tiers(t).join(held, "customer_id").where(F.col("from_tier") != F.col("new_tier"))
+    gain = F.count_if(F.col("d.tier") == F.col("d.into")).cast("bigint")
+    sides = moves.select(
+        F.explode(F.array(
+            F.struct(F.col("new_tier").alias("tier"), F.col("new_tier").alias("into")),
+            F.struct(F.col("from_tier").alias("tier"), F.lit(None).cast("string").alias("into")),
+        )).alias("d")
+    )
+    delta = sides.groupBy(F.col("d.tier").alias("segment")).agg((2 * gain - F.count(F.lit(1))).alias("change"))
+    change = F.coalesce(F.col("change"), F.lit(0).cast("bigint"))
+    return before.join(delta, "segment", "left").select(
+        "segment", "before", (F.col("before") + change).alias("after"), change.alias("change")
     )
 
 
 def idempotent_second_run(t: Tables) -> DataFrame:
     """second_run_changes: changes found when processing the result of a
     first run again (0 when the processing is idempotent)."""
-    after = apply_tier_changes(t)
-    return tier_changes(t.with_customers(after)).agg(F.count(F.lit(1)).alias("second_run_changes"))
+    after, _ = process_tiers(t)
+    return tier_update_count(t.with_customers(after.checkpoint())).withColumnRenamed("updated_count", "second_run_changes")

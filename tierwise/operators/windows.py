@@ -19,7 +19,7 @@ def product_revenue(t: Tables) -> DataFrame:
     """product_id, product_name, category, revenue for sold products."""
     per_product = t.transactions.groupBy("product_id").agg(F.sum("quantity").alias("qty"))
     return per_product.join(
-        t.products_for_join("product_id", "product_name", "category", "unit_price"), "product_id", "inner"
+        t.products.select("product_id", "product_name", "category", "unit_price"), "product_id", "inner"
     ).groupBy("product_id", "product_name", "category").agg(
         money(F.sum(F.col("unit_price") * F.col("qty"))).alias("revenue")
     )
@@ -39,7 +39,7 @@ def days_between_txns(t: Tables) -> DataFrame:
     """customer_id, txn_id, txn_date, prev_txn_date, days_since_prev - each
     transaction with the previous one of the same customer (by date, then
     txn_id)."""
-    tx = t.transactions.select("customer_id", "txn_id", "txn_date")
+    tx = t.numbered().select("customer_id", "txn_id", "txn_date")
     with_prev = lag_within(tx, ["customer_id"], ["txn_date", "txn_id"], "txn_date", "prev_txn_date")
     return with_prev.select(
         "customer_id", "txn_id", "txn_date", "prev_txn_date",
@@ -53,28 +53,10 @@ def date_spine_revenue(t: Tables) -> DataFrame:
 
     The spine is one generated row per calendar day (bounded by the date
     span, not by the data volume); daily revenue is a partial aggregate."""
-    if t.is_bounded("products"):
-        products = t.products_for_join("product_id", "unit_price")
-        daily = (
-            t.transactions.select("product_id", "quantity", "txn_date")
-            .join(products, "product_id", "inner")
-            .groupBy("txn_date")
-            .agg(F.sum(F.col("unit_price") * F.col("quantity")).alias("revenue"), F.count(F.lit(1)).alias("txn_count"))
-        )
-    else:
-        # reduce the fact to (day, product) pairs before the shuffle join;
-        # price sums and product row counts keep the row join's figures
-        pairs = t.transactions.groupBy("txn_date", "product_id").agg(
-            F.sum("quantity").alias("qty"), F.count(F.lit(1)).alias("n")
-        )
-        daily = (
-            pairs.join(t.product_prices(), "product_id", "inner")
-            .groupBy("txn_date")
-            .agg(
-                F.sum(F.col("unit_price") * F.col("qty")).alias("revenue"),
-                F.sum(F.col("n") * F.col("_rows")).alias("txn_count"),
-            )
-        )
+    lines = t.transactions.select("product_id", "quantity", "txn_date").join(t.product_prices(), "product_id", "inner")
+    daily = lines.groupBy("txn_date").agg(
+        F.sum(F.col("unit_price") * F.col("quantity")).alias("revenue"), F.sum("_rows").alias("txn_count")
+    )
     span = t.transactions.agg(F.min("txn_date").alias("lo"), F.max("txn_date").alias("hi"))
     spine = span.where(F.col("lo").isNotNull()).select(F.explode(F.sequence("lo", "hi")).alias("txn_date"))
     return spine.join(daily, "txn_date", "left").select(

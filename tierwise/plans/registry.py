@@ -1,9 +1,8 @@
 """Named queries over the driver's tables, each with its DuckDB oracle.
 
-``QUERIES[name](spark, sf_dir) -> DataFrame`` runs the library operator on
-the star seen through the view layer; ``ORACLE[name]`` is the same question
-as plain SQL over the raw tables.  Queries without an oracle entry are not
-expressible as a single SQL statement (checked by row count only).
+``QUERIES[name](spark, sf_dir) -> DataFrame`` runs the library operator on a
+fresh bundle over the folder as it is at that moment; ``ORACLE[name]`` is the
+same question as plain SQL over the raw tables.
 """
 
 from __future__ import annotations
@@ -17,29 +16,10 @@ from tierwise.sources.model import Tables, from_tpch
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-_TABLES: dict[tuple[int, str], Tables] = {}
-
-
-def tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """One bundle per (application, folder), shared by all queries over the
-    same data: the transactions view written once as a parquet table in the
-    checkpoint folder, the proven dimension bounds, and the persisted
-    per-customer aggregates."""
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:  # a remote (Connect) session has no SparkContext
-        app = id(spark)
-    key = (app, sf_dir)
-    if key not in _TABLES:
-        # the view is written once, so its line numbering takes the
-        # skew-safe positional path (no window over the order key)
-        _TABLES[key] = from_tpch(spark, sf_dir, reuse=True, materialize=True, numbering="positional")
-    return _TABLES[key]
-
 
 def query(name: str, sql: str | None = None):
     def deco(fn: Callable[[Tables], DataFrame]):
-        QUERIES[name] = lambda spark, sf_dir: fn(tables(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: fn(from_tpch(spark, sf_dir))
         QUERIES[name].__doc__ = fn.__doc__
         QUERIES[name].__name__ = name
         if sql is not None:

@@ -84,5 +84,5 @@ DEFAULT_RULES = TierRules()
 # Thresholds for the driver's TPC-H style tables, where 3000 / 1000 would
 # make every customer with spend GOLD (FIXTURES.md section B).
 DRIVER_RULES = TierRules(
-    thresholds=(("GOLD", Decimal(200000)), ("SILVER", Decimal(80000))),
+    thresholds=(("GOLD", Decimal(1000000)), ("SILVER", Decimal(700000))),
 )

@@ -62,9 +62,9 @@ TABLE_SCHEMAS = {
 }
 
 TABLE_COMMENTS = {
-    "customers": "Customer master table with tier segments",
-    "products": "Product catalog table",
-    "sales_transactions": "Sales transactions fact table",
+    "customers": "One row per customer: name, spend tier, day of signing up",
+    "products": "One row per product: name, category, price",
+    "sales_transactions": "One row per sold line: who, what, how many, when",
 }
 
 

@@ -62,28 +62,16 @@ def describe_tables(spark: SparkSession, db: str) -> DataFrame:
 
 
 def table_detail(df: DataFrame, name: str) -> DataFrame:
-    """table_name, num_rows, num_files, size_bytes of a file-based table.
-
-    Rows: a count over the scan with no columns read (parquet answers it
-    from row-group footers).  Files and bytes: the scan's file list read as
-    a ``binaryFile`` listing with only path and length selected, so file
-    contents are never read.  Both are distributed; only the file list
-    (metadata) is known to the driver."""
-    spark = df.sparkSession
-    rows = df.select(F.lit(1).alias("one")).agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("num_rows"))
-    files = df.inputFiles()
-    if files:
-        listing = spark.read.format("binaryFile").load(files).select("length")
-    else:
-        listing = spark.createDataFrame([], "length bigint")
-    sizes = listing.agg(
+    """table_name, num_rows, num_files, size_bytes of a file-based table
+    (files without a row aren't seen).
+
+    Each row knows its file and the file's size (``_metadata``); they are
+    grouped by file on the executors, so no list of files passes through the
+    driver."""
+    files = df.groupBy("_metadata.file_path").agg(F.count(F.lit(1)).alias("n"), F.max("_metadata.file_size").alias("size"))
+    return files.agg(
         F.lit(name).alias("table_name"),
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("num_rows"),
         F.count(F.lit(1)).alias("num_files"),
-        F.coalesce(F.sum("length"), F.lit(0)).cast("bigint").alias("size_bytes"),
-    )
-    # two one-row frames side by side: a union and one aggregate (a join on
-    # the constant name would plan as a cross join)
-    both = rows.unionByName(sizes, allowMissingColumns=True)
-    return both.groupBy("table_name").agg(
-        F.max("num_rows").alias("num_rows"), F.max("num_files").alias("num_files"), F.max("size_bytes").alias("size_bytes")
+        F.coalesce(F.sum("size"), F.lit(0)).cast("bigint").alias("size_bytes"),
     )

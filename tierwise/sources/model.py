@@ -1,35 +1,30 @@
 """The three-table star as a bundle of DataFrames.
 
 ``Tables`` carries customers, products and sales_transactions plus the tier
-rules and the "today" of the data.  Loaders:
-
-* ``from_tpch``    - the driver's TPC-H style parquet (customer, part,
-                     orders, lineitem) seen through the view layer of
-                     FIXTURES.md section B.
-* ``from_parquet`` - a star written by ``sources.store`` or the generator.
+rules and the "today" of the data.  ``from_tpch`` builds one over the driver's
+TPC-H style parquet (customer, part, orders, lineitem), seen through the view
+layer of FIXTURES.md section B; ``plans.pipeline`` builds one over a stored
+star.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field, replace
-
 from collections.abc import Callable
+from dataclasses import dataclass, field, replace
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierwise.rules import DEFAULT_RULES, DRIVER_RULES, TierRules
 from tierwise.schemas import CUSTOMERS, PRICE, PRODUCTS, SALES_TRANSACTIONS, conform
 
-# Largest dimension (in rows) we hint as a broadcast side.  Above it, joins
-# stay shuffle joins (AQE may still switch at run time on measured sizes).
-BROADCAST_MAX_ROWS = 2_000_000
-
 
 @dataclass
 class Tables:
+    """``transactions`` may lack ``txn_id`` where that id has to be built;
+    queries that read the id ask for ``numbered()``."""
+
     customers: DataFrame
     products: DataFrame
     transactions: DataFrame
@@ -38,68 +33,22 @@ class Tables:
     # raw row counts of the sources the view layer reads, for volume checks
     source_counts: dict[str, DataFrame] = field(default_factory=dict)
     source_paths: dict[str, str] = field(default_factory=dict)
-    # dimensions with at most this many rows are broadcast; < 0 never
-    broadcast_max_rows: int = BROADCAST_MAX_ROWS
-    # persist per-customer aggregates that many reports reuse
-    reuse: bool = False
-    # txn_id is a key of the fact: COUNT(txn_id) = COUNT(DISTINCT txn_id),
-    # which saves the per-transaction exchange of a distinct aggregation
+    # txn_id is a key without NULLs (built so, or verified): counting rows is
+    # then COUNT(DISTINCT txn_id), without a distinct aggregation
     unique_txn_id: bool = False
-    _bounded: dict[str, bool] = field(default_factory=dict, repr=False)
-    _memo: dict[str, DataFrame] = field(default_factory=dict, repr=False)
+    # builds the transactions with their txn_id, on first use
+    number: Callable[[], DataFrame] | None = None
 
     @property
     def spark(self) -> SparkSession:
         return self.customers.sparkSession
 
     def with_customers(self, customers: DataFrame) -> "Tables":
-        # the shared aggregates are per customer id over the fact table and
-        # do not depend on the customers table
-        bounded = {k: v for k, v in self._bounded.items() if not k.startswith("customers")}
-        return replace(self, customers=customers, _bounded=bounded, _memo=self._memo)
-
-    def with_rules(self, rules: TierRules) -> "Tables":
-        return replace(self, rules=rules, _bounded=dict(self._bounded), _memo=self._memo)
-
-    def without_broadcast(self) -> "Tables":
-        return replace(self, broadcast_max_rows=-1, _bounded={}, _memo={})
-
-    def shared(self, key: str, build: Callable[[], DataFrame]) -> DataFrame:
-        """``build()``, persisted once per bundle when ``reuse`` is on.
+        return replace(self, customers=customers)
 
-        Used for the per-customer aggregates (one row per customer) that
-        most reports start from; MEMORY_AND_DISK, so lost blocks are
-        recomputed from lineage."""
-        if not self.reuse:
-            return build()
-        if key not in self._memo:
-            self._memo[key] = build().persist(StorageLevel.MEMORY_AND_DISK)
-        return self._memo[key]
-
-    def release(self) -> None:
-        for df in self._memo.values():
-            df.unpersist()
-        self._memo.clear()
-
-    def is_bounded(self, name: str) -> bool:
-        """True when table ``name`` provably has at most
-        ``broadcast_max_rows`` rows.
-
-        The proof is a ``limit(n + 1).count()`` job: it stops reading once
-        the bound is exceeded, and the answer is kept for this bundle.
-        """
-        n = self.broadcast_max_rows
-        if n < 0:
-            return False
-        if name not in self._bounded:
-            df = getattr(self, name)
-            self._bounded[name] = df.select(F.lit(1)).limit(n + 1).count() <= n
-        return self._bounded[name]
-
-    def products_for_join(self, *cols: str) -> DataFrame:
-        """Projected products, hinted as broadcast only behind the row bound."""
-        p = self.products.select(*cols) if cols else self.products
-        return F.broadcast(p) if self.is_bounded("products") else p
+    def numbered(self) -> DataFrame:
+        """The transactions with ``txn_id``."""
+        return self.transactions if self.number is None else self.number()
 
     def product_prices(self, *by: str) -> DataFrame:
         """product_id, *by, unit_price = SUM(unit_price) over the product
@@ -108,28 +57,26 @@ class Tables:
         Joining this instead of products gives every sum of
         ``unit_price * quantity`` the row join gives (one term per product
         row), but never multiplies fact rows, so per-transaction counts stay
-        counts.  Without the broadcast bound, the aggregate's exchange by
-        product_id is the one the following shuffle join needs."""
-        p = self.products.groupBy("product_id", *by).agg(
+        counts.  Spark's size statistics decide whether it is broadcast;
+        otherwise the aggregate's exchange by product_id is the one the
+        shuffle join needs."""
+        return self.products.groupBy("product_id", *by).agg(
             F.sum("unit_price").alias("unit_price"),
             # product rows behind each sum: the row join's row counts
             F.count("unit_price").alias("_priced_rows"),
             F.count(F.lit(1)).alias("_rows"),
         )
-        return F.broadcast(p) if self.is_bounded("products") else p
 
 
 # ---------------------------------------------------------------------------
 # Driver tables -> star (FIXTURES.md section B)
 # ---------------------------------------------------------------------------
 
-# Fixed values of the view layer: the data's latest order date, the length
-# of the transaction window, and the column order that numbers duplicate
-# line numbers inside one order.
+# Fixed values of the view layer: the data's latest order date, and the
+# columns whose order numbers the lines.
 TPCH_AS_OF = dt.date(2001, 8, 1)
-TPCH_WINDOW_DAYS = 365
 TXN_ORDER_COLUMNS = (
-    "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+    "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
     "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
 )
 
@@ -170,133 +117,50 @@ def tpch_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _window_orders(spark: SparkSession, sf_dir: str, as_of: dt.date, window_days: int) -> DataFrame:
-    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    date_type = o.schema["o_orderdate"].dataType
-    first_day = as_of - dt.timedelta(days=window_days - 1)
-    # ``cast(o_orderdate as date) > as_of - window`` written on the raw column
-    # so that the predicate reaches the parquet scan
-    # from a string: no dependence on the Python process's time zone
-    lower = F.lit(f"{first_day.isoformat()} 00:00:00").cast(date_type)
-    return o.select("o_orderkey", "o_custkey", "o_orderdate").where(F.col("o_orderdate") >= lower)
+def tpch_transactions(spark: SparkSession, sf_dir: str, keyed: bool = False) -> DataFrame:
+    """Every line of every order as a transaction.
 
-
-def tpch_transactions(
-    spark: SparkSession,
-    sf_dir: str,
-    as_of: dt.date = TPCH_AS_OF,
-    window_days: int = TPCH_WINDOW_DAYS,
-    numbering: str = "window",
-) -> DataFrame:
-    """Transactions in the window.  ``(l_orderkey, l_linenumber)`` repeats,
-    so the lines of an order are numbered by all their columns:
-
-    * ``"window"``     - ROW_NUMBER over the order key.  The group is one
-                         order (a handful of lines), and Catalyst prunes the
-                         window from every plan that does not read txn_id.
-    * ``"positional"`` - the same numbers from global positions
-                         (``operators.ordered``), for sources where a single
-                         order key may hold a large share of the rows; runs a
-                         checkpointed sort when the bundle is built.
-    """
-    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", *TXN_ORDER_COLUMNS)
-    o = _window_orders(spark, sf_dir, as_of, window_days)
+    ``(l_orderkey, l_linenumber)`` repeats, so with ``keyed`` the lines get
+    the consecutive ``txn_id`` 1..n over their columns, orders first
+    (``operators.ordered``: one range sort, no window over a key).  That id is
+    unique whatever the number of lines in an order."""
+    used = TXN_ORDER_COLUMNS if keyed else ("l_orderkey", "l_partkey", "l_quantity")
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*used)
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderdate")
     joined = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
-    order_cols = [F.col(c).asc_nulls_first() for c in TXN_ORDER_COLUMNS]
-    if numbering == "positional":
-        from tierwise.operators.ordered import row_number_within
-
-        joined = row_number_within(joined, ["l_orderkey"], order_cols, "_line_no")
-        line_no = F.col("_line_no")
-    elif numbering == "window":
-        line_no = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*order_cols))
-    else:
-        raise ValueError(f"numbering must be 'window' or 'positional', got {numbering!r}")
-    return conform(
-        joined.select(
-            (F.col("l_orderkey") * F.lit(1000) + line_no).alias("txn_id"),
-            F.col("o_custkey").alias("customer_id"),
-            F.col("l_partkey").alias("product_id"),
-            F.col("l_quantity").cast("int").alias("quantity"),
-            F.col("o_orderdate").cast("date").alias("txn_date"),
-        ),
-        SALES_TRANSACTIONS,
-    )
+    cols = [
+        F.col("o_custkey").alias("customer_id"),
+        F.col("l_partkey").alias("product_id"),
+        F.col("l_quantity").cast("int").alias("quantity"),
+        F.col("o_orderdate").cast("date").alias("txn_date"),
+    ]
+    if not keyed:
+        wanted = [f for f in SALES_TRANSACTIONS.fields if f.name != "txn_id"]
+        rows = joined.select(*cols)
+        return rows.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted])
+    from tierwise.operators.ordered import global_row_number
+
+    order = [F.col(c).asc_nulls_first() for c in (*TXN_ORDER_COLUMNS, "o_custkey", "o_orderdate")]
+    return conform(global_row_number(joined, order, "txn_id").select("txn_id", *cols), SALES_TRANSACTIONS)
 
 
 def from_tpch(
-    spark: SparkSession,
-    sf_dir: str,
-    rules: TierRules = DRIVER_RULES,
-    as_of: dt.date = TPCH_AS_OF,
-    window_days: int = TPCH_WINDOW_DAYS,
-    reuse: bool = False,
-    unique_txn_id: bool = True,
-    materialize: bool = False,
-    numbering: str = "window",
+    spark: SparkSession, sf_dir: str, rules: TierRules = DRIVER_RULES, as_of: dt.date = TPCH_AS_OF
 ) -> Tables:
-    """The star over the driver's tables.  ``txn_id`` is built as
-    ``l_orderkey * 1000 + line number``, unique while an order has fewer
-    than 1000 lines (FIXTURES.md: at most 16), hence ``unique_txn_id``.
+    """The star over the driver's tables, composed lazily: nothing is read,
+    sorted or written until a query needs it."""
+
+    def rows(name: str) -> DataFrame:
+        return spark.read.parquet(f"{sf_dir}/{name}.parquet").agg(F.count(F.lit(1)).alias("n"))
 
-    ``materialize`` writes the transactions view (the lineitem-orders join,
-    the date window and the line numbering) once as a parquet table under
-    the session's checkpoint folder; every later query reads that table,
-    with column pruning and filter pushdown, instead of redoing the join.
-    """
-    counts = {
-        "customers": spark.read.parquet(f"{sf_dir}/customer.parquet").agg(F.count(F.lit(1)).alias("n")),
-        "products": spark.read.parquet(f"{sf_dir}/part.parquet").agg(F.count(F.lit(1)).alias("n")),
-        # lines counted per order first: one row per order crosses the shuffle
-        "sales_transactions": spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-        .groupBy("l_orderkey")
-        .agg(F.count(F.lit(1)).alias("lines"))
-        .join(_window_orders(spark, sf_dir, as_of, window_days), F.col("l_orderkey") == F.col("o_orderkey"))
-        .agg(F.coalesce(F.sum("lines"), F.lit(0)).cast("bigint").alias("n")),
-    }
-    transactions = tpch_transactions(spark, sf_dir, as_of, window_days, numbering)
-    if materialize:
-        transactions = write_derived(transactions, "sales_transactions")
     return Tables(
         customers=tpch_customers(spark, sf_dir, as_of),
         products=tpch_products(spark, sf_dir),
-        transactions=transactions,
+        transactions=tpch_transactions(spark, sf_dir),
         rules=rules,
         as_of=as_of,
-        source_counts=counts,
+        source_counts={"customers": rows("customer"), "products": rows("part"), "sales_transactions": rows("lineitem")},
         source_paths={n: f"{sf_dir}/{n}.parquet" for n in ("customer", "part", "orders", "lineitem")},
-        reuse=reuse,
-        unique_txn_id=unique_txn_id,
-    )
-
-
-def write_derived(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as parquet to a fresh folder under the checkpoint
-    folder the cluster names (``spark.checkpoint.dir``) and return the
-    DataFrame reading it back: a written table that cuts the lineage."""
-    import uuid
-
-    from tierwise.session import ensure_checkpoint_dir
-
-    spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/tierwise-derived-{uuid.uuid4().hex}/{name}"
-    df.write.mode("errorifexists").parquet(path)
-    return conform(spark.read.parquet(path), SALES_TRANSACTIONS if name == "sales_transactions" else df.schema)
-
-
-def from_parquet(
-    spark: SparkSession, root: str, rules: TierRules = DEFAULT_RULES, as_of: dt.date | None = None
-) -> Tables:
-    """A star stored as ``root/{customers,products,sales_transactions}``."""
-
-    def read(name, schema):
-        return conform(spark.read.parquet(f"{root}/{name}"), schema)
-
-    return Tables(
-        customers=read("customers", CUSTOMERS),
-        products=read("products", PRODUCTS),
-        transactions=read("sales_transactions", SALES_TRANSACTIONS),
-        rules=rules,
-        as_of=as_of,
+        unique_txn_id=True,
+        number=lambda: tpch_transactions(spark, sf_dir, keyed=True),
     )
