@@ -155,6 +155,8 @@ class PageLines(HTMLParser):
         self.text.append(data)
 
     def finish(self):
+        if self.rawdata.startswith("<!--"):  # a comment that never ends
+            self.rawdata = ""
         self.close()
         self.flush()
         return self.lines

@@ -105,8 +105,9 @@ def _matches(words: DataFrame, threshold: float, templates) -> DataFrame:
         s = sorted(s, key=rank.get)
         need = needed(len(s), threshold)
         rows += [(w, i, at, len(s), need, label, s) for at, w in enumerate(s[: len(s) - need + 1])]
-    spark = words.sparkSession
-    prefix = spark.createDataFrame(rows, "w string, template int, at int, n int, need int, label string, tokens array<string>")
+    named = ("w", "template", "at", "n", "need", "label", "tokens")
+    literal = [F.struct(*((_array(v) if isinstance(v, list) else F.lit(v)).alias(c) for c, v in zip(named, row, strict=True))) for row in rows]
+    prefix = words.sparkSession.range(1).select(F.inline(F.array(*literal)))
     first_words = sorted({r[0] for r in rows})
 
     spots = words.where(F.arrays_overlap("words", _array(first_words))).select("digest", "words", F.posexplode("words").alias("pos", "w"))

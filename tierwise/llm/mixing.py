@@ -87,34 +87,32 @@ def _steps(rate: DataFrame) -> DataFrame:
 
 
 def replicate(docs: DataFrame, weights: dict | None = None, other: float = 0.0, measure: str = "chars", seed: int = 17) -> DataFrame:
-    """``docs`` with each row repeated by its drawn number of copies, plus
-    ``_rate``, ``_copies``, ``_copy`` (1 to ``_copies``) and ``_order`` (the key of the global shuffle, not yet applied)."""
+    """``doc, rate, copies, copy_no, shuffle_key``: each row of ``docs`` (as
+    the struct ``doc``) repeated by its drawn number of copies, with the key
+    of the global shuffle, which isn't applied yet."""
     table = spill(_steps(rates(docs, weights, other, measure)), "rates")
-    prefixed = {"rate": "_rate", "parts": "_parts", "steps": "_steps", "source_key": "_source_key"}
-    per = table.select(*(F.col(a).alias(b) for a, b in prefixed.items()))
-    keyed = docs.withColumn("_source_key", _key(F.col("source")))
+    keyed = docs.select(F.struct(*docs.columns).alias("doc"), _key(F.col("source")), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"))
     if table.limit(MAX_BROADCAST_SOURCES + 1).count() <= MAX_BROADCAST_SOURCES:
-        joined = keyed.join(F.broadcast(per), "_source_key")
+        joined = keyed.join(F.broadcast(table), "source_key")
     else:
-        salted = keyed.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
-        spread = per.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-        joined = salted.join(spread, ["_source_key", "_salt"]).drop("_salt")
-    doc = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+        salted = keyed.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
+        spread = table.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+        joined = salted.join(spread, ["source_key", "salt"])
 
     def draw(part):
-        u = (_hash48(F.lit(str(seed)), part.cast("string"), doc) + 0.5) / _GRID
-        return F.size(F.filter("_steps", lambda p: p < u))
+        u = (_hash48(F.lit(str(seed)), part.cast("string"), F.col("id")) + 0.5) / _GRID
+        return F.size(F.filter("steps", lambda p: p < u))
 
-    copies = F.aggregate(F.sequence(F.lit(1), F.col("_parts")), F.lit(0), lambda n, part: n + draw(part))
-    counted = joined.withColumn("_copies", F.when(F.col("_rate") > 0, copies).otherwise(F.lit(0))).where("_copies > 0")
-    out = counted.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    out = out.withColumn("_order", F.md5(F.concat_ws("|", F.lit(f"order{seed}"), F.col("_copy").cast("string"), doc)))
-    return out.drop("_source_key", "_parts", "_steps")
+    copies = F.aggregate(F.sequence(F.lit(1), F.col("parts")), F.lit(0), lambda n, part: n + draw(part))
+    counted = joined.withColumn("copies", F.when(F.col("rate") > 0, copies).otherwise(F.lit(0))).where("copies > 0")
+    out = counted.withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    key = F.md5(F.concat_ws("|", F.lit(f"order{seed}"), F.col("copy_no").cast("string"), F.col("id")))
+    return out.select("doc", "rate", "copies", "copy_no", key.alias("shuffle_key"))
 
 
 def mix(docs: DataFrame, weights: dict | None = None, other: float = 0.0, measure: str = "chars", seed: int = 17) -> DataFrame:
     """The mixture in its shuffled order, with the columns of ``docs``."""
-    return replicate(docs, weights, other, measure, seed).orderBy("_order", "doc_id").select(*docs.columns)
+    return replicate(docs, weights, other, measure, seed).orderBy("shuffle_key", "doc.doc_id").select("doc.*")
 
 
 #: DuckDB form of the query over ``documents`` (weights alike, characters)

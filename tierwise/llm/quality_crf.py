@@ -146,7 +146,7 @@ def judge(texts, model: LineField) -> list[tuple]:
     return done
 
 
-def _slices(batch: pa.RecordBatch, column: str, limit: int = 8_000_000):
+def _slices(batch: pa.RecordBatch, column: str, limit: int = 4_000_000):
     """Cuts a batch so that the texts of a piece stay within ``limit`` bytes
     (one text at least)."""
     sizes = np.array([len(x) if x else 0 for x in batch.column(column).to_pylist()], dtype=np.int64)

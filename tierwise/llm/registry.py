@@ -44,7 +44,7 @@ def op1(spark, sf_dir):
 @query("op2_source_mixing", mixing.ORACLE)
 def op2(spark, sf_dir):
     mixed = mixing.replicate(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
-    return mixed.selectExpr("doc_id", "source", "_copies AS copies", "_copy AS copy_no", "_order AS shuffle_key").orderBy("shuffle_key", "doc_id")
+    return mixed.select("doc.doc_id", "doc.source", "copies", "copy_no", "shuffle_key").orderBy("shuffle_key", "doc_id")
 
 
 @query("op3_quality_rules")
