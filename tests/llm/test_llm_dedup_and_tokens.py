@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tierwise.llm import ans_tokens as A
 from tierwise.llm import minhash_oph as M
-from tierwise.llm.common import LOWER, UPPER, shared_path, table, tokenizer_path
+from tierwise.llm.common import LOWER, UPPER, Scratch, shared_path, table, tokenizer_path
 
 SF = "/root/testdata/sf0.01"
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -89,7 +89,8 @@ def test_one_large_group_gives_few_pairs(spark):
 
 def test_components_of_a_chain(spark):
     edges = spark.range(200).selectExpr("(id * 37) % 200 AS u", "((id + 1) * 37) % 200 AS v")
-    assert {(r.node, r.root) for r in M.components(edges).collect()} == {(i, 0) for i in range(1, 200)}
+    with Scratch(spark, "chain") as scratch:
+        assert {(r.node, r.root) for r in M.components(edges, scratch).collect()} == {(i, 0) for i in range(1, 200)}
 
 
 def test_bands_agree_as_often_as_sets_are_alike():

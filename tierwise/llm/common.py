@@ -36,16 +36,26 @@ def spill(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(*frames: DataFrame) -> None:
-    """Delete the files behind tables made by :func:`spill`, once nothing
-    reads them any more."""
-    for df in frames:
-        spark = df.sparkSession
-        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            if "/tierwise-llm/" in folder:
-                path = jvm.org.apache.hadoop.fs.Path(folder)
-                path.getFileSystem(conf).delete(path, True)
+class Scratch:
+    """Intermediate tables of one job, in a folder of their own below the
+    shared one; leaving the block deletes them."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.path, self.made = spark, shared_path(spark, name), 0
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+    def spill(self, df: DataFrame) -> DataFrame:
+        """Like :func:`spill`, until the block is left."""
+        self.made += 1
+        path = f"{self.path}/{self.made}"
+        df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
 
 def ascii_lower(c: Column) -> Column:

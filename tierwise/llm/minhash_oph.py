@@ -7,15 +7,20 @@ makes each bin an independent draw.  Groups of bins form bands; documents
 that agree on a band share a bucket.
 
 Documents with equal sets are merged into one class first, so a group of
-exact copies is one point.  Candidate edges are stars: every member of a
-bucket is paired with the bucket's head (the smallest in one global random
-order), so a bucket of m classes gives m - 1 pairs, and a group that agrees
-on many bands keeps meeting the same head.  Candidates are confirmed on the
-full sets.  A star alone would miss a link between two members of which one
-isn't linked to the head; so buckets whose members lie in different
-components are looked at again: by the triangle inequality of the Jaccard
-distance, only members whose distances to the head differ by at most
-``1 - threshold`` can be linked, and those pairs are confirmed too.
+exact copies is one point.  Candidate edges are stars: the members of a
+bucket are paired with its heads, the smallest members in each of ``HEADS``
+global random orders, so a bucket of m classes gives at most ``HEADS * m``
+pairs, a small bucket gives all of its pairs, and a group that agrees on many
+bands keeps meeting the same heads.  Candidates are confirmed on the full
+sets and linked into components.
+
+Larger buckets whose members still lie in different components may hide a
+link between two members of which neither is a head.  Their members - and
+only these - go through an exact set join instead of a comparison of all
+pairs: shingles ordered by their frequency among these members, rarest
+first, with prefix, length and positional filters; pairs that pass and lie in
+different components are confirmed on the full sets.  So no link between two
+members of a bucket is lost.
 
 With 40 bands of 6 bins a pair at the threshold 0.8 shares no bucket with
 probability 5e-6; more similar pairs far less.
@@ -33,9 +38,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierwise.llm.common import spill
+from tierwise.llm.common import Scratch, spill
 
 BANDS, ROWS = 40, 6
+HEADS = 8
 BINS = BANDS * ROWS
 _rng = np.random.default_rng(20240607)
 _BYTE = _rng.integers(1 << 63, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -50,7 +56,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-PIECE = 8_000_000
+PIECE = 2_000_000
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -189,14 +195,17 @@ def confirm(pairs: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
         .join(text.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
         .select("a", "b", "text_a", "text_b")
     )
-    return both.mapInArrow(run, "a long, b long, shared long, total long")
+    sizes = both.mapInArrow(run, "a long, b long, shared long, total long")
+    # an id with several texts gives several rows; the most similar counts
+    best = F.max_by(F.struct("shared", "total"), F.try_divide("shared", "total"))
+    return sizes.groupBy("a", "b").agg(best.alias("s")).select("a", "b", "s.shared", "s.total")
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """``node, root`` of every node of an undirected graph, the root being
     the smallest node of its component: alternating large-star and small-star
     rounds, each written to the shared folder."""
-    cur = spill(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct(), "edges")
+    cur = scratch.spill(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct())
     state = None
     while True:
         both = cur.union(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -207,7 +216,7 @@ def components(edges: DataFrame) -> DataFrame:
             large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .union(low.select("u", F.col("m").alias("v"))).distinct()
         )
-        cur = spill(small, "edges")
+        cur = scratch.spill(small)
         seen = cur.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if tuple(seen) == state:
             return cur.select(F.col("u").alias("node"), F.col("v").alias("root"))
@@ -220,31 +229,35 @@ def _linked(checked: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 80) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row."""
-    sig = spill(signatures(docs, shingle), "signatures")
+    with Scratch(docs.sparkSession, "near-duplicates") as scratch:
+        return spill(_classes_of(docs, shingle, percent, scratch), "near-duplicates")
+
+
+def _classes_of(docs: DataFrame, shingle: int, percent: int, scratch: Scratch) -> DataFrame:
+    sig = scratch.spill(signatures(docs, shingle))
     key = ["n_shingles", "set_a", "set_b"]
     known = sig.where("n_shingles > 0 and doc_id is not null")
-    classes = spill(known.groupBy(*key).agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "classes")
+    classes = scratch.spill(known.groupBy(*key).agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")))
 
-    members = classes.select("rep", F.explode("bands").alias("bucket"))
-    heads = (
-        members.groupBy("bucket")
-        .agg(F.min(F.struct(F.xxhash64("rep").alias("h"), "rep")).alias("least"), F.count("*").alias("n"))
-        .where("n > 1").select("bucket", F.col("least.rep").alias("head"))
-    )
-    # a class may stand for several doc_ids' rows; rep alone names it
-    stars = spill(members.join(heads, "bucket").select("bucket", "head", "rep").where("head != rep"), "stars")
-    pairs = stars.select(F.col("head").alias("a"), F.col("rep").alias("b")).distinct()
-    checked = spill(confirm(pairs, docs, shingle).groupBy("a", "b").agg(F.max_by("shared", F.expr("shared / total")).alias("shared"), F.max_by("total", F.expr("shared / total")).alias("total")), "checked")
-    links = _linked(checked, percent).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    every = classes.select("rep", F.explode("bands").alias("bucket"))
+    shared = every.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    members = scratch.spill(every.join(shared, "bucket"))
     same_id = _shared_ids(known, classes, key)
-    roots = components(links.union(same_id))
-
-    more = _between_components(stars, checked, roots, percent)
-    more = spill(more, "between")
-    if not more.isEmpty():
-        found = spill(_linked(confirm(more, docs, shingle), percent).select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
-        if not found.isEmpty():
-            roots = components(links.union(same_id).union(found))
+    links = same_id
+
+    def add(pairs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Confirms candidate pairs: their similarities, all links so far,
+        and the components these make."""
+        sims = scratch.spill(confirm(pairs, docs, shingle))
+        more = links.union(_linked(sims, percent).select(F.col("a").alias("u"), F.col("b").alias("v")))
+        return sims, more, components(more, scratch)
+
+    stars = _stars(members, range(HEADS))
+    _, links, roots = add(stars)
+    large = members.where(F.col("n") > HEADS + 1)
+    apart = _apart(large, roots, scratch)
+    if not apart.isEmpty():
+        _, links, roots = add(_exact_pairs(apart, docs, shingle, percent, scratch))
 
     owner = classes.select(*key, "rep").join(roots, F.col("rep") == F.col("node"), "left").select(
         *key, F.coalesce("root", "rep").alias("component_id")
@@ -268,27 +281,67 @@ def _shared_ids(known: DataFrame, classes: DataFrame, key: list[str]) -> DataFra
     return reps.select(F.col("doc_id").alias("u"), F.col("rep").alias("v")).distinct()
 
 
-def _between_components(stars: DataFrame, checked: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket that lie in different components and could still
-    be linked, judged by their confirmed distances to the bucket's head."""
-    near = checked.select(F.col("a").alias("head"), F.col("b").alias("rep"), (F.col("shared") / F.col("total")).alias("sim"))
-    root = roots.select(F.col("node").alias("rep"), "root")
-    m = stars.join(near, ["head", "rep"]).join(root, "rep", "left").select("bucket", "rep", "sim", F.coalesce("root", "rep").alias("root"))
-    mixed = m.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("bucket")
-    m = m.join(mixed, "bucket")
-    other = m.select("bucket", F.col("rep").alias("rep2"), F.col("sim").alias("sim2"), F.col("root").alias("root2"))
-    gap = 1 - percent / 100 + 1e-9
-    return (
-        m.join(other, "bucket").where((F.col("root") < F.col("root2")) & (F.abs(F.col("sim") - F.col("sim2")) <= gap))
-        .select(F.col("rep").alias("a"), F.col("rep2").alias("b")).distinct()
+def _head(seed: int):
+    """A bucket's smallest member in one of the random orders."""
+    return F.min(F.struct(F.xxhash64("rep", F.lit(seed)).alias("h"), "rep"))["rep"]
+
+
+def _stars(members: DataFrame, seeds) -> DataFrame:
+    """Each member of a bucket paired with the bucket's heads."""
+    heads = members.groupBy("bucket").agg(F.array_distinct(F.array(*(_head(s) for s in seeds))).alias("heads"))
+    pairs = members.join(heads, "bucket").select("rep", F.explode("heads").alias("head")).where("rep != head")
+    return pairs.select(F.least("rep", "head").alias("a"), F.greatest("rep", "head").alias("b")).distinct()
+
+
+def _apart(members: DataFrame, roots: DataFrame, scratch: Scratch) -> DataFrame:
+    """``rep, root``: the members, with their components, of the buckets
+    that hold more than one."""
+    placed = members.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("bucket")
+    return scratch.spill(placed.join(mixed, "bucket").select("rep", "root").distinct())
+
+
+def _exact_pairs(apart: DataFrame, docs: DataFrame, shingle: int, percent: int, scratch: Scratch) -> DataFrame:
+    """Pairs of these documents that lie in different components and pass
+    the filters of the exact set join."""
+
+    def run(batches):
+        for whole in batches:
+            for b in _pieces(whole, "text"):
+                sets = [s.view(np.int64) for s in shingle_sets(b.column("text").to_pylist(), shingle)]
+                sizes = pa.array([len(s) for s in sets], pa.int64())
+                yield pa.RecordBatch.from_arrays([b.column("rep"), b.column("root"), sizes, pa.array(sets, pa.list_(pa.int64()))], ["rep", "root", "n", "tokens"])
+
+    text = _texts(docs).select(F.col("doc_id").alias("rep"), "text").join(apart, "rep").select("rep", "root", "text")
+    sets = text.mapInArrow(run, "rep long, root long, n long, tokens array<long>").where("n > 0")
+    tokens = scratch.spill(sets.select("rep", "root", "n", F.explode("tokens").alias("token")))
+    often = tokens.groupBy("token").agg(F.count("*").alias("f")).where("f > 1")
+    # a token of one document alone can't match, it only takes a place at the front
+    own = tokens.join(often, "token").groupBy("rep", "root", "n").agg(F.sort_array(F.collect_list(F.struct("f", "token"))).alias("shared"))
+    alone = F.col("n") - F.size("shared")
+    probe = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    index = F.col("n") - F.ceil(F.col("n") * 2 * percent / (100 + percent)) + 1
+    front = F.expr("slice(shared, 1, cast(greatest(0, probe - alone) as int))")
+    prefix = own.select("rep", "root", "n", "shared", alone.alias("alone"), probe.alias("probe"), index.alias("index"))
+    prefix = scratch.spill(prefix.select("rep", "root", "n", "index", "alone", F.posexplode(front).alias("at", "s")).select(
+        "rep", "root", "n", "index", (F.col("alone") + F.col("at")).alias("place"), F.col("s.token").alias("token")
+    ))
+    short = prefix.where("place < index").select("token", *(F.col(c).alias(f"{c}_a") for c in ("rep", "root", "n", "place")))
+    long = prefix.select("token", *(F.col(c).alias(f"{c}_b") for c in ("rep", "root", "n", "place")))
+    needed = f"ceil({percent} * (n_a + n_b) / {100 + percent})"
+    passes = (
+        f"root_a != root_b and (n_a < n_b or n_a = n_b and rep_a < rep_b) and 100 * n_a >= {percent} * n_b "
+        f"and 1 + least(n_a - place_a - 1, n_b - place_b - 1) >= {needed}"
     )
+    pairs = short.join(long, "token").where(passes)
+    return pairs.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).distinct()
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: one document
     of each group, the one with the smallest ``doc_id``."""
     judged = near_duplicates(docs, shingle, percent)
-    gone = judged.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    left = docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    gone = judged.where("not kept").select("doc_id").distinct()
+    left = docs.alias("d").join(gone.alias("g"), F.col("d.doc_id").cast("long") == F.col("g.doc_id"), "left_anti")
     repeated = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
     return left if repeated.isEmpty() else left.dropDuplicates(["doc_id", "text"])
