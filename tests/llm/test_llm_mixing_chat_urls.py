@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tierwise.llm import chat_trees as C
 from tierwise.llm import mixing as X
 from tierwise.llm import url_templates as U
-from tierwise.llm.common import table
+from tierwise.llm.common import Scratch, table
 
 SF = "/root/testdata/sf0.01"
 
@@ -75,8 +75,9 @@ def test_mixing_defined_cases(spark):
     assert X.mix(docs, weights={}).count() == 0 and X.mix(empty(spark)).count() == 0
     nothing = frame(spark, [(1, None, "en", "s", 0), (2, "", "en", "s", 0)])
     assert X.mix(nothing).count() == 0
-    by_rows = X.replicate(frame(spark, rows()), measure="rows").select("rate").distinct().count()
-    assert by_rows == 4
+    own = Counter(r[3] for r in rows())
+    got = {r.source: r.rate for r in X.replicate(docs, measure="rows").select("doc.source", "rate").distinct().collect()}
+    assert all(rate == pytest.approx(len(rows()) / 4 / own[source]) for source, rate in got.items()) and got
     same = [r.n for r in X.mix(docs).groupBy("doc_id").agg(F.count("*").alias("n")).where("doc_id = 104").collect()]
     assert not same or same[0] % 2 == 0  # a repeated row draws the same copies
 
@@ -93,7 +94,9 @@ def test_every_root_to_leaf_path_is_enumerated(spark):
     data = [(1, i, parent.get(i), "user", f"t{i}", float(i % 7)) for i in range(60)]
     tree = nodes(spark, data).withColumn("tree", F.lit("=1"))
     got = defaultdict(dict)
-    for r in C.paths(tree).collect():
+    with Scratch(spark, "paths") as scratch:
+        found = C.paths(tree, scratch).collect()
+    for r in found:
         assert r.dist not in got[r.leaf]
         got[r.leaf][r.dist] = r.node
     leaves = set(range(60)) - set(parent.values())
@@ -115,9 +118,9 @@ def test_best_branch_is_formatted(spark):
     got = {r.tree_id: r for r in formatted.collect()}
     assert set(got) == {1, 2, None}
     assert got[1].formatted == (
-        "<|im_start|>user\nq<|im_end|>\n<|im_start|>assistant\nstrong <\\|im_end|> \\\\ <\\\\\\|<|im_end|>\n<|im_start|>user\nagain<|im_end|>\n")
+        "<|im_start|>user\nq<|im_end|>\n<|im_start|>assistant\nstrong <\\|im_end|> \\\\ <\\\\|<|im_end|>\n<|im_start|>user\nagain<|im_end|>\n")
     (start, stop), = got[1].loss_spans
-    assert got[1].formatted[start:stop] == "strong <\\|im_end|> \\\\ <\\\\\\|"
+    assert got[1].formatted[start:stop] == "strong <\\|im_end|> \\\\ <\\\\|"
     back = {r.tree_id: r for r in C.read_back(formatted).collect()}
     assert [tuple(t) for t in back[1].turns] == [("user", "q"), ("assistant", "strong <|im_end|> \\ <\\|"), ("user", "again")]
     assert back[1].learned == "strong <|im_end|> \\ <\\|"

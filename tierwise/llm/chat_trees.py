@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tierwise.llm.common import spill
+from tierwise.llm.common import Scratch, spill
 
 # fixed values: the template's control strings
 OPEN = "<|im_start|>"
@@ -78,23 +78,24 @@ def control_conversation(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(-1, 0, "user", text), (-1, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
 
 
-def paths(nodes: DataFrame) -> DataFrame:
+def paths(nodes: DataFrame, scratch: Scratch) -> DataFrame:
     """``tree, leaf, node, dist`` for every message of every root-to-leaf
     path, ``dist`` being its distance from the leaf."""
     ids = nodes.select("tree", "node_id", "parent_id").distinct()
     parents = ids.join(ids.select("tree", F.col("node_id").alias("parent_id")), ["tree", "parent_id"]).select("tree", F.col("node_id").alias("node"), F.col("parent_id").alias("up"))
-    jumps = [spill(parents, "jumps")]
+    jumps = [scratch.spill(parents)]
     total = ids.count()
     while not jumps[-1].isEmpty() and 1 << (len(jumps) - 1) <= total:
         j = jumps[-1]
-        jumps.append(spill(j.join(j.select("tree", F.col("node").alias("up"), F.col("up").alias("upper")), ["tree", "up"]).select("tree", "node", F.col("upper").alias("up")), "jumps"))
+        further = j.join(j.select("tree", F.col("node").alias("up"), F.col("up").alias("upper")), ["tree", "up"])
+        jumps.append(scratch.spill(further.select("tree", "node", F.col("upper").alias("up"))))
     leaves = ids.join(parents.select("tree", F.col("up").alias("node_id")).distinct(), ["tree", "node_id"], "left_anti").select("tree", F.col("node_id").alias("leaf"))
     if not jumps[-1].isEmpty():  # more steps up than messages: a cycle
         leaves = leaves.join(jumps[-1].select("tree", F.col("node").alias("leaf")), ["tree", "leaf"], "left_anti")
     walk = leaves.select("tree", "leaf", F.col("leaf").alias("node"), F.lit(0).cast("long").alias("dist"))
     for k in range(len(jumps) - 2, -1, -1):
         further = walk.join(jumps[k], ["tree", "node"]).select("tree", "leaf", F.col("up").alias("node"), (F.col("dist") + (1 << k)).alias("dist"))
-        walk = spill(walk.union(further), "walk")
+        walk = scratch.spill(walk.union(further))
     return walk
 
 
@@ -105,18 +106,20 @@ def branches(nodes: DataFrame, per_tree: int = 1) -> DataFrame:
         F.coalesce(F.concat(F.lit("="), F.col("tree_id").cast("string")), F.lit("?")).alias("tree"), "tree_id", "node_id", "parent_id",
         F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce("score", F.lit(0.0)).alias("score"),
     )
-    nodes = spill(nodes, "nodes")
-    walk = paths(nodes)
-    scored = walk.join(nodes.select("tree", F.col("node_id").alias("node"), "score"), ["tree", "node"]).groupBy("tree", "leaf").agg(
-        F.sum("score").alias("total"), F.count("*").alias("length")
-    )
-    best = Window.partitionBy("tree").orderBy(F.col("total").desc(), "leaf")
-    chosen = scored.withColumn("place", F.row_number().over(best)).where(F.col("place") <= per_tree).select("tree", "leaf", "length")
-    return (
-        walk.join(chosen, ["tree", "leaf"])
-        .join(nodes.select("tree", "tree_id", F.col("node_id").alias("node"), "role", "text"), ["tree", "node"])
-        .select("tree", "tree_id", "leaf", (F.col("length") - F.col("dist") - 1).alias("depth"), "role", "text")
-    )
+    with Scratch(nodes.sparkSession, "reply-trees") as scratch:
+        nodes = scratch.spill(nodes)
+        walk = paths(nodes, scratch)
+        scored = walk.join(nodes.select("tree", F.col("node_id").alias("node"), "score"), ["tree", "node"]).groupBy("tree", "leaf").agg(
+            F.sum("score").alias("total"), F.count("*").alias("length")
+        )
+        best = Window.partitionBy("tree").orderBy(F.col("total").desc(), "leaf")
+        chosen = scored.withColumn("place", F.row_number().over(best)).where(F.col("place") <= per_tree).select("tree", "leaf", "length")
+        out = (
+            walk.join(chosen, ["tree", "leaf"])
+            .join(nodes.select("tree", "tree_id", F.col("node_id").alias("node"), "role", "text"), ["tree", "node"])
+            .select("tree", "tree_id", "leaf", (F.col("length") - F.col("dist") - 1).alias("depth"), "role", "text")
+        )
+        return spill(out, "branches")
 
 
 def format_branches(chosen: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierwise.llm.common import LOWER, UPPER, ascii_lower, spill
+from tierwise.llm.common import LOWER, UPPER, Scratch, ascii_lower, spill
 
 # fixed values: (verdict, host, path)
 RULES = (
@@ -82,7 +82,7 @@ def _level(tree: DataFrame, level: int) -> DataFrame:
         F.sum(F.when((F.col(seg) != "") & ~F.col(seg).startswith("*"), 1).otherwise(0)).alias("kids"),
     )
     r = (F.col("pb") + 1) / (F.col("pm") + 2)
-    alike = F.abs(F.col("b") / F.col("m") - F.col("pb") / F.col("pm")) <= F.lit(ALIKE) * F.sqrt(r * (1 - r) / F.col("m"))
+    alike = F.abs(F.try_divide("b", "m") - F.try_divide("pb", "pm")) <= F.lit(ALIKE) * F.sqrt(F.try_divide(r * (1 - r), F.col("m")))
     name = (
         F.when((F.col(seg) == "") | F.col(seg).startswith("*"), F.col(seg))
         .when((F.col("kids") > FANOUT) & (F.col("n") * FANOUT < F.col("pn")), F.lit("*"))
@@ -106,13 +106,14 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     tree = read.groupBy("host", *shape).agg(
         F.count("*").alias("n"), F.count("ruled").alias("m"), F.sum(F.when(F.col("ruled") == "block", 1).otherwise(0)).alias("b")
     )
-    tree = spill(tree, "paths")
-    for level in range(LEVELS):
-        tree = _level(tree, level)
     names = [f"t{i}" for i in range(LEVELS)]
-    purity = tree.groupBy("host", *names).agg(((F.sum("b") + 1) / (F.sum("m") + 2)).alias("purity"))
-    template = F.concat("host", *(F.when(F.col(t) != "", F.concat(F.lit("/"), F.col(t))).otherwise(F.lit("")) for t in names))
-    judged = spill(tree.join(purity, ["host", *names]).select("host", *shape, template.alias("template"), "purity"), "templates")
+    with Scratch(pages.sparkSession, "paths") as scratch:
+        tree = scratch.spill(tree)
+        for level in range(LEVELS):
+            tree = _level(tree, level)
+        purity = tree.groupBy("host", *names).agg(((F.sum("b") + 1) / (F.sum("m") + 2)).alias("purity"))
+        template = F.concat("host", *(F.when(F.col(t) != "", F.concat(F.lit("/"), F.col(t))).otherwise(F.lit("")) for t in names))
+        judged = spill(tree.join(purity, ["host", *names]).select("host", *shape, template.alias("template"), "purity"), "templates")
 
     # pages that a rule decides need no template; the others are joined
     free = read.where("ruled is null").join(judged, ["host", *shape])
