@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierwise.llm.common import release, shared_path, spill
+from tierwise.llm.common import Scratch, shared_path
 
 END_ID = 2
 BLOCK_TOKENS = 1 << 18
@@ -46,18 +46,24 @@ _HEAD = struct.Struct("<4sHHQIIIQ")  # magic, version, precision, tokens, lanes,
 
 TOKEN_SCHEMA = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
-_SPLIT = re.compile("(?= [^\\s᠎​﻿])")
-_AMBIGUOUS = re.compile("^ | (?=[\\s᠎​﻿]|$)")
+#: white space other than the space and the line feed
+_RARE = [chr(i) for i in range(0x3001) if chr(i).isspace() and chr(i) not in " \n"] + ["\u180e", "\u200b", "\ufeff"]
+#: a space that a visible character follows always starts a new piece
+_SPLIT = re.compile("(?= [^\\s\u180e\u200b\ufeff])")
+#: a word that closes with one mark, which is a piece of its own
+_MARKED = re.compile("\\n?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+[.,]")
 _ENCODERS: dict[str, TextEncoder] = {}
 
 
 class TextEncoder:
     """Encodes texts with the ``tokenizers`` library.
 
-    Byte-level tokenizers start a new piece at every space that a visible
-    character follows, so such pieces encode independently; each distinct
-    piece is encoded once and kept (at most ``keep`` pieces).  Other
-    tokenizers encode whole texts.
+    Byte-level tokenizers cut a text into pieces (words with the space before
+    them, runs of marks, white space) that encode independently, so each
+    distinct word is encoded once and kept (at most ``keep`` of them), with
+    the space or the line feed before it.  Texts with other white space are
+    cut only before spaces that a visible character follows.  Other tokenizers
+    encode whole texts.
     """
 
     def __init__(self, path: str, keep: int = 1_000_000):
@@ -70,56 +76,78 @@ class TextEncoder:
         self.keep = keep
         pre = repr(self.tok.pre_tokenizer)
         self.by_piece = pre.startswith("ByteLevel(") and "add_prefix_space=False" in pre and "use_regex=True" in pre and self.tok.normalizer is None
-        self.first: dict[str, bytes] = {}  # pieces at the start of a text
-        self.after: dict[str, bytes] = {}  # pieces after a space, without it
-        self.opens = np.zeros(size, bool)  # tokens that begin with a space
+        self.first: dict[str, bytes] = {}  # at the start of a text
+        #: after a space (without it), or a line feed (with it)
+        self.after: dict[str, bytes] = {}
         if self.by_piece:
+            #: tokens that begin with a space or are a line feed
+            self.opens = np.zeros(size, bool)
             for token, i in self.tok.get_vocab(with_added_tokens=False).items():
-                self.opens[i] = token.startswith("Ġ")
+                self.opens[i] = token.startswith("\u0120")
+            self.opens[self._ids(["\n"])[0]] = True
+            self.closing = {m: self._ids([m])[0].tobytes() for m in ".,"}
 
     def _ids(self, texts) -> list[np.ndarray]:
         return [np.array(e.ids, dtype=self.dtype) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Encodes pieces that follow a space, many to a text."""
+    def _learn(self, words: set) -> None:
+        """Encodes new words, many to a text; a word that closes with one
+        mark is its core and the mark."""
+        known = self.after
+        marked = [w for w in words if _MARKED.fullmatch(w)]
+        words = words.difference(marked)
+        words.update(w[:-1] for w in marked if w[:-1] not in known)
         plain, odd = [], []
-        for p in pieces:
-            (odd if len(p.split()) != 1 or not p.isprintable() else plain).append(p)
+        for w in words:
+            piece = w if w[:1] == "\n" else " " + w
+            (plain if len(piece) > 1 and piece[1:].isprintable() and " " not in w else odd).append(piece)
         groups = [plain[i : i + 200] for i in range(0, len(plain), 200)]
-        for group, ids in zip(groups, self._ids(["".join(" " + p for p in g) for g in groups]), strict=True):
+        for group, ids in zip(groups, self._ids(["".join(g) for g in groups]), strict=True):
             cuts = np.flatnonzero(self.opens[ids])
             if len(cuts) != len(group):
                 odd += group
                 continue
-            raw, ends = ids.tobytes(), [*(cuts[1:] * ids.itemsize).tolist(), ids.nbytes]
-            for p, lo, hi in zip(group, (cuts * ids.itemsize).tolist(), ends, strict=True):
-                self.after[p] = raw[lo:hi]
-        for p, ids in zip(odd, self._ids([" " + p for p in odd]), strict=True):
-            self.after[p] = ids.tobytes()
+            raw, at = ids.tobytes(), [*(cuts * ids.itemsize).tolist(), ids.nbytes]
+            known.update(zip((p.removeprefix(" ") for p in group), (raw[lo:hi] for lo, hi in zip(at, at[1:], strict=False)), strict=True))
+        for p, ids in zip(odd, self._ids(odd), strict=True):
+            known[p.removeprefix(" ")] = ids.tobytes()
+        for w in marked:
+            known[w] = known[w[:-1]] + self.closing[w[-1]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The token ids of each text, as little-endian integers."""
         if not self.by_piece:
             return [x.tobytes() for x in self._ids(texts)]
-        pieces = []
+        for known in (self.first, self.after):
+            if len(known) > self.keep:
+                known.clear()
+        heads, flat, ends = [], [], [0]
         for t in texts:
-            if _AMBIGUOUS.search(t):
-                first, *rest = _SPLIT.split(t)
-                pieces.append([first, *(r[1:] for r in rest)])
+            if _odd(t):
+                head, *rest = _SPLIT.split(t)
+                flat += [r[1:] for r in rest]
             else:
-                pieces.append(t.split(" "))
-        if len(self.after) > self.keep:
-            self.after.clear()
-        if len(self.first) > self.keep:
-            self.first.clear()
-        wanted: set[str] = set()
-        for p in pieces:
-            wanted.update(p[1:])
-        self._learn(list(wanted.difference(self.after)))
-        new = list({p[0] for p in pieces}.difference(self.first))
-        self.first.update(zip(new, (x.tobytes() for x in self._ids(new)), strict=True))
-        get = self.after.__getitem__
-        return [self.first[p[0]] + b"".join(map(get, p[1:])) for p in pieces]
+                head, *rest = t.replace("\n", " \n").split(" ")
+                flat += rest
+            heads.append(head)
+            ends.append(len(flat))
+        coded = list(map(self.after.get, flat))
+        if None in coded:
+            new = [i for i, c in enumerate(coded) if c is None]
+            self._learn({flat[i] for i in new})
+            for i in new:
+                coded[i] = self.after[flat[i]]
+        fresh = list(set(heads).difference(self.first))
+        self.first.update(zip(fresh, (x.tobytes() for x in self._ids(fresh)), strict=True))
+        return [self.first[h] + b"".join(coded[lo:hi]) for h, lo, hi in zip(heads, ends, ends[1:], strict=False)]
+
+
+def _odd(t: str) -> bool:
+    """Whether white space is anything but one space or line feed between
+    visible characters."""
+    return (
+        "  " in t or "\n\n" in t or " \n" in t or "\n " in t or t[:1] in ("", " ", "\n") or t[-1] in " \n" or any(c in t for c in _RARE)
+    )
 
 
 def encoder(path: str) -> TextEncoder:
@@ -318,7 +346,22 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
     )
-    raw = spill(dealt.mapInArrow(_raw_blocks(tokenizer, end_id, block_tokens), _RAW), "token-ids")
+    with Scratch(spark, "token-ids") as scratch:
+        raw = scratch.spill(dealt.mapInArrow(_raw_blocks(tokenizer, end_id, block_tokens), _RAW))
+        table = _write_blocks(raw, path, wide)
+    # one row a part: as many as the job had partitions
+    sizes = spark.read.parquet(f"{path}/blocks").groupBy("part").agg(F.sum("n_tokens").alias("n")).collect()
+    before, base = 0, []
+    for r in sorted(sizes, key=lambda r: r["part"]):
+        base.append((r["part"], before))
+        before += r["n"]
+    spark.createDataFrame(base, "part int, base long").coalesce(1).write.parquet(f"{path}/parts")
+    spark.createDataFrame([(bytearray(table),)], "table binary").write.parquet(f"{path}/model")
+    return path
+
+
+def _write_blocks(raw: DataFrame, path: str, wide: np.dtype) -> bytes:
+    """Counts the tokens, codes the blocks by the shared table, returns it."""
 
     def count(batches):
         total = np.zeros(0, np.int64)
@@ -351,16 +394,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
                 )
 
     raw.mapInArrow(code, "part int, seq long, start long, n_tokens long, frame binary").write.option("compression", "none").parquet(f"{path}/blocks")
-    # one row a part: as many as the job had partitions
-    sizes = spark.read.parquet(f"{path}/blocks").groupBy("part").agg(F.sum("n_tokens").alias("n")).collect()
-    before, base = 0, []
-    for r in sorted(sizes, key=lambda r: r["part"]):
-        base.append((r["part"], before))
-        before += r["n"]
-    spark.createDataFrame(base, "part int, base long").coalesce(1).write.parquet(f"{path}/parts")
-    spark.createDataFrame([(bytearray(table),)], "table binary").write.parquet(f"{path}/model")
-    release(raw)
-    return path
+    return table
 
 
 def _load(spark: SparkSession, path: str):
