@@ -112,12 +112,12 @@ def test_dedup_defined_cases(spark):
     got = defaultdict(list)
     for r in M.near_duplicates(docs).collect():
         got[r.doc_id].append((r.n_shingles, r.component_id, r.kept))
-    assert got[100] == got[101] == [(0, 100, True)] == [(0, 100, True)] or got[100] == [(0, 100, True)]
+    assert got[100] == [(0, 100, True)]
     assert got[101] == [(0, 101, True)] and got[102] == [(0, 102, True)]
     assert [x[1:] for x in got[104]] == [(0, False)] * 2 and got[105][0][1:] == (1, False)
     assert all(c is None and k for _, c, k in got[None]) and len(got[None]) == 2
     left = M.drop_near_duplicates(docs)
-    assert left.columns == docs.columns and {r.rep for r in left.collect()} == {EXTRA[2]}
+    assert left.columns == docs.columns and {r.rep for r in left.collect()} == {EXTRA[3]}
     ids = sorted(str(r.doc_id) for r in left.collect())
     assert ids == sorted(str(d) for d, *_ in rows() if d not in (104, 105))
     twice = frame(spark, [(1, "a b c d e f g", "en", "s", 0)] * 3)
