@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierwise.llm.common import Scratch, shared_path
+from tierwise.llm.common import Scratch, map_batches, shared_path, tidy
 
 END_ID = 2
 BLOCK_TOKENS = 1 << 18
@@ -66,7 +66,7 @@ class TextEncoder:
     encode whole texts.
     """
 
-    def __init__(self, path: str, keep: int = 1_000_000):
+    def __init__(self, path: str, keep: int = 750_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -332,6 +332,7 @@ def _raw_blocks(path: str, end_id: int, block_tokens: int):
                         docs, counts, ids = [], [], []
         if docs:
             yield block()
+        tidy()
 
     return run
 
@@ -347,7 +348,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
         .sortWithinPartitions(*order)
     )
     with Scratch(spark, "token-ids") as scratch:
-        raw = scratch.spill(dealt.mapInArrow(_raw_blocks(tokenizer, end_id, block_tokens), _RAW))
+        raw = scratch.spill(map_batches(dealt, _raw_blocks(tokenizer, end_id, block_tokens), _RAW))
         table = _write_blocks(raw, path, wide)
     # one row a part: as many as the job had partitions
     sizes = spark.read.parquet(f"{path}/blocks").groupBy("part").agg(F.sum("n_tokens").alias("n")).collect()
@@ -377,7 +378,7 @@ def _write_blocks(raw: DataFrame, path: str, wide: np.dtype) -> bytes:
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], ["id", "n"])
 
     # at most one row for each id of the vocabulary
-    seen = raw.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    seen = map_batches(raw.select("ids"), count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     table = FrequencyTable.scaled(np.array([r["id"] for r in seen], np.int64), np.array([r["n"] for r in seen], np.int64)).pack()
 
     def code(batches):
@@ -393,7 +394,8 @@ def _write_blocks(raw: DataFrame, path: str, wide: np.dtype) -> bytes:
                     ["part", "seq", "start", "n_tokens", "frame"],
                 )
 
-    raw.mapInArrow(code, "part int, seq long, start long, n_tokens long, frame binary").write.option("compression", "none").parquet(f"{path}/blocks")
+    frames = map_batches(raw, code, "part int, seq long, start long, n_tokens long, frame binary")
+    frames.write.option("compression", "none").parquet(f"{path}/blocks")
     return table
 
 
@@ -432,7 +434,7 @@ def _decoded(spark: SparkSession, path: str, with_ids: bool) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(cols, ["doc_id", "start", "ids"] if with_ids else ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     blocks = spark.read.parquet(f"{path}/blocks").select("part", "start", "frame")
-    return blocks.mapInArrow(run, "doc_id long, start long, ids array<long>" if with_ids else TOKEN_SCHEMA)
+    return map_batches(blocks, run, "doc_id long, start long, ids array<long>" if with_ids else TOKEN_SCHEMA)
 
 
 def tokens_of(docs: DataFrame, tokenizer: str) -> DataFrame:

@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import os
+import shutil
+import tempfile
 import uuid
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,3 +75,43 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
     return str(public_tokenizers.path(name))
+
+
+_SHIPPED: set[str] = set()
+
+
+def map_batches(df: DataFrame, run, schema) -> DataFrame:
+    """``mapInArrow``, after the package has been given to the executors'
+    Python once per application (``addPyFile``), so that workers need no
+    installed copy and no particular working directory."""
+    sc = df.sparkSession.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), "tierwise"), "zip", root, "tierwise")
+        sc.addPyFile(archive)
+        _SHIPPED.add(sc.applicationId)
+    return df.mapInArrow(run, schema)
+
+
+def pieces(batch: pa.RecordBatch, limit: int, *columns: str):
+    """Cuts a batch so that the texts of a piece stay within ``limit`` bytes
+    (one row at least); no text is unpacked for it."""
+    sizes = np.zeros(batch.num_rows, np.int64)
+    for c in columns:
+        sizes += pc.fill_null(pc.binary_length(batch.column(c)), 0).to_numpy(zero_copy_only=False)
+    ends, at = np.cumsum(sizes), 0
+    while at < len(sizes):
+        stop = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + limit, side="right"))
+        stop = max(at + 1, stop)
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
+def tidy() -> None:
+    """Gives a worker's free memory back; workers are used again by later
+    stages, whose peaks would otherwise add up."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not on this platform
+        pass

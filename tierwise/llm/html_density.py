@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tierwise.llm.common import map_batches
+
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
@@ -215,4 +217,4 @@ def extract(pages: DataFrame, sigma: float = 1.0) -> DataFrame:
             )
 
     page = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    return page.mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return map_batches(page, run, "page_id long, url string, text string, n_chars long")

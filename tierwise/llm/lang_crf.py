@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tierwise.llm.common import map_batches, pieces, tidy
 from tierwise.llm.crf import Adam, Packing, forward_backward
 
 SLOT_BITS = 16
@@ -122,29 +123,21 @@ def identify(texts: list, model: LanguageField) -> list[tuple]:
     return out
 
 
-def _pieces(batch: pa.RecordBatch):
-    sizes = np.array([len(x) if x else 0 for x in batch.column("text").to_pylist()], dtype=np.int64)
-    at = 0
-    while at < len(sizes):
-        stop = at + max(1, int(np.searchsorted(np.cumsum(sizes[at:]), PIECE_CHARS, side="right")))
-        yield batch.slice(at, stop - at)
-        at = stop
-
-
 def predict(docs: DataFrame, model: LanguageField) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` of every document."""
 
     def run(batches):
         for whole in batches:
-            for b in _pieces(whole):
+            for b in pieces(whole, PIECE_CHARS, "text"):
                 rows = identify(b.column("text").to_pylist(), model)
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id"), b.column("held_out"), pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.float64())],
                     ["doc_id", "held_out", "lang_pred", "score"],
                 )
+        tidy()
 
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
-    return read.mapInArrow(run, LANG_SCHEMA)
+    return map_batches(read, run, LANG_SCHEMA)
 
 
 def train(docs: DataFrame, per_language: int = 150, epochs: int = 12, seed: int = 5) -> LanguageField:

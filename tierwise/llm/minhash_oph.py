@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierwise.llm.common import Scratch, spill
+from tierwise.llm.common import Scratch, map_batches, pieces, spill, tidy
 
 BANDS, ROWS = 40, 6
 HEADS = 8
@@ -140,24 +140,12 @@ def _set_key(hashes: np.ndarray) -> tuple[int, int]:
     return int(a.view(np.int64)), int(b.view(np.int64))
 
 
-def _pieces(batch: pa.RecordBatch, *columns: str):
-    """Slices of a batch whose texts stay within a few megabytes."""
-    sizes = np.zeros(batch.num_rows, np.int64)
-    for c in columns:
-        sizes += np.array([len(x) if x else 0 for x in batch.column(c).to_pylist()], dtype=np.int64)
-    at = 0
-    while at < len(sizes):
-        stop = at + max(1, int(np.searchsorted(np.cumsum(sizes[at:]), PIECE, side="right")))
-        yield batch.slice(at, stop - at)
-        at = stop
-
-
 def signatures(docs: DataFrame, shingle: int = 4) -> DataFrame:
     """``doc_id, n_shingles, set_a, set_b, bands`` per row."""
 
     def run(batches):
         for whole in batches:
-            for b in _pieces(whole, "text"):
+            for b in pieces(whole, PIECE, "text"):
                 sets = shingle_sets(b.column("text").to_pylist(), shingle)
                 keys = [_set_key(s) for s in sets]
                 bands = [band_keys(s) if len(s) else None for s in sets]
@@ -166,8 +154,9 @@ def signatures(docs: DataFrame, shingle: int = 4) -> DataFrame:
                      pa.array([k[1] for k in keys], pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
                     ["doc_id", "n_shingles", "set_a", "set_b", "bands"],
                 )
+        tidy()
 
-    return _texts(docs).mapInArrow(run, "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>")
+    return map_batches(_texts(docs), run, "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>")
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -180,7 +169,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
 
     def run(batches):
         for whole in batches:
-            for b in _pieces(whole, "text_a", "text_b"):
+            for b in pieces(whole, PIECE, "text_a", "text_b"):
                 left = shingle_sets(b.column("text_a").to_pylist(), shingle)
                 right = shingle_sets(b.column("text_b").to_pylist(), shingle)
                 shared = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(left, right, strict=True)]
@@ -188,6 +177,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [b.column("a"), b.column("b"), pa.array(shared, pa.int64()), pa.array(total, pa.int64())], ["a", "b", "shared", "total"]
                 )
+        tidy()
 
     text = _texts(docs)
     both = (
@@ -195,7 +185,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
         .join(text.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
         .select("a", "b", "text_a", "text_b")
     )
-    sizes = both.mapInArrow(run, "a long, b long, shared long, total long")
+    sizes = map_batches(both, run, "a long, b long, shared long, total long")
     # an id with several texts gives several rows; the most similar counts
     best = F.max_by(F.struct("shared", "total"), F.try_divide("shared", "total"))
     return sizes.groupBy("a", "b").agg(best.alias("s")).select("a", "b", "s.shared", "s.total")
@@ -307,13 +297,13 @@ def _exact_pairs(apart: DataFrame, docs: DataFrame, shingle: int, percent: int,
 
     def run(batches):
         for whole in batches:
-            for b in _pieces(whole, "text"):
+            for b in pieces(whole, PIECE, "text"):
                 sets = [s.view(np.int64) for s in shingle_sets(b.column("text").to_pylist(), shingle)]
                 sizes = pa.array([len(s) for s in sets], pa.int64())
                 yield pa.RecordBatch.from_arrays([b.column("rep"), b.column("root"), sizes, pa.array(sets, pa.list_(pa.int64()))], ["rep", "root", "n", "tokens"])
 
     text = _texts(docs).select(F.col("doc_id").alias("rep"), "text").join(apart, "rep").select("rep", "root", "text")
-    sets = text.mapInArrow(run, "rep long, root long, n long, tokens array<long>").where("n > 0")
+    sets = map_batches(text, run, "rep long, root long, n long, tokens array<long>").where("n > 0")
     tokens = scratch.spill(sets.select("rep", "root", "n", F.explode("tokens").alias("token")))
     often = tokens.groupBy("token").agg(F.count("*").alias("f")).where("f > 1")
     # a token of one document alone can't match, it only takes a place at the front

@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tierwise.llm.common import map_batches, pieces, tidy
+
 Q = 8
 WINDOW = 96
 STRIDE = 48
@@ -249,15 +251,6 @@ def search(texts: list, index: Index | None) -> list[list[tuple]]:
     return out
 
 
-def _pieces(batch: pa.RecordBatch):
-    sizes = np.array([len(x) if x else 0 for x in batch.column("text").to_pylist()], dtype=np.int64)
-    at = 0
-    while at < len(sizes):
-        stop = at + max(1, int(np.searchsorted(np.cumsum(sizes[at:]), PIECE_CHARS, side="right")))
-        yield batch.slice(at, stop - at)
-        at = stop
-
-
 def _parts(benchmark: DataFrame, max_index_chars: int) -> list[list[tuple]]:
     """The benchmark's rows in parts of at most ``max_index_chars``
     characters each (one item at least), fetched one part at a time."""
@@ -280,15 +273,16 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, max_index_chars: int = MAX
         def run(batches, rows=rows):
             index = build_index(rows)
             for whole in batches:
-                for b in _pieces(whole):
+                for b in pieces(whole, PIECE_CHARS, "text"):
                     old = b.column("hits").to_pylist()
                     new = [
                         o + [{"item": None if i is None else str(i), "dist": d, "n": n} for i, d, n in f]
                         for o, f in zip(old, search(b.column("text").to_pylist(), index), strict=True)
                     ]
                     yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text"), pa.array(new, kind)], ["doc_id", "text", "hits"])
+            tidy()
 
-        cur = cur.mapInArrow(run, cur.schema)
+        cur = map_batches(cur, run, cur.schema)
     ids = F.array_sort(F.array_distinct(F.transform("hits", lambda h: F.coalesce(h["item"], F.lit("null")))), lambda a, b: F.when(
         F.length(a) != F.length(b), F.length(a) - F.length(b)).when(a < b, F.lit(-1)).when(a > b, F.lit(1)).otherwise(F.lit(0)))
     return cur.select(
@@ -308,9 +302,10 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, max_index_chars: int = MAX
         def run(batches, rows=rows):
             index = build_index(rows)
             for whole in batches:
-                for b in _pieces(whole):
+                for b in pieces(whole, PIECE_CHARS, "text"):
                     hits = search(b.column("text").to_pylist(), index)
                     yield b.filter(pa.array([not h for h in hits], pa.bool_()))
+            tidy()
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = map_batches(docs, run, docs.schema)
     return docs

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tierwise.llm.common import map_batches, pieces, tidy
 from tierwise.llm.crf import Adam, Packing, forward_backward, viterbi
 
 SPACES = " \t\n\r\v\f"
@@ -146,15 +147,7 @@ def judge(texts, model: LineField) -> list[tuple]:
     return done
 
 
-def _slices(batch: pa.RecordBatch, column: str, limit: int = 4_000_000):
-    """Cuts a batch so that the texts of a piece stay within ``limit`` bytes
-    (one text at least)."""
-    sizes = np.array([len(x) if x else 0 for x in batch.column(column).to_pylist()], dtype=np.int64)
-    at = 0
-    while at < len(sizes):
-        stop = at + max(1, int(np.searchsorted(np.cumsum(sizes[at:]), limit, side="right")))
-        yield batch.slice(at, stop - at)
-        at = stop
+PIECE = 4_000_000
 
 
 def score(docs: DataFrame, model: LineField) -> DataFrame:
@@ -162,7 +155,7 @@ def score(docs: DataFrame, model: LineField) -> DataFrame:
 
     def run(batches):
         for whole in batches:
-            for b in _slices(whole, "text"):
+            for b in pieces(whole, PIECE, "text"):
                 rows = judge(b.column("text").to_pylist(), model)
                 cols = [list(c) for c in zip(*rows, strict=True)] if rows else [[]] * 8
                 kinds = [pa.int64()] * 5 + [pa.bool_(), pa.bool_(), pa.float64()]
@@ -170,19 +163,23 @@ def score(docs: DataFrame, model: LineField) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id"), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], ["doc_id", *names]
                 )
+        tidy()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SCORE_SCHEMA)
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return map_batches(read, run, SCORE_SCHEMA)
 
 
 def keep(docs: DataFrame, model: LineField) -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns."""
+
     def run(batches):
         for whole in batches:
-            for b in _slices(whole, "text"):
+            for b in pieces(whole, PIECE, "text"):
                 rows = judge(b.column("text").to_pylist(), model)
                 yield b.filter(pa.array([r[6] for r in rows], pa.bool_()))
+        tidy()
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)
 
 
 def train(docs: DataFrame, labels: DataFrame, max_docs: int = 2000, steps: int = 80, min_content: float = 0.5) -> LineField:
@@ -201,7 +198,7 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = 2000, steps: int =
     if len(set(good.values())) < 2:
         return model
     sample = docs.where(F.col("doc_id").isin(list(good))).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    texts = sample.dropDuplicates(["doc_id"]).mapInArrow(_line_rows, "doc_id long, rows binary").collect()
+    texts = map_batches(sample.dropDuplicates(["doc_id"]), _line_rows, "doc_id long, rows binary").collect()
     lengths, rows, gold = [], [], []
     for r in sorted(texts, key=lambda r: r["doc_id"]):
         feats = np.frombuffer(r["rows"], np.uint8).reshape(-1, len(_GROUPS))
