@@ -172,3 +172,28 @@ def test_leaks_in_parts_and_defined_cases(spark):
     left = G.drop_leaks(docs, bench, max_index_chars=300)
     assert left.columns == docs.columns and left.count() == len(rows()) and {r.hits for r in left.collect()} == {EXTRA[4]}
     assert G.find_leaks(empty(spark), bench).count() == 0 and G.find_leaks(docs, bench.limit(0)).where("contaminated").count() == 0
+
+
+def test_quotes_of_a_window_are_found_at_every_offset():
+    rng = random.Random(21)
+    item = words(rng, 70)[:259] + "k"
+    index = G.build_index([(1, item)])
+    quotes = [words(rng, 30) + " " + item[at : at + G.WINDOW] + " " + words(rng, 30) for at in range(len(item) - G.WINDOW + 1)]
+    assert [[x[:2] for x in hits] for hits in G.search(quotes, index)] == [[(1, 0)]] * len(quotes)
+    # with as many edits as the budget allows, wherever the quote begins
+    k = int(G.WINDOW * G.EDIT_SHARE)
+    for at in range(0, len(item) - G.WINDOW, 7):
+        (hits,) = G.search([words(rng, 20) + " " + edit(rng, item[at : at + G.WINDOW], k) + " " + words(rng, 20)], index)
+        assert [i for i, *_ in hits] == [1] and hits[0][1] <= k
+
+
+def test_windows_found_match_the_plain_recurrence():
+    rng = random.Random(22)
+    item = words(rng, 40)[:149] + "k"
+    index, k = G.build_index([(1, item)]), int(G.WINDOW * G.EDIT_SHARE)
+    for n in (0, 3, 8, 12):
+        text = G.normalise(words(rng, 15) + " " + edit(rng, item[20:135], n) + " " + words(rng, 15))
+        exact = [distance_to_some_stretch(item[s : s + G.WINDOW], text) for s in range(len(item) - G.WINDOW + 1)]
+        near = [d for d in exact if d <= k]
+        (hits,) = G.search([text], index)
+        assert hits == ([(1, min(near), len(near))] if near else [])

@@ -1,13 +1,15 @@
 """Benchmark decontamination by the q-gram lemma.
 
-Benchmark items are cut into overlapping windows of characters (an item
-shorter than a window is one window).  Two texts of which one has ``n``
-characters and that are within ``k`` edits share at least
+A benchmark item is searched by its windows of ``WINDOW`` characters, one at
+every place (an item shorter than a window is one window).  Two texts of
+which one has ``n`` characters and that are within ``k`` edits share at least
 ``n - q + 1 - k * q`` q-grams, all within ``k`` diagonals of each other.  So
-every document is slid over its q-grams; shared q-grams are counted by window
+every document is slid over its q-grams; shared q-grams are gathered by item
 and diagonal band (bands overlap by half, so that a run within ``k``
-diagonals lies whole in one of them), bands that reach the lemma's bound are
-kept, and each is verified by a banded alignment of the whole window.
+diagonals lies whole in one of them), the windows whose stretch of the item
+reaches the lemma's bound are kept, and each is verified by a banded alignment
+of the whole window.  A quote shorter than a window from a longer item is no
+leak.
 
 Texts are compared lower-cased with runs of white space as one space.
 
@@ -35,11 +37,11 @@ from tierwise.llm.common import map_batches, pieces, tidy
 
 Q = 8
 WINDOW = 96
-STRIDE = 48
 MIN_CHARS = 40
 EDIT_SHARE = 0.1
 MAX_INDEX_CHARS = 32_000_000
 PIECE_CHARS = 2_000_000
+ALIGN_WINDOWS = 1024
 _BASE = np.uint32(0x9E3779B1)
 _FILTER_BITS = 22
 
@@ -68,89 +70,93 @@ def _cells(h: np.ndarray) -> np.ndarray:
     return h >> np.uint32(32 - _FILTER_BITS)
 
 
-def windows_of(n: int) -> list[tuple[int, int]]:
-    """Window bounds over a text of n characters; the last ends with it."""
-    if n <= WINDOW:
-        return [(0, n)]
-    starts = [*range(0, n - WINDOW, STRIDE), n - WINDOW]
-    return [(s, s + WINDOW) for s in starts]
-
-
 @dataclass
 class Index:
-    """Q-gram postings of the windows of some benchmark items."""
+    """Q-gram postings of some benchmark items."""
 
     items: list
-    plain: list[str]  # each window
-    texts: list[np.ndarray]  # its characters
-    owner: np.ndarray  # item of each window
-    edits: np.ndarray  # edit budget of each window
-    bound: np.ndarray  # shared q-grams the lemma asks for
+    texts: list[np.ndarray]  # characters of each item
+    width: np.ndarray  # characters of an item's windows
+    edits: np.ndarray  # edit budget of a window
+    bound: np.ndarray  # shared q-grams the lemma asks of a window
     keys: np.ndarray  # distinct q-grams, sorted
     first: np.ndarray  # postings of key i: first[i]:first[i+1]
-    window: np.ndarray
+    owner: np.ndarray
     place: np.ndarray
     filter: np.ndarray
 
 
 def build_index(rows: list[tuple]) -> Index | None:
-    items, plain, owner = [], [], []
+    items, texts = [], []
     for item, text in rows:
         text = normalise(text)
         if len(text) < MIN_CHARS:
             continue
         items.append(item)
-        for lo, hi in windows_of(len(text)):
-            plain.append(text[lo:hi])
-            owner.append(len(items) - 1)
-    texts = [_codes(t) for t in plain]
+        texts.append(_codes(text))
     if not texts:
         return None
-    n = np.array([len(t) for t in texts])
-    edits = (n * EDIT_SHARE).astype(np.int64)
+    width = np.minimum([len(t) for t in texts], WINDOW)
+    edits = (width * EDIT_SHARE).astype(np.int64)
     grams = [_grams(t) for t in texts]
     h = np.concatenate(grams)
-    window = np.repeat(np.arange(len(texts)), [len(g) for g in grams])
+    owner = np.repeat(np.arange(len(texts)), [len(g) for g in grams])
     place = np.concatenate([np.arange(len(g)) for g in grams])
     order = np.argsort(h, kind="stable")
     keys, first = np.unique(h[order], return_index=True)
     cells = np.zeros(1 << _FILTER_BITS, bool)
     cells[_cells(keys)] = True
-    return Index(items, plain, texts, np.array(owner), edits, np.maximum(1, n - Q + 1 - Q * edits), keys, np.append(first, len(h)), window[order], place[order], cells)
+    return Index(items, texts, width, edits, np.maximum(1, width - Q + 1 - Q * edits), keys, np.append(first, len(h)), owner[order], place[order], cells)
 
 
 def align(pattern: np.ndarray, text: np.ndarray, lo: int, edits: int) -> int:
     """Edit distance of the whole pattern to some stretch of the text that
     begins on a diagonal of ``lo .. lo + width``, computed on the band of
     diagonals ``lo - edits .. lo + width + edits``; ``edits + 1`` if above."""
-    width = 2 * (edits + 1)
-    d0 = lo - edits
-    diag = np.arange(d0, lo + width + edits + 1)
+    return int(align_windows(pattern, np.zeros(1, np.int64), len(pattern), text, lo, edits)[0])
+
+
+def align_windows(item: np.ndarray, starts: np.ndarray, width: int, text: np.ndarray, lo: int, edits: int) -> np.ndarray:
+    """:func:`align` of the item's windows at ``starts``, ``lo`` being a
+    diagonal of the whole item."""
     far = edits + 1
-    j = np.arange(len(diag))
+    j = np.arange(2 * (edits + 1) + 2 * edits + 1, dtype=np.int32)
+    out = np.full(len(starts), far, np.int64)
+    row = np.arange(len(starts))
+    diag = lo - edits + starts[:, None] + j
     # row i, diagonal d: cost of pattern[:i] against a stretch ending before text[i + d]
-    ok = (diag >= 0) & (diag <= len(text))
-    cost = np.where(ok, 0, far)
-    for i, c in enumerate(pattern):
+    cost = np.where((diag >= 0) & (diag <= len(text)), 0, far).astype(np.int32)
+    for i in range(width):
         at = diag + i
         inside = (at >= 0) & (at < len(text))
-        same = np.zeros(len(diag), bool)
-        same[inside] = text[at[inside]] == c
-        step = cost + ~same
-        step[~inside] = far
-        step[:-1] = np.minimum(step[:-1], cost[1:] + 1)  # a pattern character left out
-        step = np.minimum.accumulate(step - j) + j  # text characters left out
+        same = text[np.clip(at, 0, len(text) - 1)] == item[starts + i][:, None]
+        step = np.where(inside, cost + ~same, far)
+        step[:, :-1] = np.minimum(step[:, :-1], cost[:, 1:] + 1)  # a pattern character left out
+        step = np.minimum.accumulate(step - j, axis=1) + j  # text characters left out
         cost = np.minimum(step, far)
-        if cost.min() >= far:
-            return far
-    return int(cost.min())
+        if i % 8 == 7:  # windows that are out already
+            alive = cost.min(axis=1) < far
+            if not alive.all():
+                row, starts, diag, cost = row[alive], starts[alive], diag[alive], cost[alive]
+                if not len(row):
+                    return out
+    out[row] = cost.min(axis=1)
+    return out
+
+
+def _verbatim(item: np.ndarray, starts: np.ndarray, width: int, text: np.ndarray, lo: int, edits: int) -> np.ndarray:
+    """Which windows the text holds unchanged on a diagonal of the band."""
+    first, last = int(starts[0]), int(starts[-1]) + width
+    at = lo + np.arange(2 * (edits + 1) + 1)[:, None] + np.arange(first, last)
+    same = (at >= 0) & (at < len(text)) & (text[np.clip(at, 0, len(text) - 1)] == item[first:last])
+    run = np.concatenate((np.zeros((len(at), 1), np.int64), np.cumsum(same, axis=1)), axis=1)
+    return ((run[:, starts - first + width] - run[:, starts - first]) == width).any(axis=0)
 
 
 def _search(texts: list, index: Index) -> list[dict]:
-    """For each text, the items found: item number -> (distance, regions)."""
+    """For each text, the items found: item number -> window -> distance."""
     found: list[dict] = [{} for _ in texts]
-    plain = [normalise(t) for t in texts]
-    codes = [_codes(t) for t in plain]
+    codes = [_codes(normalise(t)) for t in texts]
     gap = np.zeros(1, np.uint32)
     joined = np.concatenate([x for c in codes for x in (c, gap)]) if codes else gap
     starts = np.cumsum([0, *(len(c) + 1 for c in codes)])
@@ -175,7 +181,7 @@ def _search(texts: list, index: Index) -> list[dict]:
         return found
     doc = np.searchsorted(starts, pos, side="right") - 1
     for lo, hi in _shares(index.first[at + 1] - index.first[at], doc):
-        _verify(pos[lo:hi], at[lo:hi], doc[lo:hi], starts, plain, codes, index, found)
+        _verify(pos[lo:hi], at[lo:hi], doc[lo:hi], starts, codes, index, found)
     return found
 
 
@@ -191,58 +197,71 @@ def _shares(sizes: np.ndarray, doc: np.ndarray, limit: int = 1_000_000):
         i = j
 
 
-def _verify(pos, at, doc, starts, plain, codes, index: Index, found) -> None:
+def _verify(pos, at, doc, starts, codes, index: Index, found) -> None:
     n = index.first[at + 1] - index.first[at]
     hit = np.repeat(np.arange(len(pos)), n)
     posting = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(index.first[at], n)
-    win = index.window[posting]
-    # a window with fewer hits in the whole document than its bound is out
-    pair = (doc[hit] - doc[0]) * len(index.texts) + win
-    if (doc[-1] - doc[0] + 1) * len(index.texts) <= 1 << 24:
-        enough = np.bincount(pair)[pair] >= index.bound[win]
+    own = index.owner[posting]
+    # an item with fewer hits in the whole document than its bound is out
+    wide = len(index.texts)
+    pair = (doc[hit] - doc[0]) * wide + own
+    if (doc[-1] - doc[0] + 1) * wide <= 1 << 24:
+        enough = np.bincount(pair)[pair] >= index.bound[own]
     else:
         _, back, total = np.unique(pair, return_inverse=True, return_counts=True)
-        enough = total[back] >= index.bound[win]
+        enough = total[back] >= index.bound[own]
     if not enough.any():
         return
-    hit, posting, win = hit[enough], posting[enough], win[enough]
-    local = pos[hit] - starts[doc[hit]]
-    diagonal = local - index.place[posting]
-    half = index.edits[win] + 1
-    band = diagonal // half
-    wide = len(index.texts)
+    hit, own, place = hit[enough], own[enough], index.place[posting[enough]]
+    diagonal = pos[hit] - starts[doc[hit]] - place
+    band = diagonal // (index.edits[own] + 1)
     offset = int(band.min()) - 1
     bands = int(band.max()) - offset + 1
-    group = (doc[hit] * wide + win) * bands + (band - offset)
+    group = (doc[hit] * wide + own) * bands + (band - offset)
     both = np.concatenate((group, group - 1))  # a diagonal lies in two bands
-    where = np.concatenate((pos[hit], pos[hit]))
-    order = np.lexsort((where, both))
-    both, where = both[order], where[order]
-    new_group = np.concatenate(([True], both[1:] != both[:-1]))
-    distinct = new_group | np.concatenate(([True], where[1:] != where[:-1]))
-    begin = np.flatnonzero(new_group)
-    count = np.add.reduceat(distinct.astype(np.int64), begin)
-    key = both[begin]
-    w = key // bands % wide
-    keep = count >= index.bound[w]
-    for k, w_, c in sorted(zip(key[keep].tolist(), w[keep].tolist(), count[keep].tolist(), strict=True), key=lambda x: -x[2]):
-        d = k // bands // wide
-        item = int(index.owner[w_])
+    place = np.concatenate((place, place))
+    order = np.lexsort((place, both))
+    both, place = both[order], place[order]
+    distinct = np.concatenate(([True], (both[1:] != both[:-1]) | (place[1:] != place[:-1])))
+    both, place = both[distinct], place[distinct]
+    # runs of as many places as the bound asks, within the q-grams of a window
+    own = both // bands % wide
+    last = np.arange(len(both)) + index.bound[own] - 1
+    run = np.flatnonzero(last < len(both))
+    last = last[run]
+    run_fits = (both[last] == both[run]) & (place[last] - place[run] <= index.width[own[run]] - Q)
+    run, last = run[run_fits], last[run_fits]
+    cuts = np.flatnonzero(np.concatenate(([True], both[run][1:] != both[run][:-1]))) if len(run) else run
+    for lo_run, hi_run in zip(cuts.tolist(), [*cuts.tolist()[1:], len(run)], strict=False):
+        k = int(both[run[lo_run]])
+        d, item = k // bands // wide, k // bands % wide
+        text, edits, width = index.texts[item], int(index.edits[item]), int(index.width[item])
+        # every window that holds one of the runs
+        mark = np.zeros(len(text) - width + 2, np.int64)
+        np.add.at(mark, np.clip(place[last[lo_run:hi_run]] + Q - width, 0, len(mark) - 2), 1)
+        np.add.at(mark, np.minimum(place[run[lo_run:hi_run]], len(mark) - 2) + 1, -1)
+        windows = np.flatnonzero(np.cumsum(mark) > 0)
         best = found[d].setdefault(item, {})
-        if w_ in best:  # found in the other of two overlapping bands
-            continue
-        edits = int(index.edits[w_])
-        lo, pattern = (k % bands + offset) * (edits + 1), index.plain[w_]
-        if pattern in plain[d][max(0, lo - edits) : max(0, lo + 3 * (edits + 1) + len(pattern))]:
-            dist = 0
-        else:
-            dist = align(index.texts[w_], codes[d], lo, edits)
-        if dist <= edits:
-            best[w_] = dist
+        windows = windows[[best.get(w) != 0 for w in windows.tolist()]]
+        for part in range(0, len(windows), ALIGN_WINDOWS):
+            some = windows[part : part + ALIGN_WINDOWS]
+            _align_band(some, text, width, codes[d], (k % bands + offset) * (edits + 1), edits, best)
+
+
+def _align_band(windows, text, width, doc, lo, edits, best: dict) -> None:
+    """Puts the distances of the windows found on one band into ``best``."""
+    whole = _verbatim(text, windows, width, doc, lo, edits)
+    best.update(dict.fromkeys(windows[whole].tolist(), 0))
+    windows = windows[~whole]
+    if len(windows):
+        dist = align_windows(text, windows, width, doc, lo, edits)
+        for w, x in zip(windows.tolist(), dist.tolist(), strict=True):
+            if x <= edits:
+                best[w] = min(x, best.get(w, x))
 
 
 def search(texts: list, index: Index | None) -> list[list[tuple]]:
-    """``(item, smallest distance, windows found)`` of each text."""
+    """``(item, smallest distance, number of windows found)`` of each text."""
     if index is None:
         return [[] for _ in texts]
     out = []
