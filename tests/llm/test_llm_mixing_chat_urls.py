@@ -231,3 +231,19 @@ def test_queries_with_an_oracle_agree(spark):
         assert sorted(cols) == sorted(df.columns)
         assert sorted(map(clean, df.select(*cols).collect())) == sorted(map(clean, rel.fetchall())), name
     assert {n.split("_")[0] for n in E.queries() if n.startswith("op")} == {f"op{i}" for i in range(1, 11)} and "pipeline" in E.queries()
+
+
+def test_the_mixing_query_shuffles_whole_documents(spark):
+    import os
+
+    from tierwise.llm.registry import QUERIES
+
+    got = QUERIES["op2_source_mixing"](spark, SF)
+    assert len({os.path.dirname(f) for f in got.inputFiles()}) == 1
+    stored = [r for f in sorted(got.inputFiles()) for r in spark.read.parquet(f).select("doc.*", "copies", "copy_no", "shuffle_key").collect()]
+    keys = [r.shuffle_key for r in stored]
+    assert keys == sorted(keys) and len(keys) == got.count()
+    docs = {r.doc_id: r for r in table(spark, SF, "documents").collect()}
+    assert all(r[: len(docs[r.doc_id])] == docs[r.doc_id] for r in stored)
+    columns = ["doc_id", "source", "copies", "copy_no", "shuffle_key"]
+    assert got.columns == columns and [tuple(r) for r in got.collect()] == [tuple(r[c] for c in columns) for r in stored]

@@ -115,6 +115,12 @@ def mix(docs: DataFrame, weights: dict | None = None, other: float = 0.0, measur
     return replicate(docs, weights, other, measure, seed).orderBy("shuffle_key", "doc.doc_id").select("doc.*")
 
 
+def store(docs: DataFrame, weights: dict | None = None, other: float = 0.0, measure: str = "chars", seed: int = 17) -> DataFrame:
+    """The rows of :func:`replicate`, whole documents, written to the shared
+    folder in their shuffled order (of the files, and of the rows of each)."""
+    return spill(replicate(docs, weights, other, measure, seed).orderBy("shuffle_key", "doc.doc_id"), "mixture")
+
+
 #: DuckDB form of the query over ``documents`` (weights alike, characters)
 ORACLE = """
 WITH RECURSIVE per AS (

@@ -43,7 +43,7 @@ def op1(spark, sf_dir):
 
 @query("op2_source_mixing", mixing.ORACLE)
 def op2(spark, sf_dir):
-    mixed = mixing.replicate(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    mixed = mixing.store(table(spark, sf_dir, "documents"))
     return mixed.select("doc.doc_id", "doc.source", "copies", "copy_no", "shuffle_key").orderBy("shuffle_key", "doc_id")
 
 
