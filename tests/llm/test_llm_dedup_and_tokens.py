@@ -87,6 +87,14 @@ def test_one_large_group_gives_few_pairs(spark):
     assert M._stars(members, range(M.HEADS)).count() <= M.HEADS * m
 
 
+def test_small_buckets_give_all_of_their_pairs(spark):
+    """Also where the heads of all random orders leave members out."""
+    sizes = range(2, M.HEADS + 2)
+    data = [(n * 1000 + i, n, n) for n in sizes for i in range(n)]
+    got = Counter(r.a // 1000 for r in M._candidates(spark.createDataFrame(data, "rep long, bucket long, n long")).collect())
+    assert got == {n: n * (n - 1) // 2 for n in sizes}
+
+
 def test_components_of_a_chain(spark):
     edges = spark.range(200).selectExpr("(id * 37) % 200 AS u", "((id + 1) * 37) % 200 AS v")
     with Scratch(spark, "chain") as scratch:

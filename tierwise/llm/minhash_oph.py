@@ -10,8 +10,8 @@ Documents with equal sets are merged into one class first, so a group of
 exact copies is one point.  Candidate edges are stars: the members of a
 bucket are paired with its heads, the smallest members in each of ``HEADS``
 global random orders, so a bucket of m classes gives at most ``HEADS * m``
-pairs, a small bucket gives all of its pairs, and a group that agrees on many
-bands keeps meeting the same heads.  Candidates are confirmed on the full
+pairs, and a group that agrees on many bands keeps meeting the same heads.  A
+bucket of at most ``SMALL`` classes gives all of its pairs instead.  Candidates are confirmed on the full
 sets and linked into components.
 
 Larger buckets whose members still lie in different components may hide a
@@ -42,6 +42,8 @@ from tierwise.llm.common import Scratch, map_batches, pieces, spill, tidy
 
 BANDS, ROWS = 40, 6
 HEADS = 8
+#: members of a bucket that gives all of its pairs
+SMALL = HEADS + 1
 BINS = BANDS * ROWS
 _rng = np.random.default_rng(20240607)
 _BYTE = _rng.integers(1 << 63, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -242,9 +244,8 @@ def _classes_of(docs: DataFrame, shingle: int, percent: int, scratch: Scratch) -
         more = links.union(_linked(sims, percent).select(F.col("a").alias("u"), F.col("b").alias("v")))
         return sims, more, components(more, scratch)
 
-    stars = _stars(members, range(HEADS))
-    _, links, roots = add(stars)
-    large = members.where(F.col("n") > HEADS + 1)
+    _, links, roots = add(_candidates(members))
+    large = members.where(F.col("n") > SMALL)
     apart = _apart(large, roots, scratch)
     if not apart.isEmpty():
         _, links, roots = add(_exact_pairs(apart, docs, shingle, percent, scratch))
@@ -283,6 +284,13 @@ def _stars(members: DataFrame, seeds) -> DataFrame:
     return pairs.select(F.least("rep", "head").alias("a"), F.greatest("rep", "head").alias("b")).distinct()
 
 
+def _candidates(members: DataFrame) -> DataFrame:
+    """All pairs of the small buckets and the stars of the others."""
+    reps = members.where(F.col("n") <= SMALL).groupBy("bucket").agg(F.collect_set("rep").alias("reps"))
+    pairs = reps.select("reps", F.explode("reps").alias("a")).select("a", F.explode(F.filter("reps", lambda b: b > F.col("a"))).alias("b"))
+    return pairs.union(_stars(members.where(F.col("n") > SMALL), range(HEADS))).distinct()
+
+
 def _apart(members: DataFrame, roots: DataFrame, scratch: Scratch) -> DataFrame:
     """``rep, root``: the members, with their components, of the buckets
     that hold more than one."""
