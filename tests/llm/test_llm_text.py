@@ -43,6 +43,23 @@ def test_html_without_article_takes_the_dense_container():
     assert H.main_text(page) == " ".join(f"{text} short {text}".split())
 
 
+def test_html_without_article_keeps_lists_tables_and_sections():
+    text = "long words of content " * 12
+    items = "".join(f"<li>i{n}</li>" for n in range(9))
+    cells = "".join(f"<tr><td>c{n}</td><td>d{n}</td></tr>" for n in range(5))
+    inner = f"<div><p>{text}</p></div><ul>{items}</ul><table>{cells}</table><div><h2>Sub</h2><div>tiny</div></div><blockquote>{text}</blockquote><div>{text}</div>"
+    page = f"<html><body><div><span>site</span></div><div class=menu>m</div><div>{inner}</div><div>x</div></body></html>"
+    want = [text, *(f"i{n}" for n in range(9)), *(f"c{n} d{n}" for n in range(5)), "Sub", "tiny", text, text]
+    assert H.main_text(page) == " ".join(" ".join(want).split())
+    one = f"<body><div>a</div><section><ul><li>first</li><li>{text}</li><li>last</li></ul></section><div>b</div></body>"
+    assert H.main_text(one) == " ".join(f"first {text} last".split())
+
+
+def test_html_takes_every_article():
+    text = "long words of content " * 12
+    assert H.main_text(f"<body><article><p>{text}</p></article><article><p>short</p></article>x</body>") == " ".join(f"{text} short".split())
+
+
 def test_html_defined_cases(spark):
     assert H.main_text(None) == H.main_text("") == H.main_text("<nav>x</nav>") == H.main_text("<!-- x") == ""
     assert H.main_text("plain text only") == "plain text only"

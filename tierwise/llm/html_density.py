@@ -2,11 +2,11 @@
 
 The standard library's streaming parser turns a page into lines (a line ends
 at every block-level tag).  Each line has a text-to-tag ratio; the ratios are
-smoothed with a Gaussian and split into two clusters by a threshold.  Content
-regions (``article``/``main`` elements where a page has them, otherwise the
-nearest block container of each dense line) that hold a line of the dense
-cluster are taken whole, less what is menu, header, footer, sidebar, notice,
-advert, form, script, style or reader comment by its tag, role or class.
+smoothed with a Gaussian and split into two clusters by a threshold.  The
+content regions (all ``article``/``main`` elements where a page has them,
+otherwise the smallest container that holds all lines of the dense cluster)
+are taken whole, less what is menu, header, footer, sidebar, notice, advert,
+form, script, style or reader comment by its tag, role or class.
 
 Defined cases: a null or empty page, and one without text outside the
 excluded parts, gives the empty string; unclosed and stray tags are
@@ -34,6 +34,8 @@ DROPPED = frozenset(
     "script style noscript template nav header footer aside form button select option textarea input iframe object svg canvas dialog menu head title".split()
 )
 REGION = frozenset(("article", "main"))
+#: blocks that are parts of a text, not containers of one
+PARTS = frozenset("p li ul ol dl dt dd table caption thead tbody tfoot tr td th blockquote figure figcaption pre details summary address".split())
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 #: words of class and id attributes, and roles, that mark excluded parts
 MARKED = frozenset(
@@ -77,6 +79,7 @@ class PageLines(HTMLParser):
         self.text: list[str] = []
         self.tags = 0
         self.made = 0
+        self.parent = [0]  # of each container; 0 is the page
 
     def _top(self):
         return self.stack[-1] if self.stack else ("", False, 0, 0)
@@ -112,9 +115,9 @@ class PageLines(HTMLParser):
                 dropped = True
             elif region and any(t == "header" for t, *_ in self.stack) and tag not in HEADINGS and not self._in_heading():
                 dropped = False
-        if tag not in INLINE and tag not in HEADINGS and tag != "p":
-            self.made += 1
-            container = self.made
+        if tag not in INLINE and tag not in HEADINGS and tag not in PARTS:
+            self.parent.append(container)
+            container = len(self.parent) - 1
         self.stack.append((tag, dropped, region, container))
 
     def _own(self):
@@ -195,13 +198,28 @@ def main_text(html: str | None, sigma: float = 1.0) -> str:
     lines = parser.finish()
     if not lines:
         return ""
+    if any(region for _, _, region, _ in lines):
+        return " ".join(text for text, _, region, _ in lines if region)
     ratios = np.array([len(t) / (tags + 1) for t, tags, _, _ in lines])
-    dense = (s := smooth(ratios, sigma)) >= min(threshold(s), s.max())
-    slot = 2 if any(x[2] for x in lines) else 3  # regions where there are any, else containers
-    chosen = {x[slot] for x, d in zip(lines, dense, strict=True) if d}
-    if slot == 2 and chosen == {0}:  # dense lines lie outside every region
-        chosen = {x[2] for x in lines} - {0}
-    return " ".join(x[0] for x in lines if x[slot] in chosen and (slot == 3 or x[2]))
+    dense = (s := smooth(ratios, sigma)) >= (cut := min(threshold(s), s.max()))
+    own = dense & (ratios >= cut)  # not only by their neighbours
+    inside = _common([x[3] for x in lines], own if own.any() else dense, parser.parent)
+    return " ".join(x[0] for x in lines if inside[x[3]])
+
+
+def _common(containers: list[int], wanted: np.ndarray, parent: list[int]) -> list[bool]:
+    """Which containers lie in the smallest one that holds all wanted lines;
+    a container's number is above its parent's."""
+    held = [0] * len(parent)
+    for c, w in zip(containers, wanted.tolist(), strict=True):
+        held[c] += w
+    for c in range(len(parent) - 1, 0, -1):
+        held[parent[c]] += held[c]
+    top = max(c for c in range(len(parent)) if held[c] == held[0])
+    inside = [top == 0] * len(parent)
+    for c in range(1, len(parent)):
+        inside[c] = c == top or inside[parent[c]]
+    return inside
 
 
 def extract(pages: DataFrame, sigma: float = 1.0) -> DataFrame:
