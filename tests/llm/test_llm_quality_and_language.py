@@ -119,3 +119,15 @@ def test_language_defined_cases(spark):
     assert got[None].lang_pred == "aa" and got[None].held_out is True and got[103].lang_pred == "zz"
     assert all(0 <= r.score <= 1 for r in got.values())
     assert L.predict(empty(spark), L.train(docs)).count() == 0
+
+
+def test_every_language_is_learned(spark):
+    names = [f"l{i:03d}" for i in range(203)]
+    data = [(i * 10 + j, " ".join([chr(0x4E00 + i) * 3] * 12), lang, "s", 0) for i, lang in enumerate(names) for j in range(3 if i < 200 else 2)]
+    docs = frame(spark, data)
+    usable = {r.lang for r in docs.where(~L.held_out(F.col("doc_id"))).select("lang").distinct().collect()}
+    model = L.train(docs, epochs=3)
+    assert set(model.langs) == usable and len(usable) > 200
+    rare = docs.where(F.col("lang") >= "l200")
+    got = L.predict(rare, model).join(rare.select("doc_id", "lang"), "doc_id").where(F.col("lang").isin(sorted(usable))).collect()
+    assert got and all(r.lang_pred == r.lang for r in got)

@@ -9,7 +9,8 @@ forward-backward gives each word's posterior.  A document's language is the
 label with the largest expected number of words.
 
 The field is trained here, on a bounded sample of documents with a language
-(``per_language`` documents of each, whole texts, the smallest hashes):
+(``per_language`` documents of each, whole texts, the smallest hashes; every
+language that occurs is learned, so sample and model grow with their number):
 gradient ascent on the likelihood of word sequences, among them sequences
 spliced from documents of different languages, from which the transitions
 learn how code-switching looks.
@@ -35,6 +36,8 @@ from tierwise.llm.crf import Adam, Packing, forward_backward
 SLOT_BITS = 16
 _SLOTS = 1 << SLOT_BITS
 PIECE_CHARS = 3_000_000
+#: words x languages of a training batch (a sequence has 120 words at most)
+TRAIN_CELLS = 8_000_000
 LANG_SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 
 
@@ -128,7 +131,7 @@ def predict(docs: DataFrame, model: LanguageField) -> DataFrame:
 
     def run(batches):
         for whole in batches:
-            for b in pieces(whole, PIECE_CHARS, "text"):
+            for b in pieces(whole, PIECE_CHARS * 8 // max(8, len(model.langs)), "text"):
                 rows = identify(b.column("text").to_pylist(), model)
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id"), b.column("held_out"), pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.float64())],
@@ -146,15 +149,14 @@ def train(docs: DataFrame, per_language: int = 150, epochs: int = 12, seed: int
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")
     )
-    sizes = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(200).collect()}
+    sizes = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     langs = sorted(sizes)
     if not langs:
         return LanguageField([], np.zeros((_SLOTS, 0), np.float32), np.zeros((0, 0)), np.zeros(0))
     place = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 40))
-    share = F.lit(False)
-    for lang, n in sizes.items():
-        share = share | ((F.col("lang") == lang) & (place < int(min(1.0, per_language / n) * (1 << 40))))
-    rows = usable.where(share).orderBy(place, "doc_id").limit(2 * per_language * len(langs)).collect()
+    share = [(lang, int(min(1.0, per_language / n) * (1 << 40))) for lang, n in sizes.items()]
+    shares = docs.sparkSession.createDataFrame(share, "lang string, share long")
+    rows = usable.join(F.broadcast(shares), "lang").where(place < F.col("share")).orderBy(place, "doc_id").limit(2 * per_language * len(langs)).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["text"]))
     rng = np.random.default_rng(seed)
     texts = [r["text"] for r in rows]
@@ -178,7 +180,7 @@ def train(docs: DataFrame, per_language: int = 150, epochs: int = 12, seed: int
     trans, start = np.eye(k) * 2.0, np.zeros(k)
     opt = Adam([emit, trans, start], 0.05)
     lens = np.diff(np.append(first, len(s2)))
-    batch = max(1, len(sequences) // 8 + 1)
+    batch = max(1, min(len(sequences) // 8 + 1, TRAIN_CELLS // (120 * k)))
     for _ in range(epochs):
         for at in range(0, len(sequences), batch):
             seqs = sequences[at : at + batch]
