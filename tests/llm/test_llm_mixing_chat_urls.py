@@ -230,7 +230,7 @@ def test_queries_with_an_oracle_agree(spark):
         cols = [d[0] for d in rel.description]
         assert sorted(cols) == sorted(df.columns)
         assert sorted(map(clean, df.select(*cols).collect())) == sorted(map(clean, rel.fetchall())), name
-    assert {n.split("_")[0] for n in E.queries() if n.startswith("op")} == {f"op{i}" for i in range(1, 11)} and "pipeline" in E.queries()
+    assert {n.split("_")[0] for n in E.queries() if n.startswith("op")} == {f"op{i}" for i in range(1, 14)} and "pipeline" in E.queries()
 
 
 def test_the_mixing_query_shuffles_whole_documents(spark):

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tierwise.llm import (
     ans_tokens,
+    byte_bpe,
     chat_trees,
     html_density,
     lang_crf,
@@ -89,6 +90,14 @@ def op10(spark, sf_dir):
     return ans_tokens.tokens_of(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+@query("op11_byte_bpe")
+def op11(spark, sf_dir):
+    import public_tokenizers
+
+    path = tokenizer_path("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
