@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tierwise.llm import (
     ans_tokens,
+    block_search,
     byte_bpe,
     chat_trees,
     html_density,
@@ -98,6 +99,11 @@ def op11(spark, sf_dir):
     return byte_bpe.digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+@query("op12_block_search", block_search.ORACLE)
+def op12(spark, sf_dir):
+    return block_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
