@@ -18,6 +18,7 @@ from tierwise.llm import (
     license_join,
     minhash_oph,
     mixing,
+    prefix_trie,
     qgram_leaks,
     quality_crf,
     url_templates,
@@ -104,6 +105,11 @@ def op12(spark, sf_dir):
     return block_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op13_prefix_trie")
+def op13(spark, sf_dir):
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
