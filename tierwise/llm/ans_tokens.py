@@ -183,14 +183,13 @@ class FrequencyTable:
         total, room = int(counts.sum()), 1 << bits
         freq = np.maximum(1, (counts.astype(np.float64) * room / total).astype(np.int64))
         over = int(freq.sum()) - room
-        while over:  # settle the rounding on the largest shares
-            for i in np.argsort(-freq, kind="stable"):
-                step = max(-(-over // len(freq)), 1) if over > 0 else min(-(-over // len(freq)), -1)
-                step = min(step, int(freq[i]) - 1) if over > 0 else step
-                freq[i] -= step
-                over -= step
-                if not over:
-                    break
+        if over < 0:  # settle the rounding on the largest share
+            freq[np.argmax(freq)] -= over
+        elif over > 0:  # or on all shares above one, in proportion
+            spare = freq - 1
+            cut = -(-spare * over // int(spare.sum()))
+            cut[np.flatnonzero(cut)[: int(cut.sum()) - over]] -= 1
+            freq -= cut
         return cls(symbols, freq, bits)
 
     def pack(self) -> bytes:
