@@ -95,6 +95,12 @@ def test_small_buckets_give_all_of_their_pairs(spark):
     assert got == {n: n * (n - 1) // 2 for n in sizes}
 
 
+def test_rows_without_an_id_all_stay(spark):
+    data = [(None, "a b c d e f"), (None, "a b c d e f"), (None, None), (None, None), (1, "x y z"), (1, "x y z"), (2, "x y z")]
+    kept = M.drop_near_duplicates(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    assert sorted(map(str, kept)) == sorted(map(str, spark.createDataFrame(data[:5], "doc_id long, text string").collect()))
+
+
 def test_components_of_a_chain(spark):
     edges = spark.range(200).selectExpr("(id * 37) % 200 AS u", "((id + 1) * 37) % 200 AS v")
     with Scratch(spark, "chain") as scratch:

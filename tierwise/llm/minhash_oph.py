@@ -103,7 +103,7 @@ def shingle_sets(texts: list, size: int) -> list[np.ndarray]:
         bounds = np.searchsorted(begin, ends)
         n = len(words)
         rolled = np.zeros(n, np.uint64)
-        for i in range(size):
+        for i in range(min(size, n)):
             rolled[: n - i] += words[i:] * _PLACE[i]
         rolled = _mix(rolled)
         out, lo = [], 0
@@ -342,4 +342,7 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -
     gone = judged.where("not kept").select("doc_id").distinct()
     left = docs.alias("d").join(gone.alias("g"), F.col("d.doc_id").cast("long") == F.col("g.doc_id"), "left_anti")
     repeated = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
-    return left if repeated.isEmpty() else left.dropDuplicates(["doc_id", "text"])
+    if repeated.isEmpty():
+        return left
+    # rows without an id are documents of their own, also where their texts agree
+    return left.where("doc_id is not null").dropDuplicates(["doc_id", "text"]).union(left.where("doc_id is null"))
