@@ -129,3 +129,41 @@ def test_big_integers_and_nulls_stay_exact(spark):
     assert rn == {1: (big + 1, 1), 2: (None, 2), 3: (big + 3, 3), 4: (big + 5, 1), 5: (None, 2), 6: (big + 1, 1), 7: (big + 1, 1)}
     rk = rank_within(df.where("v is not null"), ["g"], [F.col("v").desc()], tie=["v"], extra=["o"], name="rk")
     assert {r.o: r.rk for r in rk.collect()} == {1: 2, 3: 1, 4: 1, 6: 1, 7: 1}
+
+
+@pytest.mark.parametrize("k", [0, 1, 4, 7, 100])
+def test_numbers_of_smallest_matches_the_full_numbering(spark, k):
+    """Orphans lead, rows tie, NULLs sort first: the counted numbers are those
+    of the whole sorted table."""
+    from tierwise.operators.ordered import numbers_of_smallest
+
+    rows = [(1, None, 9), (1, None, 9), (1, 2, 1), (1, 2, 1), (1, 2, 1), (1, 3, 9), (2, None, 1), (2, 5, 9), (2, 5, 1), (3, 0, 1)]
+    df = spark.createDataFrame(rows, "a bigint, b bigint, c int").repartition(3)
+    wanted = df.where("c = 1")
+    got = sorted(tuple(r) for r in numbers_of_smallest(df, wanted, ["a", "b", "c"], k, "n", lead="a").select("n", "a", "b", "c").collect())
+    ordered = sorted(rows, key=lambda r: tuple((v is not None, v or 0) for v in r))
+    expect = [(n, *r) for n, r in enumerate(ordered, 1) if r[2] == 1][:k]
+    assert got == expect
+
+
+def test_numbers_of_smallest_of_nothing(spark):
+    from tierwise.operators.ordered import numbers_of_smallest
+
+    df = spark.createDataFrame([(1, 2)], "a bigint, b bigint")
+    assert numbers_of_smallest(df, df.where("false"), ["a", "b"], 3, "n", lead="a").collect() == []
+    assert numbers_of_smallest(df.where("false"), df.where("false"), ["a", "b"], 3, "n").collect() == []
+
+
+def test_details_of_driver_tables_skip_leading_orphans(spark):
+    """The first transactions of an unknown customer keep their numbers: the
+    details begin at the first known one, with the id of the whole fact."""
+    from tierwise.operators.spend import transaction_details
+    from tierwise.sources.model import from_tpch
+
+    t = from_tpch(spark, "/root/testdata/sf0.001")
+    first = t.numbered().orderBy("txn_id").limit(12).collect()
+    gone = {first[0].customer_id, first[-1].customer_id}
+    cut = t.with_customers(t.customers.where(~F.col("customer_id").isin(*gone)))
+    expect = [r.txn_id for r in t.numbered().where(~F.col("customer_id").isin(*gone)).orderBy("txn_id").limit(20).collect()]
+    assert expect[0] > 1
+    assert [r.txn_id for r in transaction_details(cut).collect()] == expect

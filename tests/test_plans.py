@@ -61,3 +61,10 @@ def test_no_cross_joins_anywhere(spark):
             continue  # eager checkpoint jobs; covered in test_ordered
         p = plan(fn(spark, SF))
         assert "NestedLoop" not in p and "Cartesian" not in p, name
+
+
+def test_details_sort_and_store_no_fact(spark):
+    """Rank selection: a top-k and a count, with the cut pushed to the scan."""
+    p = plan(E.queries()["transaction_details"](spark, SF))
+    assert "rangepartitioning" not in p and "ExistingRDD" not in p
+    assert "LessThanOrEqual(l_orderkey,ScalarSubquery" in p

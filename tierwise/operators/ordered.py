@@ -17,7 +17,8 @@ operators here never do that:
 * ``global_row_number``  - 1..n over the total order (surrogate keys),
 * ``lag_within``         - previous row of the same group,
 * ``row_number_within``  - ROW_NUMBER() per group,
-* ``rank_within``        - RANK() per group.
+* ``rank_within``        - RANK() per group,
+* ``numbers_of_smallest`` - the row numbers of a few rows, by counting alone.
 
 All of it is DataFrame expressions, so every type keeps its exact values.
 """
@@ -72,6 +73,47 @@ def global_row_number(df: DataFrame, order: Sequence[Column | str], name: str =
     return placed.select(*df.columns, (F.col(CARRY) + local + 1).alias(name))
 
 
+def numbers_of_smallest(
+    df: DataFrame, wanted: DataFrame, order: Sequence[str], k: int, name: str, lead: str | None = None
+) -> DataFrame:
+    """The ``k`` smallest rows of ``wanted``, a part of ``df``, with the number
+    that ``global_row_number(df, order)`` gives them (ascending, NULLs first),
+    found without sorting or storing ``df``.
+
+    The ``k`` rows are a top-k of every partition; then one pass counts the
+    rows of ``df`` below each of them, at most ``k`` + 1 groups.  A row of
+    ``df`` that equals one in ``wanted`` must be in ``wanted`` itself, so rows
+    that tie are numbered one after another.  ``lead`` names the first order
+    column where it is never NULL: its bound then reaches the scan.
+    No rows in ``wanted``, or ``k`` below 1: no rows."""
+    if k < 1:
+        return wanted.limit(0).withColumn(name, F.lit(None).cast("bigint"))
+    key = F.struct(*[F.col(c) for c in order])
+    head = wanted.orderBy(*[F.col(c).asc_nulls_first() for c in order]).limit(k)
+    # k rows as one value: a subquery that Spark runs once for all its uses
+    top = head.agg(F.collect_list(F.struct(*[F.col(c) for c in wanted.columns])).alias("top")).scalar()
+    head = df.sparkSession.range(1).select(F.explode(top).alias("top")).select("top.*")
+    keys = head.agg(F.sort_array(F.collect_set(key)).alias("keys"))
+    reach = df
+    if lead:
+        reach = reach.where(F.col(lead) <= head.agg(F.max(lead)).scalar())
+    # the first of the keys that a row doesn't exceed; a row beyond all of them has none
+    at = F.filter(F.col("_keys"), lambda wanted_key: wanted_key >= F.col("_key"))
+    counted = (
+        reach.select(key.alias("_key"), keys.scalar().alias("_keys"))
+        .select(F.get(at, F.lit(0)).alias("_at"), "_key")
+        .where(F.col("_at").isNotNull())
+        .groupBy("_at").agg(F.count_if(F.col("_key") < F.col("_at")).alias("below"), F.count_if(F.col("_key") == F.col("_at")).alias("equal"))
+    )
+    so_far = F.sum(F.col("below") + F.col("equal")).over(Window.orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    starts = counted.select("_at", (so_far - F.col("equal")).alias("_before"))
+    ties = F.row_number().over(Window.partitionBy("_key").orderBy("_key"))
+    placed = head.withColumn("_key", key).withColumn("_tie", ties)
+    return placed.join(starts, F.col("_key").eqNullSafe(F.col("_at")), "inner").select(
+        *wanted.columns, (F.col("_before") + F.col("_tie")).alias(name)
+    )
+
+
 def lag_within(
     df: DataFrame, group: Sequence[str], order: Sequence[Column | str], value: str, name: str
 ) -> DataFrame:

@@ -93,13 +93,19 @@ def transaction_details(t: Tables, limit: int | None = 20) -> DataFrame:
     Where txn_id is a key, the head is taken first: the ``limit`` smallest
     ids among the transactions with a known customer and product (semi joins
     on narrow rows, a per-partition top-k), and only those rows are joined to
-    the wide dimensions.  Otherwise ids may tie at the cut, and the full join
-    is limited."""
+    the wide dimensions.  An id that would have to be built is counted for
+    those rows alone.  Otherwise ids may tie at the cut, and the full join is
+    limited."""
     order = ["txn_id", "cust_name", "product_name", "quantity", "unit_price", "txn_date"]
-    facts = t.numbered()
+
+    def known(facts: DataFrame) -> DataFrame:
+        buyers = facts.join(t.customers.select("customer_id"), "customer_id", "left_semi")
+        return buyers.join(t.products.select("product_id"), "product_id", "left_semi")
+
     if limit and t.unique_txn_id:
-        known = facts.join(t.customers.select("customer_id"), "customer_id", "left_semi")
-        facts = known.join(t.products.select("product_id"), "product_id", "left_semi").orderBy("txn_id").limit(limit)
+        facts = t.first(known, limit) if t.first else known(t.numbered()).orderBy("txn_id").limit(limit)
+    else:
+        facts = t.numbered()
     rows = (
         facts.join(t.customers.select("customer_id", "cust_name"), "customer_id", "inner")
         .join(t.products.select("product_id", "product_name", "category", "unit_price"), "product_id", "inner")

@@ -13,7 +13,7 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierwise.rules import DEFAULT_RULES, DRIVER_RULES, TierRules
@@ -38,6 +38,9 @@ class Tables:
     unique_txn_id: bool = False
     # builds the transactions with their txn_id, on first use
     number: Callable[[], DataFrame] | None = None
+    # the first k transactions by txn_id among those that the given function
+    # keeps, for bundles that can tell them without numbering every one
+    first: Callable[[Callable[[DataFrame], DataFrame], int], DataFrame] | None = None
 
     @property
     def spark(self) -> SparkSession:
@@ -124,24 +127,48 @@ def tpch_transactions(spark: SparkSession, sf_dir: str, keyed: bool = False) ->
     the consecutive ``txn_id`` 1..n over their columns, orders first
     (``operators.ordered``: one range sort, no window over a key).  That id is
     unique whatever the number of lines in an order."""
-    used = TXN_ORDER_COLUMNS if keyed else ("l_orderkey", "l_partkey", "l_quantity")
+    joined = _tpch_lines(spark, sf_dir, TXN_ORDER_COLUMNS if keyed else ("l_orderkey", "l_partkey", "l_quantity"))
+    if not keyed:
+        wanted = [f for f in SALES_TRANSACTIONS.fields if f.name != "txn_id"]
+        rows = joined.select(*_line_columns())
+        return rows.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted])
+    from tierwise.operators.ordered import global_row_number
+
+    order = [F.col(c).asc_nulls_first() for c in _LINE_ORDER]
+    return conform(global_row_number(joined, order, "txn_id").select("txn_id", *_line_columns()), SALES_TRANSACTIONS)
+
+
+_LINE_ORDER = (*TXN_ORDER_COLUMNS, "o_custkey", "o_orderdate")
+
+
+def _tpch_lines(spark: SparkSession, sf_dir: str, used: tuple[str, ...]) -> DataFrame:
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*used)
     o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderdate")
-    joined = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
-    cols = [
+    return li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
+
+
+def _line_columns() -> list[Column]:
+    return [
         F.col("o_custkey").alias("customer_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
         F.col("o_orderdate").cast("date").alias("txn_date"),
     ]
-    if not keyed:
-        wanted = [f for f in SALES_TRANSACTIONS.fields if f.name != "txn_id"]
-        rows = joined.select(*cols)
-        return rows.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted])
-    from tierwise.operators.ordered import global_row_number
 
-    order = [F.col(c).asc_nulls_first() for c in (*TXN_ORDER_COLUMNS, "o_custkey", "o_orderdate")]
-    return conform(global_row_number(joined, order, "txn_id").select("txn_id", *cols), SALES_TRANSACTIONS)
+
+def tpch_first_transactions(
+    spark: SparkSession, sf_dir: str, keep: Callable[[DataFrame], DataFrame], k: int
+) -> DataFrame:
+    """The first ``k`` transactions by ``txn_id`` among those that ``keep``
+    returns (it may only drop rows, by customer_id or product_id).  Their ids
+    are those of ``tpch_transactions(keyed=True)``, counted instead of built
+    (``operators.ordered.numbers_of_smallest``)."""
+    from tierwise.operators.ordered import numbers_of_smallest
+
+    lines = _tpch_lines(spark, sf_dir, TXN_ORDER_COLUMNS)
+    kept = keep(lines.select("*", F.col("o_custkey").alias("customer_id"), F.col("l_partkey").alias("product_id")))
+    found = numbers_of_smallest(lines, kept.select(*lines.columns), _LINE_ORDER, k, "txn_id", lead="l_orderkey")
+    return conform(found.select("txn_id", *_line_columns()), SALES_TRANSACTIONS)
 
 
 def from_tpch(
@@ -163,4 +190,5 @@ def from_tpch(
         source_paths={n: f"{sf_dir}/{n}.parquet" for n in ("customer", "part", "orders", "lineitem")},
         unique_txn_id=True,
         number=lambda: tpch_transactions(spark, sf_dir, keyed=True),
+        first=lambda keep, k: tpch_first_transactions(spark, sf_dir, keep, k),
     )
