@@ -68,3 +68,12 @@ def test_details_sort_and_store_no_fact(spark):
     p = plan(E.queries()["transaction_details"](spark, SF))
     assert "rangepartitioning" not in p and "ExistingRDD" not in p
     assert "LessThanOrEqual(l_orderkey,ScalarSubquery" in p
+
+
+def test_report_reads_the_fact_once(spark):
+    """One scan of the fact's columns; the raw row count reads no column."""
+    p = plan(E.queries()["validation_report"](spark, SF))
+    schemas = [line for line in p.splitlines() if line.startswith("ReadSchema")]
+    assert sum("l_partkey" in s for s in schemas) == 1
+    assert sum("l_" in s for s in schemas) == 1
+    assert "NestedLoop" not in p and "Cartesian" not in p

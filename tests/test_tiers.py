@@ -262,3 +262,23 @@ def test_queries_see_appended_rows_and_lost_lines_fail(spark, scratch):
     assert set(status().values()) == {"PASS"}
     lines.limit(1).withColumn("l_orderkey", F.lit(-5).cast("long")).write.mode("append").parquet(f"{scratch}/lineitem.parquet")
     assert status()["sales_transactions"] == "FAIL"  # a line without an order
+
+
+def test_one_scan_profile_equals_the_single_checks(spark):
+    """Duplicate customer ids (also under other names), customers without an
+    id, unknown and NULL foreign keys: the one-scan profile agrees with every
+    check run by itself."""
+    customers = [(1, "a", "GOLD", D), (1, "a", "GOLD", D), (1, "b", "SILVER", D), (2, "c", "SILVER", D), (2, None, None, D),
+                 (3, "d", "BRONZE", D), (None, "e", "GOLD", D), (None, "f", "GOLD", D), (None, "f", "GOLD", D)]
+    products = [(1, "p", "Home", price(1000)), (1, "p2", "Home", price(500)), (2, "q", "Home", None), (None, "r", "Home", price(1))]
+    txns = [(1, 1, 1, 1, D), (2, 1, 9, 1, D), (3, 2, 1, 1, D), (4, 7, 1, 2, D), (5, None, 1, 1, D), (6, None, None, 1, D),
+            (7, 3, 2, 4, D), (8, 3, None, 1, D)]
+    for c, p, x in [(customers, products, txns), (customers, products, []), ([], products, txns), (customers, [], txns), ([], [], [])]:
+        t = star(spark, c, p, x)
+        got = Q.fact_profile(t).first()
+        single = {r["table_name"]: r["row_count"] for r in Q.scan_counts(t).collect()}
+        verdicts = [r["validation_result"] for r in Q.validate_tiers(t).collect()]
+        assert (got.customers, got.transactions) == (single["customers"], single["sales_transactions"])
+        assert got.orphaned_customers == Q.orphan_customers(t).first()[0]
+        assert got.orphaned_products == Q.orphan_products(t).first()[0]
+        assert (got.tiers_passed, got.tiers_checked) == (verdicts.count("PASS"), len(verdicts))
