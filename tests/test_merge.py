@@ -67,3 +67,32 @@ def test_keyed_source_checks_its_key(spark):
     src = spark.createDataFrame([(1, "x"), (1, "x")], "k bigint, v string")
     with pytest.raises(Exception, match="more than one source row acts"):
         merge(tgt, src, "k", matched=[WhenMatched(update={"v": F.col("s.v")})], keyed_source=True).collect()
+
+
+def test_source_is_the_same_for_every_clause(spark):
+    """A source that draws other values whenever it is run."""
+    tgt = spark.range(50).selectExpr("id AS k", "'old' AS v")
+    src = spark.range(100).selectExpr("CAST(rand() * 100 AS BIGINT) AS k", "uuid() AS v").dropDuplicates(["k"])
+    tagged = merge(tgt, src, "k", matched=[WhenMatched(update={"v": F.col("s.v")})],
+                   not_matched=WhenNotMatched(values={"k": F.col("s.k"), "v": F.col("s.v")}))
+    one, two = (sorted(tuple(r) for r in tagged.collect()) for _ in range(2))
+    assert one == two
+
+
+@pytest.mark.parametrize("cluster_by", [None, ["k"]])
+def test_write_reports_the_counts_of_its_own_job(spark, scratch, cluster_by):
+    from tierwise.sources.store import VersionedTable
+
+    tgt = spark.range(100).selectExpr("id AS k", "'a' AS v")
+    src = spark.range(90, 130).selectExpr("id AS k", "IF(id < 95, 'X', 'b') AS v")
+    tagged = merge(tgt, src, "k",
+                   matched=[WhenMatched(delete=True, condition=F.col("s.v") == "X"), WhenMatched(update={"v": F.col("s.v")})],
+                   not_matched=WhenNotMatched(values={"k": F.col("s.k"), "v": F.col("s.v")}, condition=F.col("s.k") < 120))
+    table = VersionedTable(spark, f"{scratch}/t")
+    version, counts = table.write_merged(tagged, cluster_by=cluster_by)
+    assert counts == {"update": 5, "insert": 20, "delete": 5, "keep": 90}
+    metrics = {r.action: r.row_count for r in merge_metrics(tagged).collect()}
+    assert counts == metrics
+    assert table.read(version).columns == ["k", "v"] and table.read(version).count() == 115
+    assert table.write_counted(spark.range(7), cluster_by=["id"])[1] == 7
+    assert table.write_counted(spark.range(7).where("id > 9"))[1] == 0

@@ -25,11 +25,11 @@ def test_spend_reads_only_its_columns_and_numbers_nothing(spark):
 
 
 def test_composing_a_query_runs_no_job(spark):
-    """Only the queries that fix an order or a written change set run jobs
-    before their result is asked for; reading a table's schema is one small
-    job of its own."""
+    """Only the queries that fix an order, a change set or the source of a
+    merge run jobs before their result is asked for; reading a table's schema
+    is one small job of its own."""
     tracker = spark.sparkContext.statusTracker()
-    for name in ("apply_tier_changes", "merge_delete", "merge_upsert", "compare_tables", "customer_spend", "top_customers",
+    for name in ("apply_tier_changes", "compare_tables", "customer_spend", "top_customers",
                  "revenue_by_category", "validation_report"):
         spark.sparkContext.setJobGroup(f"compose-{name}", name)
         E.queries()[name](spark, SF)
@@ -77,3 +77,11 @@ def test_report_reads_the_fact_once(spark):
     assert sum("l_partkey" in s for s in schemas) == 1
     assert sum("l_" in s for s in schemas) == 1
     assert "NestedLoop" not in p and "Cartesian" not in p
+
+
+def test_merge_computes_its_source_once(spark):
+    """No scan of the source is left in the merge's own plan: the one job that
+    checkpoints the source reads the fact, once."""
+    for name in ("merge_upsert", "merge_metrics"):
+        p = plan(E.queries()[name](spark, SF))
+        assert "l_orderkey" not in p and "Scan ExistingRDD" in p, name

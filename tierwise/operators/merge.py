@@ -14,10 +14,17 @@ on the same target row.  Source rows whose clauses don't fire never matter,
 and every source row without a target row - repeated keys and NULL keys
 included - is inserted.
 
-The source is grouped by key once (one shuffle, with a map-side partial
-aggregate, so a hot key costs one row per partition).  Target rows whose key
-has one source row, the usual case, are decided by that one join; only those
-whose key has several are joined to the source rows themselves.
+A source is computed once: it is checkpointed (``keyed_source`` needs no
+copy), so that all clauses see the same source rows even where its plan is
+not repeatable, and a lost executor costs no second run of it.  It is grouped
+by key once (one shuffle, with a map-side partial aggregate, so a hot key
+costs one row per partition).  Target rows whose key has one source row, the
+usual case, are decided by that one join, which may split a hot target key;
+only those whose key has several are joined to the source rows themselves.
+
+``merge_metrics`` counts the actions of a merge on their own;
+``action_counts`` are the same counts for ``observe``, so that the job which
+writes the merged table delivers them (``VersionedTable.write_merged``).
 """
 
 from __future__ import annotations
@@ -29,10 +36,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tierwise.session import ensure_checkpoint_dir
+
 ACTION = "_action"
 _N = "_s_rows"
 _COPIES = "_t_copies"
 _AMBIGUOUS = "MERGE: more than one source row acts on one target row"
+ACTIONS = ("update", "insert", "delete", "keep")
 
 
 @dataclass(frozen=True)
@@ -92,8 +102,12 @@ def merge(
     keyed_source: bool = False,
 ) -> DataFrame:
     """``keyed_source``: the source has one row per key by construction, so
-    a key with several is an error and the source is read once."""
+    a key with several is an error, and the source is read once without a
+    copy of it."""
     keys = _keys(on)
+    if not keyed_source:
+        ensure_checkpoint_dir(source.sparkSession)
+        source = source.checkpoint()
     values = [c for c in source.columns if c not in keys]
     per_key = source.groupBy(*keys).agg(F.count(F.lit(1)).alias(_N), *[F.first(c).alias(c) for c in values])
     joined = target.alias("t").join(per_key.alias("s"), _same(keys), "left")
@@ -145,6 +159,11 @@ def merged_rows(tagged: DataFrame) -> DataFrame:
     return tagged.where(F.col(ACTION) != "delete").drop(ACTION)
 
 
+def action_counts() -> list[Column]:
+    """One count per action over tagged rows, for ``observe``."""
+    return [F.count_if(F.col(ACTION) == name).alias(name) for name in ACTIONS]
+
+
 def merge_metrics(tagged: DataFrame) -> DataFrame:
     """action, row_count - counts of updated / inserted / deleted / kept rows."""
     return tagged.groupBy(F.col(ACTION).alias("action")).agg(F.count(F.lit(1)).alias("row_count"))

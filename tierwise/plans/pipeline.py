@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tierwise.operators import quality as Q
 from tierwise.operators.generate import GenSpec, generate
-from tierwise.operators.tiers import apply_tier_changes, tier_changes, tier_counts
+from tierwise.operators.tiers import tagged_tier_update, tier_changes, tier_counts
 from tierwise.rules import DEFAULT_RULES, TierRules
 from tierwise.schemas import CUSTOMERS, PRODUCTS, SALES_TRANSACTIONS, conform
 from tierwise.sources.model import Tables
@@ -77,15 +77,14 @@ def _counts(df: DataFrame) -> dict[str, int]:
 
 def process_tiers_job(store: StarStore, rules: TierRules = DEFAULT_RULES) -> tuple[int, int, int]:
     """One tier run: (updated count, new customers version, change-set
-    version)."""
+    version).  The counts come from the jobs that write the two tables."""
     t = tables_from_store(store, rules)
-    changes_v = store["tier_changes"].write(tier_changes(t))
-    changes = store["tier_changes"].read(changes_v)
-    updated = changes.count()
-    if updated == 0:
+    changes_v, found = store["tier_changes"].write_counted(tier_changes(t))
+    if found == 0:
         return 0, store["customers"].current_version(), changes_v
-    customers_v = store["customers"].write(apply_tier_changes(t, changes), cluster_by=["customer_id"])
-    return updated, customers_v, changes_v
+    tagged = tagged_tier_update(t, store["tier_changes"].read(changes_v))
+    customers_v, done = store["customers"].write_merged(tagged, cluster_by=["customer_id"])
+    return done["update"], customers_v, changes_v
 
 
 def run_pipeline(

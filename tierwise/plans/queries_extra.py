@@ -28,7 +28,8 @@ from tierwise.plans.registry import query
 
 AS_OF = dt.date(2001, 8, 1)
 SNAPSHOT_DAYS = 500  # upsert target: customers who signed up over 500 days before as_of
-INACTIVE_DAYS = 365  # delete: customers without transactions, signed up over a year ago
+INACTIVE_DAYS = 365  # delete: customers who signed up over a year ago ...
+IDLE_DAYS = 120  # ... and bought nothing in the last days of the data
 
 
 # -- MERGE variants -------------------------------------------------------------
@@ -80,16 +81,16 @@ def merge_metrics_q(t):
 
 @query("merge_delete", with_views(
     f"""FROM customers
-WHERE signup_date >= DATE '{AS_OF}' - {INACTIVE_DAYS} OR customer_id IN (SELECT customer_id FROM sales_transactions)"""))
+WHERE signup_date >= DATE '{AS_OF}' - {INACTIVE_DAYS}
+   OR customer_id IN (SELECT customer_id FROM sales_transactions WHERE txn_date >= DATE '{AS_OF}' - {IDLE_DAYS})"""))
 def merge_delete(t):
     """MERGE ... WHEN MATCHED AND signup is old THEN DELETE, the source
-    being customers without transactions."""
-    inactive = t.customers.select("customer_id").join(
-        t.transactions.select("customer_id").distinct(), "customer_id", "left_anti"
-    )
+    being customers without a recent transaction."""
+    recent = t.transactions.where(F.col("txn_date") >= F.lit(AS_OF - dt.timedelta(days=IDLE_DAYS)))
+    idle = t.customers.select("customer_id").join(recent.select("customer_id").distinct(), "customer_id", "left_anti")
     cutoff = F.lit(AS_OF - dt.timedelta(days=INACTIVE_DAYS))
     return merged_rows(
-        merge(t.customers, inactive, "customer_id",
+        merge(t.customers, idle, "customer_id",
               matched=[WhenMatched(delete=True, condition=F.col("t.signup_date") < cutoff)])
     )
 

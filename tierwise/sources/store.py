@@ -14,9 +14,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tierwise.operators.merge import action_counts, merged_rows
+
 
 class VersionedTable:
     def __init__(self, spark: SparkSession, root: str):
@@ -59,17 +61,41 @@ class VersionedTable:
         first, so parquet row-group min/max statistics skip data on filters
         over them.  With both, the range partitions are cut along the folder
         columns, so a folder gets few files and a large one several tasks."""
+        return self._commit(_clustered(df, partition_by, cluster_by), partition_by)
+
+    def _commit(self, df: DataFrame, partition_by: list[str] | None) -> int:
         started = self._started()
         v = (started[-1] if started else 0) + 1
-        lead = [*(partition_by or []), *(cluster_by or [])]
-        if cluster_by:
-            df = df.repartitionByRange(*lead).sortWithinPartitions(*lead)
         w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(self.path(v))
         return v
 
+    def write_counted(
+        self, df: DataFrame, partition_by: list[str] | None = None, cluster_by: list[str] | None = None
+    ) -> tuple[int, int]:
+        """``write``, and the number of rows written, from the same job."""
+        seen = Observation()
+        rows = _clustered(df, partition_by, cluster_by).observe(seen, F.count(F.lit(1)).alias("rows"))
+        return self._commit(rows, partition_by), seen.get["rows"]
+
+    def write_merged(
+        self, tagged: DataFrame, partition_by: list[str] | None = None, cluster_by: list[str] | None = None
+    ) -> tuple[int, dict[str, int]]:
+        """Write the rows of ``operators.merge.merge`` that stay, and return
+        the version with the rows of every action, deletes included, from the
+        same job.  The rows are counted behind the range exchange, whose
+        sampling job would count them a second time."""
+        seen = Observation()
+        rows = merged_rows(_clustered(tagged, partition_by, cluster_by).observe(seen, *action_counts()))
+        return self._commit(rows, partition_by), dict(seen.get)
+
+
+def _clustered(df: DataFrame, partition_by: list[str] | None, cluster_by: list[str] | None) -> DataFrame:
+    lead = [*(partition_by or []), *(cluster_by or [])]
+    return df.repartitionByRange(*lead).sortWithinPartitions(*lead) if cluster_by else df
+
 
 def with_month_partitions(df: DataFrame, date_col: str = "txn_date") -> DataFrame:
     """Add ``txn_year`` / ``txn_month`` derived from a date column, the
