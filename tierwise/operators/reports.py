@@ -8,10 +8,13 @@ change the result between runs.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierwise.functions.money import avg_half_up, cents_div_half_up, money
+from tierwise.operators.keyfilter import keep_keys
 from tierwise.operators.spend import customer_spend, customer_totals, spend_by_customer
 from tierwise.sources.model import Tables
 
@@ -88,12 +91,23 @@ def top_customers(t: Tables, k: int = 20) -> DataFrame:
     )
 
 
+def of_tier(t: Tables, tier: str, bits: int | None = None) -> Tables:
+    """The customers of one tier, and the transactions that may be theirs:
+    those of other customers go before any exchange (``operators.keyfilter``)."""
+    customers = t.customers.where(F.col("segment") == F.lit(tier))
+
+    def kept(facts: DataFrame) -> DataFrame:
+        return keep_keys(facts, customers, "customer_id", bits)
+
+    number = t.number and (lambda: kept(t.numbered()))
+    return replace(t, customers=customers, transactions=kept(t.transactions), number=number, first=None)
+
+
 def top_in_tier(t: Tables, tier: str, k: int = 10) -> DataFrame:
     """customer_id, cust_name, segment, total_spend, num_transactions - top
-    ``k`` of one tier (the segment filter runs before the joins)."""
-    customers = t.customers.where(F.col("segment") == F.lit(tier))
+    ``k`` of one tier (the segment filter reaches the fact's scan)."""
     return (
-        customer_totals(t, customers)
+        customer_totals(of_tier(t, tier))
         .orderBy(F.col("total_spend").desc(), F.col("customer_id").asc())
         .limit(k)
         .select(
