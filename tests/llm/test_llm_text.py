@@ -214,3 +214,27 @@ def test_windows_found_match_the_plain_recurrence():
         near = [d for d in exact if d <= k]
         (hits,) = G.search([text], index)
         assert hits == ([(1, min(near), len(near))] if near else [])
+
+
+def test_long_license_templates_are_found_wherever_they_begin(spark):
+    """Templates far longer than a default block, at every kind of offset."""
+    long = " ".join(f"w{i}" for i in range(300))
+    middle = " ".join(f"v{i}" for i in range(50))
+    templates = (("long", long), ("middle", middle), ("none", " - "))
+    texts = {}
+    for begin in (0, 1, 24, 63, 150, 299, 301, 1000):
+        texts[begin] = " ".join(["x"] * begin + [long] + ["y"] * 40)
+        texts[5000 + begin] = " ".join(["x"] * begin + [middle])
+        texts[10000 + begin] = " ".join(["x"] * begin + long.split()[:200])  # two thirds of it
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in J.scan(docs, templates=templates).collect()}
+    assert got == {i: "long" if i < 5000 else "middle" if i < 10000 else "" for i in texts}
+
+
+def test_html_with_tags_that_never_close_takes_linear_time():
+    from time import perf_counter
+
+    began = perf_counter()
+    assert H.main_text("<article>" + "<i>x " * 50000) == " ".join(["x"] * 50000)
+    assert H.main_text("<article><p>a<div>" + "<i>x " * 20000 + "<p>y</p>" * 20000).count("y") == 20000
+    assert perf_counter() - began < 30

@@ -16,6 +16,7 @@ tolerated, as is a page that breaks off; repeated rows are extracted alike.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from html.parser import HTMLParser
 
 import numpy as np
@@ -34,6 +35,8 @@ DROPPED = frozenset(
     "script style noscript template nav header footer aside form button select option textarea input iframe object svg canvas dialog menu head title".split()
 )
 REGION = frozenset(("article", "main"))
+#: an open paragraph outside of these isn't ended by the next one
+P_BOUNDS = ("article", "main", "section", "div", "td", "li", "blockquote", "body")
 #: blocks that are parts of a text, not containers of one
 PARTS = frozenset("p li ul ol dl dt dd table caption thead tbody tfoot tr td th blockquote figure figcaption pre details summary address".split())
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
@@ -80,6 +83,24 @@ class PageLines(HTMLParser):
         self.tags = 0
         self.made = 0
         self.parent = [0]  # of each container; 0 is the page
+        # what is open, kept beside the stack: a page may nest without end
+        self.opened: defaultdict[str, list[int]] = defaultdict(list)  # places in the stack
+        self.headings = 0
+        self.excluders: list[str] = []  # tags that began the exclusions still open
+
+    def _push(self, tag, dropped, region, container) -> None:
+        if dropped and not self._top()[1]:
+            self.excluders.append(tag)
+        self.stack.append((tag, dropped, region, container))
+        self.opened[tag].append(len(self.stack) - 1)
+        self.headings += tag in HEADINGS
+
+    def _pop(self) -> None:
+        tag, dropped, *_ = self.stack.pop()
+        if dropped and not self._top()[1]:
+            self.excluders.pop()
+        self.opened[tag].pop()
+        self.headings -= tag in HEADINGS
 
     def _top(self):
         return self.stack[-1] if self.stack else ("", False, 0, 0)
@@ -100,10 +121,10 @@ class PageLines(HTMLParser):
             return
         _, dropped, region, container = self._top()
         if tag == "p":  # an open paragraph ends where the next begins
-            self._close("p", "article main section div td li blockquote body".split())
+            self._close("p", P_BOUNDS)
             _, dropped, region, container = self._top()
         if tag in REGION and not _marked(tag, attrs):
-            if dropped and all(t == "form" or not d for t, d in self._own()):
+            if dropped and all(t == "form" for t in self.excluders):
                 dropped = False  # a form around the whole page
             if not dropped:
                 self.made += 1
@@ -113,30 +134,23 @@ class PageLines(HTMLParser):
                 dropped = not (tag == "header" and region)
             elif _marked(tag, attrs):
                 dropped = True
-            elif region and any(t == "header" for t, *_ in self.stack) and tag not in HEADINGS and not self._in_heading():
+            elif region and self.opened["header"] and tag not in HEADINGS and not self.headings:
                 dropped = False
         if tag not in INLINE and tag not in HEADINGS and tag not in PARTS:
             self.parent.append(container)
             container = len(self.parent) - 1
-        self.stack.append((tag, dropped, region, container))
-
-    def _own(self):
-        """Tags of the stack with whether each of them began an exclusion."""
-        before = False
-        for tag, dropped, *_ in self.stack:
-            yield tag, dropped and not before
-            before = dropped
-
-    def _in_heading(self) -> bool:
-        return any(t in HEADINGS for t, *_ in self.stack)
+        self._push(tag, dropped, region, container)
 
     def _close(self, tag, until=()) -> None:
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == tag:
-                del self.stack[i:]
-                return
-            if self.stack[i][0] in until:
-                return
+        """Closes the innermost ``tag`` and all within it, unless a tag of
+        ``until`` is open inside it."""
+        if not self.opened[tag]:
+            return
+        place = self.opened[tag][-1]
+        if any(self.opened[t] and self.opened[t][-1] > place for t in until):
+            return
+        while len(self.stack) > place:
+            self._pop()
 
     def handle_startendtag(self, tag, attrs):
         self.tags += 1
@@ -155,7 +169,7 @@ class PageLines(HTMLParser):
         _, dropped, region, _ = self._top()
         if dropped:
             return
-        if region and not self._in_heading() and any(t == "header" for t, *_ in self.stack):
+        if region and not self.headings and self.opened["header"]:
             return
         self.text.append(data)
 

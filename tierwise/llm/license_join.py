@@ -1,7 +1,7 @@
 """License scan: an exact set-similarity join of text blocks and templates.
 
-A text's words are cut into overlapping blocks of ``BLOCK`` words, so every
-passage of up to half a block lies whole in one.  A block matches a template
+A text's words are cut into overlapping blocks of twice the longest
+template's words (64 at least), so every copy of a template lies whole in one.  A block matches a template
 if it contains at least ``threshold`` of the template's distinct words.  The
 join is exact: all template words are ordered by their frequency in the whole
 corpus, rarest first, and a block can only reach the threshold if it holds
@@ -31,8 +31,7 @@ from pyspark.sql import functions as F
 from tierwise.llm.common import LOWER, UPPER, ascii_lower
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-BLOCK = 64
-STRIDE = 32
+BLOCK, STRIDE = 64, 32  # at least, see stride_for
 
 # fixed values: phrases of the base count and the labels they stand for
 PHRASES = (
@@ -41,7 +40,7 @@ PHRASES = (
     ("cc by nc", "cc-by-nc"),
 )
 
-# fixed values: notices of public licenses, at most half a block each
+# fixed values: notices of public licenses
 TEMPLATES = (
     ("mit", "Released under the MIT License"),
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
@@ -62,7 +61,15 @@ def _tokens(text: str) -> list[str]:
 
 
 def template_sets(templates=TEMPLATES) -> list[tuple[str, list[str]]]:
-    return [(label, sorted(set(_tokens(text)))) for label, text in templates]
+    """Distinct words of each template; one without words matches nothing."""
+    return [(label, sorted(set(_tokens(text)))) for label, text in templates if _tokens(text)]
+
+
+def stride_for(templates) -> int:
+    """Words from one block to the next.  Blocks are two strides long, so any
+    passage of up to a stride and a word lies whole in one of them, and the
+    longest template does."""
+    return max([STRIDE, *(len(_tokens(text)) for _, text in templates)])
 
 
 def needed(n: int, threshold: float) -> int:
@@ -93,7 +100,7 @@ def _places(phrase: str) -> Column:
 def _matches(words: DataFrame, threshold: float, templates) -> DataFrame:
     """``digest, found, best``: labels and the highest containment of the
     texts that have a matching block."""
-    sets = template_sets(templates)
+    sets, stride = template_sets(templates), stride_for(templates)
     vocabulary = sorted({w for _, s in sets for w in s})
     counted = words.select(F.explode(F.filter("words", lambda w: w.isin(vocabulary))).alias("w")).groupBy("w").count()
     # at most one row for each word of the templates
@@ -112,9 +119,9 @@ def _matches(words: DataFrame, threshold: float, templates) -> DataFrame:
 
     spots = words.where(F.arrays_overlap("words", _array(first_words))).select("digest", "words", F.posexplode("words").alias("pos", "w"))
     near = spots.where(F.col("w").isin(first_words)).join(F.broadcast(prefix), "w")
-    last = F.floor(F.col("pos") / STRIDE).cast("int")
+    last = F.floor(F.col("pos") / stride).cast("int")
     blocks = near.withColumn("block", F.explode(F.when(last > 0, F.array(last - 1, last)).otherwise(F.array(last))))
-    block_words = F.slice("words", F.col("block") * STRIDE + 1, F.lit(BLOCK))
+    block_words = F.slice("words", F.col("block") * stride + 1, F.lit(2 * stride))
     blocks = blocks.select("digest", "template", "label", "w", "at", "n", "need", "tokens", F.array_intersect(_array(order), block_words).alias("held"))
     left = F.least(F.col("n") - F.col("at"), F.size("held") - F.array_position("held", F.col("w")).cast("int") + 1)
     blocks = blocks.where((F.size("held") >= F.col("need")) & (left >= F.col("need")))
@@ -149,6 +156,7 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD, templates=TEMPLATES) ->
 
 def oracle(threshold: float = THRESHOLD, templates=TEMPLATES) -> str:
     """The same rows in DuckDB SQL, every block against every template."""
+    stride = stride_for(templates)
     quoted = lambda items: "[" + ", ".join("'" + x + "'" for x in items) + "]"
     table = ",\n    ".join(f"('{label}', {quoted(s)}, {len(s)}, {needed(len(s), threshold)})" for label, s in template_sets(templates))
     phrases = ",\n    ".join(f"({quoted(p.split())}, '{label}')" for p, label in PHRASES)
@@ -167,8 +175,8 @@ WITH d AS (
 ), base AS (
   SELECT row_no, count(*) AS n_base, min(p) AS first_word, max(p) AS last_word, list(DISTINCT label) AS own FROM places GROUP BY row_no
 ), block AS (
-  SELECT row_no, list_distinct(list_slice(w, {STRIDE} * b + 1, {STRIDE} * b + {BLOCK})) AS words
-  FROM d, unnest(range(0, CAST(ceil(len(w) / {STRIDE}.0) AS BIGINT))) AS u(b)
+  SELECT row_no, list_distinct(list_slice(w, {stride} * b + 1, {stride} * b + {2 * stride})) AS words
+  FROM d, unnest(range(0, CAST(ceil(len(w) / {stride}.0) AS BIGINT))) AS u(b)
 ), hit AS (
   SELECT row_no, label, n, need, len(list_intersect(words, tokens)) AS shared FROM block, template
 ), method AS (
