@@ -96,3 +96,33 @@ def test_write_reports_the_counts_of_its_own_job(spark, scratch, cluster_by):
     assert table.read(version).columns == ["k", "v"] and table.read(version).count() == 115
     assert table.write_counted(spark.range(7), cluster_by=["id"])[1] == 7
     assert table.write_counted(spark.range(7).where("id > 9"))[1] == 0
+
+
+@pytest.mark.parametrize("buckets", [1, 7, 1 << 16])
+def test_compare_by_fingerprints_equals_the_full_join(spark, buckets):
+    """Changed, lost, new and NULL-key rows, and NULLs that swap columns."""
+    from tierwise.operators.compare import compare_columns, compare_rows
+
+    a = spark.range(300).selectExpr("IF(id = 9, NULL, id) AS k", "IF(id = 5, NULL, 'x') AS v", "IF(id = 5, 'x', NULL) AS w", "id AS own")
+    b = spark.range(4, 310).selectExpr("id AS k", "IF(id % 50 = 0, 'y', IF(id = 77, NULL, 'x')) AS v", "CAST(NULL AS STRING) AS w")
+    expect = {r["status"]: r["count"] for r in compare_rows(a, b, "k").groupBy("status").count().collect()}
+    assert {r.status: r.row_count for r in compare_tables(a, b, "k", buckets).collect()} == expect
+    got = {r["column"]: (r.changed, r.became_null, r.was_null) for r in compare_columns(a, b, "k", buckets).collect()}
+    assert got == {"v": (7, 1, 1), "w": (1, 1, 0)}
+
+
+def test_compare_of_equal_and_empty_tables_joins_no_rows(spark):
+    from tierwise.operators.compare import _split, compare_columns
+
+    a = spark.range(1000).selectExpr("id AS k", "id % 7 AS v")
+    b = a.repartition(5)
+    _, lt, rt = _split(a, b, ["k"], 64)
+    assert lt.isEmpty() and rt.isEmpty()
+    assert [tuple(r) for r in compare_tables(a, b, "k").collect()] == [("same", 1000)]
+    assert [tuple(r) for r in compare_columns(a, b, "k").collect()] == [("v", 0, 0, 0)]
+    none = a.where("false")
+    assert compare_tables(none, none, "k").collect() == []
+    assert [tuple(r) for r in compare_tables(none, a, "k").collect()] == [("only_right", 1000)]
+    changed = a.selectExpr("k", "IF(k = 3, 99, v) AS v")
+    _, lt, rt = _split(a, changed, ["k"], 64)
+    assert 1 <= lt.count() < 100  # one bucket of sixty-four

@@ -25,11 +25,11 @@ def test_spend_reads_only_its_columns_and_numbers_nothing(spark):
 
 
 def test_composing_a_query_runs_no_job(spark):
-    """Only the queries that fix an order, a change set or the source of a
-    merge run jobs before their result is asked for; reading a table's schema
+    """Only the queries that fix an order, a change set, the source of
+    a merge or a computed side of a comparison run jobs before their result is asked for; reading a table's schema
     is one small job of its own."""
     tracker = spark.sparkContext.statusTracker()
-    for name in ("apply_tier_changes", "compare_tables", "customer_spend", "top_customers",
+    for name in ("apply_tier_changes", "customer_spend", "top_customers",
                  "revenue_by_category", "validation_report"):
         spark.sparkContext.setJobGroup(f"compose-{name}", name)
         E.queries()[name](spark, SF)

@@ -12,7 +12,7 @@ from tierwise.functions.money import money
 from tierwise.functions.scalar import code_of, date_functions, sql_code_of, string_functions, with_default
 from tierwise.operators import tiers as T
 from tierwise.operators import windows as W
-from tierwise.operators.compare import compare_tables
+from tierwise.operators.compare import compare_columns, compare_tables
 from tierwise.operators.merge import WhenMatched, WhenNotMatched, delete_where, merge, merge_metrics, merged_rows
 from tierwise.operators.ordered import global_row_number
 from tierwise.plans.oracle_views import (
@@ -108,7 +108,22 @@ def delete_where_q(t):
 FROM customers LEFT JOIN moved USING (customer_id) GROUP BY ALL""", *UPDATED))
 def compare_tables_q(t):
     """Customers before vs after the tier update, per-row status counts."""
-    return compare_tables(t.customers, T.apply_tier_changes(t), "customer_id")
+    return compare_tables(t.customers, _after_update(t), "customer_id")
+
+
+def _after_update(t):
+    """The updated customers, stored: a comparison reads them twice."""
+    return T.process_tiers(t)[0].checkpoint()
+
+
+@query("compare_columns", with_views(
+    """SELECT name AS "column", COALESCE(MAX(n), 0) AS changed, 0::BIGINT AS became_null, 0::BIGINT AS was_null
+FROM (VALUES ('cust_name'), ('segment'), ('signup_date')) names(name)
+LEFT JOIN (SELECT 'segment' AS name, COUNT(*) AS n FROM customers JOIN moved USING (customer_id) WHERE segment IS NOT NULL) found USING (name)
+GROUP BY ALL""", *UPDATED))
+def compare_columns_q(t):
+    """Which columns the tier update changes, and in how many rows."""
+    return compare_columns(t.customers, _after_update(t), "customer_id")
 
 
 # -- windows, spine, correlated subquery ------------------------------------------
