@@ -6,8 +6,8 @@ operators here never do that:
 
 1. ``orderBy`` - Spark's range-partitioned sort; the range bounds are sampled
    over the whole sort key, so a hot group is cut across many partitions.
-   The sorted rows are checkpointed with their partition and row number, so
-   an executor loss cannot reshuffle them.
+   The sorted rows are stored as columnar files with their partition and row
+   number, so an executor loss cannot reshuffle them.
 2. Windows run within (partition, group), which is at most one sorted
    partition's rows.
 3. What crosses a partition boundary is a carry: one row per partition
@@ -25,6 +25,7 @@ All of it is DataFrame expressions, so every type keeps its exact values.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -46,10 +47,15 @@ def _keys(cols: Sequence[str]) -> Column:
 
 def sorted_partitions(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
     """``df`` range-sorted by ``order`` plus ``_part`` (its partition) and
-    ``_row`` (ascending in the order), checkpointed."""
-    ensure_checkpoint_dir(df.sparkSession)
+    ``_row`` (ascending in the order), written once as Parquet to the
+    checkpoint folder: the passes that only need the carries read their
+    columns alone."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/sorted-{uuid.uuid4().hex}"
     numbered = df.orderBy(*_order_cols(order)).select("*", F.monotonically_increasing_id().alias(ROW))
-    return numbered.select("*", F.shiftright(ROW, 33).alias(PART)).checkpoint(eager=True)
+    numbered = numbered.select("*", F.shiftright(ROW, 33).alias(PART))
+    numbered.write.parquet(path)
+    return spark.read.schema(numbered.schema).parquet(path)
 
 
 def _with_carry(ck: DataFrame, carries: DataFrame) -> DataFrame:
