@@ -126,3 +126,19 @@ def test_compare_of_equal_and_empty_tables_joins_no_rows(spark):
     changed = a.selectExpr("k", "IF(k = 3, 99, v) AS v")
     _, lt, rt = _split(a, changed, ["k"], 64)
     assert 1 <= lt.count() < 100  # one bucket of sixty-four
+
+
+def test_merge_delete_reads_transactions_of_any_age(spark):
+    """However old a customer's transactions are, they keep the customer."""
+    import datetime as dt
+
+    from star import price, star
+
+    from tierwise.plans.queries_extra import AS_OF, INACTIVE_DAYS, merge_delete
+
+    long_ago, lately = AS_OF - dt.timedelta(days=INACTIVE_DAYS + 1), AS_OF - dt.timedelta(days=INACTIVE_DAYS)
+    customers = [(1, "Customer_1", "GOLD", long_ago), (2, "Customer_2", "GOLD", long_ago), (3, "Customer_3", "GOLD", lately),
+                 (4, "Customer_4", "GOLD", long_ago)]
+    txns = [(1, 1, 1, 1, dt.date(1992, 1, 1)), (2, 4, 1, 1, AS_OF)]
+    t = star(spark, customers, [(1, "Product_1", "Home", price(10))], txns)
+    assert sorted(r.customer_id for r in merge_delete(t).collect()) == [1, 3, 4]
