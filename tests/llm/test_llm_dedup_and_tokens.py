@@ -87,6 +87,29 @@ def test_one_large_group_gives_few_pairs(spark):
     assert M._stars(members, range(M.HEADS)).count() <= M.HEADS * m
 
 
+def _generated(df):
+    """Rows that the Generate nodes of a plan made when it ran."""
+    df.collect()
+
+    def walk(p):
+        kind = p.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return walk(p.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return walk(p.plan())
+        own = p.metrics().apply("numOutputRows").value() if kind == "GenerateExec" else 0
+        return own + sum(walk(p.children().apply(i)) for i in range(p.children().size()))
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_stars_make_a_pair_once_for_all_its_buckets(spark):
+    m, bands = 60, 20
+    data = [(i, b) for i in range(m) for b in range(bands)]
+    stars = M._stars(spark.createDataFrame(data, "rep long, bucket long").localCheckpoint(), range(M.HEADS))
+    assert 0 < _generated(stars) <= M.HEADS * m
+
+
 def test_small_buckets_give_all_of_their_pairs(spark):
     """Also where the heads of all random orders leave members out."""
     sizes = range(2, M.HEADS + 2)

@@ -11,8 +11,10 @@ exact copies is one point.  Candidate edges are stars: the members of a
 bucket are paired with its heads, the smallest members in each of ``HEADS``
 global random orders, so a bucket of m classes gives at most ``HEADS * m``
 pairs, and a group that agrees on many bands keeps meeting the same heads.  A
-bucket of at most ``SMALL`` classes gives all of its pairs instead.  Candidates are confirmed on the full
-sets and linked into components.
+member's heads are gathered over all of its buckets before they become pairs,
+so such a pair is made once and not once for each band.  A bucket of at most
+``SMALL`` classes gives all of its pairs instead.  Candidates are confirmed on
+the full sets and linked into components.
 
 Larger buckets whose members still lie in different components may hide a
 link between two members of which neither is a head.  Their members - and
@@ -279,8 +281,11 @@ def _head(seed: int):
 
 def _stars(members: DataFrame, seeds) -> DataFrame:
     """Each member of a bucket paired with the bucket's heads."""
-    heads = members.groupBy("bucket").agg(F.array_distinct(F.array(*(_head(s) for s in seeds))).alias("heads"))
-    pairs = members.join(heads, "bucket").select("rep", F.explode("heads").alias("head")).where("rep != head")
+    heads = members.groupBy("bucket").agg(F.array_sort(F.array_distinct(F.array(*(_head(s) for s in seeds)))).alias("heads"))
+    # the buckets of a group have mostly the same heads: a member's heads are gathered over its
+    # buckets, at most one array for each band, before any pair is made
+    met = members.join(heads, "bucket").groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_set("heads"))).alias("heads"))
+    pairs = met.select("rep", F.explode("heads").alias("head")).where("rep != head")
     return pairs.select(F.least("rep", "head").alias("a"), F.greatest("rep", "head").alias("b")).distinct()
 
 
