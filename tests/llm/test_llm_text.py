@@ -111,6 +111,16 @@ def test_license_scan_matches_every_block_against_every_template(spark):
     assert J.scan(empty(spark)).count() == 0
 
 
+def test_license_words_are_those_of_the_word_class_for_every_character(spark):
+    """The ranges that Spark searches for and the class that the SQL names."""
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [(i, " ".join(f"{chr(c)}x{chr(c)}Y" for c in points[i : i + 4096])) for i in range(0, len(points), 4096)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = {r.doc_id: r.words for r in J._with_words(docs).collect()}
+    assert found == {i: re.findall(J.WORD, t.translate(str.maketrans(UPPER, LOWER))) for i, t in texts}
+    assert not re.search(r"\[\^", J.RUNS)
+
+
 # -- decontamination ------------------------------------------------------------------
 
 

@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 from tierwise.llm.common import LOWER, UPPER, ascii_lower
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: the same words of lower-cased text; Java takes a third of the time for the ranges that are meant
+RUNS = r"[0-9a-z\x{80}-\x{10FFFF}]+"
 BLOCK, STRIDE = 64, 32  # at least, see stride_for
 
 # fixed values: phrases of the base count and the labels they stand for
@@ -84,7 +86,7 @@ def _array(items) -> Column:
 def _with_words(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5(text.cast("binary")).alias("digest"),
-                       F.regexp_extract_all(ascii_lower(text), F.lit(WORD), F.lit(0)).alias("words"))
+                       F.regexp_extract_all(ascii_lower(text), F.lit(RUNS), F.lit(0)).alias("words"))
 
 
 def _places(phrase: str) -> Column:
