@@ -223,6 +223,22 @@ def test_pieces_encode_like_whole_texts():
         assert got == [np.array(e.ids, "<u2").tobytes() for e in enc.tok.encode_batch(texts[i : i + 400], add_special_tokens=False)]
 
 
+def test_common_words_outlive_a_full_cache():
+    """Words met in call after call are encoded once, however many rare ones
+    pass by; a closing mark doesn't make another word."""
+    enc = A.TextEncoder(tokenizer_path(), keep=300)
+    asked, own = [], enc._ids
+    enc._ids = lambda texts: asked.extend(texts) or own(texts)
+    common = [f"kept{a}{b}" for a in "bcdfghjklm" for b in "aeiouy"]
+    for n in range(12):
+        rare = [f"rare{n}x{i}" for i in range(100)]
+        texts = [" ".join(["a", *rare, *common, *(w + "," for w in common), "end"])]
+        assert enc.encode(texts) == [x.tobytes() for x in own(texts)]
+    assert sum(t.count(" keptba") for t in asked) == 1
+    assert sum(t.count(" rare5x50") for t in asked) == 1
+    assert len(enc.words) <= enc.keep
+
+
 def expected(data, tok):
     out, start = [], 0
     for d, t in sorted(data, key=lambda r: (r[0] is not None, r[0] or 0)):

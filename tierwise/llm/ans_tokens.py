@@ -28,11 +28,12 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierwise.llm.common import Scratch, map_batches, shared_path, tidy
+from tierwise.llm.common import Scratch, map_batches, pieces, shared_path, tidy
 
 END_ID = 2
 BLOCK_TOKENS = 1 << 18
@@ -51,7 +52,10 @@ _RARE = [chr(i) for i in range(0x3001) if chr(i).isspace() and chr(i) not in " \
 #: a space that a visible character follows always starts a new piece
 _SPLIT = re.compile("(?= [^\\s\u180e\u200b\ufeff])")
 #: a word that closes with one mark, which is a piece of its own
-_MARKED = re.compile("\\n?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+[.,]")
+_MARKED = "^\\n?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+[.,]$"
+#: bytes of text encoded at once, and of the longest word that is kept
+_TEXT_BYTES = 8 << 20
+_WORD_BYTES = 64
 _ENCODERS: dict[str, TextEncoder] = {}
 
 
@@ -59,11 +63,12 @@ class TextEncoder:
     """Encodes texts with the ``tokenizers`` library.
 
     Byte-level tokenizers cut a text into pieces (words with the space before
-    them, runs of marks, white space) that encode independently, so each
-    distinct word is encoded once and kept (at most ``keep`` of them), with
-    the space or the line feed before it.  Texts with other white space are
-    cut only before spaces that a visible character follows.  Other tokenizers
-    encode whole texts.
+    them, runs of marks, white space) that encode independently, so words are
+    gathered over many texts as Arrow arrays and each distinct one is encoded
+    once, with the space or the line feed before it.  About ``keep`` of them
+    are kept; the ones met in the fewest calls are dropped first.  Texts with
+    other white space are cut only before spaces that a visible character
+    follows.  Other tokenizers encode whole texts.
     """
 
     def __init__(self, path: str, keep: int = 750_000):
@@ -77,8 +82,10 @@ class TextEncoder:
         pre = repr(self.tok.pre_tokenizer)
         self.by_piece = pre.startswith("ByteLevel(") and "add_prefix_space=False" in pre and "use_regex=True" in pre and self.tok.normalizer is None
         self.first: dict[str, bytes] = {}  # at the start of a text
-        #: after a space (without it), or a line feed (with it)
-        self.after: dict[str, bytes] = {}
+        #: after a space (without it), or a line feed (with it); without a
+        #: mark that closes the word; their ids, and the calls that met them
+        self.words, self.codes = pa.array([], pa.string()), pa.array([], pa.binary())
+        self.uses = np.zeros(0, np.int64)
         if self.by_piece:
             #: tokens that begin with a space or are a line feed
             self.opens = np.zeros(size, bool)
@@ -87,59 +94,96 @@ class TextEncoder:
             self.opens[self._ids(["\n"])[0]] = True
             self.closing = {m: self._ids([m])[0].tobytes() for m in ".,"}
 
-    def _ids(self, texts) -> list[np.ndarray]:
-        return [np.array(e.ids, dtype=self.dtype) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        out = []
+        for lo in range(0, len(texts), 500):
+            out += [np.array(e.ids, dtype=self.dtype) for e in self.tok.encode_batch_fast(texts[lo : lo + 500], add_special_tokens=False)]
+        return out
 
-    def _learn(self, words: set) -> None:
-        """Encodes new words, many to a text; a word that closes with one
-        mark is its core and the mark."""
-        known = self.after
-        marked = [w for w in words if _MARKED.fullmatch(w)]
-        words = words.difference(marked)
-        words.update(w[:-1] for w in marked if w[:-1] not in known)
+    def _learn(self, words: pa.StringArray) -> pa.BinaryArray:
+        """Encodes new words, many to a text."""
+        pieces = [w if w[:1] == "\n" else " " + w for w in words.to_pylist()]
         plain, odd = [], []
-        for w in words:
-            piece = w if w[:1] == "\n" else " " + w
-            (plain if len(piece) > 1 and piece[1:].isprintable() and " " not in w else odd).append(piece)
+        for i, p in enumerate(pieces):
+            (plain if len(p) > 1 and p[1:].isprintable() and " " not in p[1:] else odd).append(i)
         groups = [plain[i : i + 200] for i in range(0, len(plain), 200)]
-        for group, ids in zip(groups, self._ids(["".join(g) for g in groups]), strict=True):
+        order, found, sizes = [], [], [[0]]
+        for group, ids in zip(groups, self._ids(["".join([pieces[i] for i in g]) for g in groups]), strict=True):
             cuts = np.flatnonzero(self.opens[ids])
             if len(cuts) != len(group):
                 odd += group
                 continue
-            raw, at = ids.tobytes(), [*(cuts * ids.itemsize).tolist(), ids.nbytes]
-            known.update(zip((p.removeprefix(" ") for p in group), (raw[lo:hi] for lo, hi in zip(at, at[1:], strict=False)), strict=True))
-        for p, ids in zip(odd, self._ids(odd), strict=True):
-            known[p.removeprefix(" ")] = ids.tobytes()
-        for w in marked:
-            known[w] = known[w[:-1]] + self.closing[w[-1]]
+            order += group
+            found.append(ids)
+            sizes.append(np.diff(cuts, append=len(ids)))
+        alone = self._ids([pieces[i] for i in odd])
+        sizes.append([len(ids) for ids in alone])
+        raw = b"".join(x.tobytes() for x in found + alone)
+        ends = np.cumsum(np.concatenate(sizes), dtype=np.int64) * self.dtype.itemsize
+        coded = pa.BinaryArray.from_buffers(pa.binary(), len(pieces), [None, pa.array(ends, pa.int32()).buffers()[1], pa.py_buffer(raw)])
+        return coded.take(pa.array(np.argsort(order + odd)))
+
+    def _codes_of(self, words: pa.StringArray) -> pa.BinaryArray:
+        """The ids of distinct words; a word that closes with one mark is its
+        core and the mark."""
+        marked = pc.match_substring_regex(words, _MARKED)
+        cores = pc.if_else(marked, pc.utf8_slice_codeunits(words, 0, -1), words).dictionary_encode()
+        own = cores.dictionary
+        at = pc.index_in(own, value_set=self.words)
+        new = own.filter(at.is_null())
+        learnt = self._learn(new)
+        place = pc.fill_null(at, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        fresh = place < 0
+        self.uses[place[~fresh]] += 1
+        place[fresh] = len(self.words) + np.arange(len(new))
+        codes = pa.concat_arrays([self.codes, learnt]).take(pa.array(place)).take(cores.indices)
+        self._remember(new, learnt)
+        mark = pc.if_else(pc.ends_with(words, "."), pa.scalar(self.closing["."]), pa.scalar(self.closing[","]))
+        return pc.binary_join_element_wise(codes, pc.if_else(marked, mark, pa.scalar(b"")), pa.scalar(b""))
+
+    def _remember(self, words: pa.StringArray, codes: pa.BinaryArray) -> None:
+        short = pc.less_equal(pc.binary_length(words), _WORD_BYTES)
+        words, codes = words.filter(short), codes.filter(short)
+        self.words, self.codes = pa.concat_arrays([self.words, words]), pa.concat_arrays([self.codes, codes])
+        self.uses = np.concatenate([self.uses, np.zeros(len(words), np.int64)])
+        if len(self.words) > self.keep:
+            best = np.sort(np.argsort(self.uses, kind="stable")[len(self.uses) - self.keep // 2 :])
+            self.words, self.codes, self.uses = self.words.take(pa.array(best)), self.codes.take(pa.array(best)), self.uses[best] // 2
+
+    def _join(self, words: pa.StringArray, starts: np.ndarray) -> list[bytes]:
+        """The ids of texts given as their words one after the other;
+        ``starts`` has the place of each text's first word, and the end."""
+        leads = np.zeros(len(words), bool)
+        leads[starts[:-1]] = True
+        heads = words.filter(pa.array(leads)).to_pylist()
+        if len(self.first) > self.keep:
+            self.first.clear()
+        new = list(set(heads).difference(self.first))
+        self.first.update(zip(new, (x.tobytes() for x in self._ids(new)), strict=True))
+        rest = words.filter(pa.array(~leads)).dictionary_encode()
+        coded = self._codes_of(rest.dictionary).take(rest.indices)
+        _, ends, raw = coded.buffers()
+        at = np.frombuffer(ends, np.int32, len(coded) + 1)[starts - np.arange(len(starts))].tolist() if len(coded) else [0] * len(starts)
+        raw = memoryview(raw or b"")
+        return [self.first[h] + raw[lo:hi] for h, lo, hi in zip(heads, at, at[1:], strict=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The token ids of each text, as little-endian integers."""
         if not self.by_piece:
             return [x.tobytes() for x in self._ids(texts)]
-        for known in (self.first, self.after):
-            if len(known) > self.keep:
-                known.clear()
-        heads, flat, ends = [], [], [0]
-        for t in texts:
-            if _odd(t):
-                head, *rest = _SPLIT.split(t)
-                flat += [r[1:] for r in rest]
-            else:
-                head, *rest = t.replace("\n", " \n").split(" ")
-                flat += rest
-            heads.append(head)
-            ends.append(len(flat))
-        coded = list(map(self.after.get, flat))
-        if None in coded:
-            new = [i for i, c in enumerate(coded) if c is None]
-            self._learn({flat[i] for i in new})
-            for i in new:
-                coded[i] = self.after[flat[i]]
-        fresh = list(set(heads).difference(self.first))
-        self.first.update(zip(fresh, (x.tobytes() for x in self._ids(fresh)), strict=True))
-        return [self.first[h] + b"".join(coded[lo:hi]) for h, lo, hi in zip(heads, ends, ends[1:], strict=False)]
+        out: list[bytes] = [b""] * len(texts)
+        odd = [i for i, t in enumerate(texts) if _odd(t)]
+        if odd:
+            cut = [[head, *(r[1:] for r in rest)] for head, *rest in (_SPLIT.split(texts[i]) for i in odd)]
+            starts = np.cumsum([0, *map(len, cut)])
+            for i, raw in zip(odd, self._join(pa.array([w for c in cut for w in c], pa.string()), starts), strict=True):
+                out[i] = raw
+        if len(odd) < len(texts):
+            even = sorted(set(range(len(texts))).difference(odd))
+            cut = pc.split_pattern(pc.replace_substring(pa.array([texts[i] for i in even], pa.string()), "\n", " \n"), " ")
+            for i, raw in zip(even, self._join(cut.values, cut.offsets.to_numpy()), strict=True):
+                out[i] = raw
+        return out
 
 
 def _odd(t: str) -> bool:
@@ -316,8 +360,7 @@ def _raw_blocks(path: str, end_id: int, block_tokens: int):
             )
 
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                piece = batch.slice(lo, 500)
+            for piece in pieces(batch, _TEXT_BYTES, "text"):
                 coded = enc.encode([t or "" for t in piece.column("text").to_pylist()])
                 for doc, raw in zip(piece.column("doc_id").to_pylist(), coded, strict=True):
                     n = len(raw) // width + 1
